@@ -18,6 +18,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
+import uuid
 from collections.abc import Iterator
 
 import duckdb
@@ -207,15 +208,17 @@ class Encoder:
         return ids.astype("<u4"), np.concatenate(([0], ends))[np.searchsorted(byte_at[:-1], off)]
 
 
-_encoders: dict[int, Encoder] = {}
+_encoders: dict[str, Encoder] = {}
 
 
 def _encode(shared):
+    name = uuid.uuid4().hex
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if shared.id not in _encoders:  # workers are used again by later tasks
+        if name not in _encoders:  # workers are used again by later tasks
             _encoders.clear()
-            _encoders[shared.id] = Encoder(shared.value)
-        encoder = _encoders[shared.id]
+            _encoders[name] = Encoder(shared.value)
+        encoder = _encoders[name]
         for batch in text_chunks(batches):
             ids, at = encoder.encode(*buffer_of(batch.column(1)))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([ids[a:b].tobytes() for a, b in zip(at[:-1], at[1:], strict=True)], pa.binary())], names=["id", "ids"])
