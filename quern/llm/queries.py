@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from quern.llm import bpe, decontam, ngram_join, quality
+from quern.llm import bpe, decontam, langid, ngram_join, quality
 
 QUERIES = {
     "op1_ngram_jaccard_join": ngram_join.op1_ngram_jaccard_join,
     "op3_benchmark_decontamination": decontam.op3_benchmark_decontamination,
     "op4_quality_rules": quality.op4_quality_rules,
+    "op5_language_id": langid.op5_language_id,
     "op7_byte_bpe": bpe.op7_byte_bpe,
 }
 ORACLES: dict[str, str] = {
