@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quern.llm import bpe, decontam, langid, ngram_join, quality
+from quern.llm import bpe, decontam, langid, ngram_join, quality, secrets
 
 QUERIES = {
     "op1_ngram_jaccard_join": ngram_join.op1_ngram_jaccard_join,
@@ -10,8 +10,10 @@ QUERIES = {
     "op4_quality_rules": quality.op4_quality_rules,
     "op5_language_id": langid.op5_language_id,
     "op7_byte_bpe": bpe.op7_byte_bpe,
+    "op10_secret_scan": secrets.op10_secret_scan,
 }
 ORACLES: dict[str, str] = {
     "op3_benchmark_decontamination": decontam.ORACLE,
     "op4_quality_rules": quality.ORACLE,
+    "op10_secret_scan": secrets.ORACLE,
 }
