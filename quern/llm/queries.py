@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quern.llm import bpe, decontam, langid, license_scan, ngram_join, quality, secrets
+from quern.llm import bpe, decontam, langid, license_scan, ngram_join, quality, secrets, warc
 
 QUERIES = {
     "op1_ngram_jaccard_join": ngram_join.op1_ngram_jaccard_join,
@@ -11,11 +11,13 @@ QUERIES = {
     "op5_language_id": langid.op5_language_id,
     "op7_byte_bpe": bpe.op7_byte_bpe,
     "op8_license_scan": license_scan.op8_license_scan,
+    "op9_warc": warc.op9_warc,
     "op10_secret_scan": secrets.op10_secret_scan,
 }
 ORACLES: dict[str, str] = {
     "op3_benchmark_decontamination": decontam.ORACLE,
     "op4_quality_rules": quality.ORACLE,
     "op8_license_scan": license_scan.ORACLE,
+    "op9_warc": warc.ORACLE,
     "op10_secret_scan": secrets.ORACLE,
 }
