@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from quern.llm import bpe, decontam, langid, license_scan, ngram_join, quality, secrets, warc
+from quern.llm import bpe, decontam, langid, license_scan, ngram_join, quality, secrets, suffix_dedup, warc
 
 QUERIES = {
     "op1_ngram_jaccard_join": ngram_join.op1_ngram_jaccard_join,
     "op3_benchmark_decontamination": decontam.op3_benchmark_decontamination,
     "op4_quality_rules": quality.op4_quality_rules,
     "op5_language_id": langid.op5_language_id,
+    "op6_suffix_dedup": suffix_dedup.op6_suffix_dedup,
     "op7_byte_bpe": bpe.op7_byte_bpe,
     "op8_license_scan": license_scan.op8_license_scan,
     "op9_warc": warc.op9_warc,
