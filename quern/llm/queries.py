@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from quern.llm import bpe, decontam, langid, license_scan, ngram_join, quality, secrets, suffix_dedup, warc
+from quern.llm import bpe, decontam, langid, license_scan, ngram_join, quality, secrets, suffix_dedup, toxicity, warc
 
 QUERIES = {
     "op1_ngram_jaccard_join": ngram_join.op1_ngram_jaccard_join,
+    "op2_toxicity": toxicity.op2_toxicity,
     "op3_benchmark_decontamination": decontam.op3_benchmark_decontamination,
     "op4_quality_rules": quality.op4_quality_rules,
     "op5_language_id": langid.op5_language_id,
