@@ -2,5 +2,309 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from quern.functions import text as X
+from quern.operators import conversations as C
+from quern.operators import dedup, diff, etl, evaluate, gates, resolve, stats, validate, views
+from quern.plans import query as Q
+from quern.schema import ACTION_VERBS, LIFECYCLE_STATES, TRANSITIONS
+from quern.sources import readers
+from quern.streaming import events as E
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    """Registers the decorated function under its name."""
+
+    def add(f: Callable[[SparkSession, str], DataFrame]):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return add
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as dataset records: license by statement, score by size, status by label."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    status = F.when(F.col("quality") == 1, "approved").when(F.col("quality") == 0, "rejected").otherwise("pending")
+    rows = docs.join(labels, "doc_id", "left")
+    return rows.select("doc_id", "lang", "source", "n_chars", X.statement_license(F.col("text")).alias("license"), (1 + F.col("n_chars") % 10).cast("int").alias("quality_score"), status.alias("verification_status"), "toxic")
+
+
+RECORDS = """WITH r AS (SELECT d.doc_id, d.lang, d.source, d.n_chars,
+  CASE WHEN contains(text, 'MIT License') THEN 'MIT' WHEN contains(text, 'Apache License') THEN 'Apache-2.0' WHEN contains(text, 'GNU General Public License') THEN 'GPL-3.0' ELSE 'unknown' END AS license,
+  CAST(1 + n_chars % 10 AS INTEGER) AS quality_score, CASE quality WHEN 1 THEN 'approved' WHEN 0 THEN 'rejected' ELSE 'pending' END AS verification_status, toxic
+  FROM documents d LEFT JOIN labels l USING (doc_id))
+"""
+_CLEAN = r"""regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(coalesce(nfc_normalize({0}), ''), '[\x00-\x08\x0B\x0C\x0E-\x1F\x7F]', '', 'g'), '[ \t]+', ' ', 'g'), '\n[ \t\r]+', chr(10), 'g'), '[ \t\r]+\n', chr(10), 'g'), '^[ \t\r\n\f\x0B]+|[ \t\r\n\f\x0B]+$', '', 'g')"""
+CLEAN = _CLEAN.replace("nfc_normalize({0})", "{0}")
+_EMAIL = X.EMAIL
+_FLAGS = "list_filter([{}], lambda f: f IS NOT NULL)".format(", ".join(f"CASE WHEN regexp_matches(t, '{p}') THEN '{n}' END" for n, p in (("email", X.EMAIL), ("api_key", X.API_KEY), ("ssn", X.SSN), ("ipv4", X.IPV4))))
+
+
+# --- text and cleaning ---------------------------------------------------------------------------------------------
+
+
+@query(
+    f"""WITH c AS (SELECT doc_id, lang, {CLEAN.format("text")} AS t FROM documents), f AS (SELECT *, {_FLAGS} AS flags FROM c),
+e AS (SELECT *, CASE WHEN t = '' THEN 'empty_text' WHEN length(t) < 8 THEN 'too_short' WHEN length(t) > 100000 THEN 'too_long' WHEN list_contains(flags, 'api_key') OR list_contains(flags, 'ssn') THEN 'pii_high_severity' END AS early,
+  regexp_replace(regexp_replace(regexp_replace(t, '{X.EMAIL}', '[REDACTED_EMAIL]', 'g'), '{X.API_KEY}', '[REDACTED_SECRET]', 'g'), '{X.SSN}', '[REDACTED_SSN]', 'g') AS red FROM f),
+k AS (SELECT lang, coalesce(early, CASE WHEN row_number() OVER (PARTITION BY CASE WHEN early IS NULL THEN red ELSE CAST(doc_id AS VARCHAR) END ORDER BY doc_id) > 1 THEN 'duplicate_content' END, 'kept') AS reason FROM e)
+SELECT lang, reason, count(*) AS n FROM k GROUP BY 1, 2"""
+)
+def curation_funnel(spark, sf_dir):
+    cleaned = etl.clean_documents(table(spark, sf_dir, "documents"))
+    return cleaned.groupBy("lang", F.coalesce("reason", F.lit("kept")).alias("reason")).agg(F.count("*").alias("n"))
+
+
+@query(f"SELECT doc_id, sha256({CLEAN.format('text')}) AS clean_sha256, length({CLEAN.format('text')}) AS n FROM documents")
+def doc_clean_text(spark, sf_dir):
+    c = X.clean_text(F.col("text"))
+    return table(spark, sf_dir, "documents").select("doc_id", F.sha2(c, 256).alias("clean_sha256"), F.length(c).cast("long").alias("n"))
+
+
+@query(f"SELECT doc_id, sha256({_CLEAN.format('text')}) AS clean_sha256 FROM documents")
+def doc_clean_text_nfc(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", F.sha2(X.clean_text(F.col("text"), normalize=True), 256).alias("clean_sha256"))
+
+
+@query("SELECT p_partkey, regexp_replace(regexp_replace(lower(p_name), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g') AS tag FROM part")
+def tag_slug(spark, sf_dir):
+    return table(spark, sf_dir, "part").select("p_partkey", X.slug(F.col("p_name")).alias("tag"))
+
+
+@query(f"SELECT doc_id, array_to_string({_FLAGS}, ',') AS flags FROM (SELECT doc_id, text AS t FROM documents)")
+def doc_pii_flags(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", F.array_join(X.pii_flags(F.col("text")), ",").alias("flags"))
+
+
+@query(f"SELECT doc_id, sha256(regexp_replace(regexp_replace(regexp_replace(text, '{X.EMAIL}', '[REDACTED_EMAIL]', 'g'), '{X.API_KEY}', '[REDACTED_SECRET]', 'g'), '{X.SSN}', '[REDACTED_SSN]', 'g')) AS s FROM documents")
+def doc_pii_redact(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", F.sha2(X.redact(F.col("text")), 256).alias("s"))
+
+
+@query("SELECT CASE WHEN n_chars < 8 THEN 'too_short' WHEN n_chars > 10000 THEN 'too_long' ELSE 'ok' END AS reason, count(*) AS n FROM documents GROUP BY 1")
+def doc_length_reasons(spark, sf_dir):
+    r = F.when(F.length("text") < 8, "too_short").when(F.length("text") > 10_000, "too_long").otherwise("ok")
+    return table(spark, sf_dir, "documents").groupBy(r.alias("reason")).agg(F.count("*").alias("n"))
+
+
+@query(RECORDS + "SELECT license, count(*) AS n, license = 'unknown' AS denied, license <> 'unknown' AND license <> 'GPL-3.0' AS attribution FROM r GROUP BY 1")
+def license_gate_hist(spark, sf_dir):
+    c = F.col("license")
+    return records(spark, sf_dir).groupBy("license").agg(F.count("*").alias("n")).select("license", "n", X.license_denied(c).alias("denied"), X.attribution_required(c).alias("attribution"))
+
+
+@query(RECORDS + "SELECT CASE license WHEN 'unknown' THEN 'DENIED' WHEN 'GPL-3.0' THEN 'review' ELSE 'permissive' END AS class, count(*) AS n FROM r GROUP BY 1")
+def license_class(spark, sf_dir):
+    return records(spark, sf_dir).groupBy(X.license_class(F.col("license")).alias("class")).agg(F.count("*").alias("n"))
+
+
+_WORDS = "len(regexp_extract_all(t, '[^ \\t\\r\\n\\f\\x0B]+'))"
+_SENTENCES = r"list_filter(string_split(regexp_replace(t, '([.!?])[ \t\r\n\f\x0B]+', '\1' || chr(1), 'g'), chr(1)), lambda s: regexp_matches(s, '[^ \t\r\n\f\x0B]'))"
+
+
+@query(f"SELECT doc_id, {_WORDS} AS n_words, len({_SENTENCES}) AS n_sentences, len(list_distinct(regexp_extract_all(lower(t), '[a-z0-9]+'))) AS n_tokens FROM (SELECT doc_id, text AS t FROM documents)")
+def doc_text_measures(spark, sf_dir):
+    t = F.col("text")
+    return table(spark, sf_dir, "documents").select("doc_id", X.word_count(t).cast("long").alias("n_words"), F.size(X.sentences(t)).cast("long").alias("n_sentences"), F.size(F.array_distinct(X.tokens(t))).cast("long").alias("n_tokens"))
+
+
+# --- query language ------------------------------------------------------------------------------------------------
+
+
+def _records(spark, sf_dir, name, text, tie=None):
+    return Q.execute(text, table(spark, sf_dir, name), tie).records
+
+
+@query("SELECT * FROM customer WHERE lower(c_mktsegment) = 'building'")
+def query_filter_eq(spark, sf_dir):
+    return _records(spark, sf_dir, "customer", 'c_mktsegment:"building"')
+
+
+@query("SELECT o_orderkey, o_totalprice FROM orders WHERE o_totalprice >= 200000 AND lower(o_orderstatus) <> 'f'")
+def query_filter_cmp(spark, sf_dir):
+    return _records(spark, sf_dir, "orders", 'SELECT o_orderkey, o_totalprice WHERE o_totalprice >= 200000 AND o_orderstatus != "F"')
+
+
+@query("SELECT o_orderkey FROM orders WHERE lower(o_orderpriority) IN ('1-urgent', '2-high')")
+def query_in(spark, sf_dir):
+    return _records(spark, sf_dir, "orders", 'SELECT o_orderkey WHERE o_orderpriority IN ("1-URGENT", "2-high")')
+
+
+@query("SELECT s_suppkey FROM supplier WHERE s_nationkey <> 0 AND s_acctbal <> 0")
+def query_exists(spark, sf_dir):
+    return _records(spark, sf_dir, "supplier", "SELECT s_suppkey WHERE s_nationkey EXISTS AND s_acctbal EXISTS")
+
+
+@query("SELECT doc_id FROM (SELECT d.doc_id, toxic FROM documents d LEFT JOIN labels USING (doc_id)) WHERE toxic <> 1")
+def query_neq_null(spark, sf_dir):
+    return Q.execute("SELECT doc_id WHERE toxic != 1", records(spark, sf_dir)).records
+
+
+@query("SELECT o_orderstatus AS key, count(*) AS n FROM orders WHERE o_totalprice > 100000 GROUP BY 1")
+def query_group_count(spark, sf_dir):
+    return Q.execute("SELECT o_orderstatus WHERE o_totalprice > 100000 GROUP BY o_orderstatus", table(spark, sf_dir, "orders")).groups
+
+
+@query("SELECT count(*) AS count_all, sum(l_linenumber) AS sum_l_linenumber, round_even(avg(l_quantity), 2) AS avg_l_quantity, min(l_discount) AS min_l_discount, max(l_tax) AS max_l_tax FROM lineitem WHERE lower(l_returnflag) = 'r'")
+def query_scalar_aggs(spark, sf_dir):
+    return Q.execute('SELECT COUNT(*), SUM(l_linenumber), AVG(l_quantity), MIN(l_discount), MAX(l_tax) WHERE l_returnflag = "R"', table(spark, sf_dir, "lineitem")).aggregations
+
+
+@query("SELECT (SELECT count(*) FROM lineitem) AS count_all, 0 AS avg_l_quantity FROM (SELECT 1)")
+def query_compat_aggs(spark, sf_dir):
+    return Q.execute('SELECT l_orderkey, COUNT(*), AVG(l_quantity) WHERE l_returnflag = "R"', table(spark, sf_dir, "lineitem"), compat=True).aggregations
+
+
+@query("SELECT * FROM orders WHERE lower(o_orderstatus) = 'o' ORDER BY o_totalprice DESC NULLS LAST, o_orderkey LIMIT 20 OFFSET 10")
+def query_order_limit_offset(spark, sf_dir):
+    return _records(spark, sf_dir, "orders", 'SELECT * WHERE o_orderstatus = "O" ORDER BY o_totalprice DESC LIMIT 20 OFFSET 10', "o_orderkey")
+
+
+@query("SELECT p_partkey, p_brand, CAST(NULL AS VARCHAR) AS colour FROM part WHERE p_size <= 5")
+def query_projection(spark, sf_dir):
+    return _records(spark, sf_dir, "part", "SELECT p_partkey, p_brand, colour WHERE p_size <= 5")
+
+
+@query("SELECT p_partkey FROM part WHERE p_size >= 40 AND lower(p_brand) IN ('brand#11', 'brand#22') AND p_name <> ''")
+def query_tag_style(spark, sf_dir):
+    return Q.execute("p_size>=40 p_brand in (Brand#11, Brand#22) p_name", table(spark, sf_dir, "part")).records.select("p_partkey")
+
+
+# --- deduplication -------------------------------------------------------------------------------------------------
+
+_NORM = r"regexp_replace(lower(text), '^[ \t\r\n\f\x0B]+|[ \t\r\n\f\x0B]+$', '', 'g')"
+
+
+@query(f"SELECT sha1({_NORM}) AS digest, count(*) AS n, min(doc_id) AS first_id FROM documents GROUP BY 1 HAVING count(*) > 1")
+def exact_dup_groups(spark, sf_dir):
+    return dedup.exact_groups(table(spark, sf_dir, "documents"), X.strip(F.lower("text")))
+
+
+@query(f"SELECT min(doc_id) AS doc_id FROM documents GROUP BY {_NORM}")
+def first_seen_dedup(spark, sf_dir):
+    return dedup.first_seen(table(spark, sf_dir, "documents"), F.sha2(X.strip(F.lower("text")), 256)).select("doc_id")
+
+
+_NEAR = """WITH RECURSIVE tok AS (SELECT doc_id, regexp_extract_all(lower(text), '[a-z0-9]+') AS w FROM documents),
+sets AS (SELECT doc_id, list_sort(list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i : i + 3], ' ')) END)) AS s FROM tok),
+rep AS (SELECT doc_id, s, min(doc_id) OVER (PARTITION BY s) AS rep FROM sets WHERE len(s) > 0),
+g AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM rep WHERE doc_id = rep),
+c AS (SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS m FROM g a JOIN g b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY 1, 2),
+p AS (SELECT a, b, m / (na + nb - m) AS jaccard FROM c WHERE m / (na + nb - m) >= 0.8),
+l AS (SELECT a, b FROM p UNION ALL SELECT rep, doc_id FROM rep WHERE rep <> doc_id),
+e AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+reach(id, other) AS (SELECT a, b FROM e UNION SELECT reach.id, e.b FROM reach JOIN e ON reach.other = e.a),
+cl AS (SELECT id, least(id, min(other)) AS cluster FROM reach GROUP BY id)
+"""
+
+
+@query(_NEAR + "SELECT a, b, round_even(jaccard, 3) AS sim FROM p")
+def near_dup_pairs(spark, sf_dir):
+    return dedup.near_pairs(table(spark, sf_dir, "documents")).select("a", "b", F.bround("jaccard", 3).alias("sim"))
+
+
+def _clusters(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return dedup.clusters(dedup.near_pairs(docs).select("a", "b").unionByName(dedup.copies(docs)))
+
+
+@query(_NEAR + "SELECT id, cluster FROM cl")
+def near_dup_clusters(spark, sf_dir):
+    return _clusters(spark, sf_dir)
+
+
+@query(
+    _NEAR
+    + """, k AS (SELECT doc_id, coalesce(cluster, doc_id) AS cluster, row_number() OVER (PARTITION BY coalesce(cluster, doc_id) ORDER BY n_chars % 10 DESC, length(text) DESC, doc_id) = 1 AS kept FROM documents LEFT JOIN cl ON doc_id = id)
+SELECT doc_id, cluster, kept FROM k"""
+)
+def dedup_survivors(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return dedup.survivors(docs, _clusters(spark, sf_dir), F.col("n_chars") % 10, F.length("text")).select("doc_id", "cluster", "kept")
+
+
+# --- conversations -------------------------------------------------------------------------------------------------
+
+_CONV = "WITH m AS (SELECT conv_id, list(role ORDER BY turn) AS roles, list(text ORDER BY turn) AS texts FROM conversations GROUP BY 1)\n"
+
+
+def _conversations(spark, sf_dir):
+    return C.to_messages(table(spark, sf_dir, "conversations"))
+
+
+@query(_CONV + "SELECT conv_id, len(roles) AS n, sha256(array_to_string(list_transform(range(1, len(roles) + 1), lambda i: roles[i] || ':' || lower(regexp_replace(texts[i], '^[ \\t\\r\\n\\f\\x0B]+|[ \\t\\r\\n\\f\\x0B]+$', '', 'g'))), chr(10))) AS norm FROM m")
+def conv_messages(spark, sf_dir):
+    return _conversations(spark, sf_dir).select("conv_id", F.size("messages").cast("long").alias("n"), F.sha2(C.norm_text(F.col("messages")), 256).alias("norm"))
+
+
+@query(
+    _CONV
+    + """SELECT conv_id, CASE WHEN len(roles) < 2 THEN 'too_short' WHEN len(list_filter(texts, lambda x: regexp_replace(coalesce(x, ''), '[ \\t\\r\\n\\f\\x0B]+', '', 'g') = '')) > 0 THEN 'empty_turn'
+WHEN len(list_filter(roles, lambda x: x NOT IN ('system', 'user', 'assistant', 'tool'))) > 0 THEN 'bad_role' WHEN NOT list_contains(roles, 'user') THEN 'no_user' WHEN NOT list_contains(roles, 'assistant') THEN 'no_assistant' END AS problem FROM m"""
+)
+def conv_validate(spark, sf_dir):
+    return _conversations(spark, sf_dir).select("conv_id", C.problem(F.col("messages")).alias("problem"))
+
+
+@query("SELECT role, count(*) AS n, count(DISTINCT conv_id) AS n_conv, round_even(avg(length(text)), 2) AS mean_chars FROM conversations GROUP BY 1")
+def conv_role_stats(spark, sf_dir):
+    return table(spark, sf_dir, "conversations").groupBy("role").agg(F.count("*").alias("n"), F.count_distinct("conv_id").alias("n_conv"), F.bround(F.avg(F.length("text")), 2).alias("mean_chars"))
+
+
+def _render_oracle(style: str) -> str:
+    t = C.TEMPLATES[style]
+    quoted = lambda x: "'" + x.replace("'", "''").replace("\n", "' || chr(10) || '") + "'"
+    filled = lambda tpl, v: f"{quoted(tpl.split('{}')[0])} || {v} || {quoted(tpl.split('{}')[1])}"
+    pick = "first" if style == "gemma" else "last"
+    said = f"CASE WHEN i = first_user AND system IS NOT NULL THEN {filled(t['fold'], 'system')} || text ELSE text END" if t["fold"] else "text"
+    head = quoted(t["header"]) + (f" || coalesce({filled(t['system'], 'system')}, '')" if t["system"] else "")
+    return f"""WITH s AS (SELECT conv_id, nullif({pick}(text ORDER BY turn) FILTER (role = 'system'), '') AS system, min(turn) FILTER (role = 'user') AS first_user FROM conversations GROUP BY 1),
+x AS (SELECT c.conv_id, turn, CASE WHEN role = 'user' THEN {filled(t["user"], f"({said})")} ELSE {filled(t["assistant"], "text")} END AS part FROM (SELECT *, turn AS i FROM conversations) c JOIN s USING (conv_id) WHERE role IN ('user', 'assistant')),
+y AS (SELECT conv_id, string_agg(part, '' ORDER BY turn) AS body FROM x GROUP BY 1)
+SELECT s.conv_id, {head} || coalesce(body, '') AS text FROM s LEFT JOIN y USING (conv_id)"""
+
+
+def _renders() -> None:
+    for style in C.TEMPLATES:
+
+        def run(spark, sf_dir, style=style):
+            return _conversations(spark, sf_dir).select("conv_id", C.render_text(F.col("messages"), style).alias("text"))
+
+        run.__name__ = f"render_{style}"
+        query(_render_oracle(style))(run)
+
+
+_renders()
+
+
+@query(
+    _CONV
+    + """SELECT conv_id, len(roles) AS n, sha256(array_to_string(list_transform(range(1, len(roles) + 1), lambda i: CASE roles[i] WHEN 'user' THEN 'human' WHEN 'assistant' THEN 'gpt' ELSE roles[i] END || ':' || texts[i]), chr(10))) AS s FROM m"""
+)
+def render_sharegpt(spark, sf_dir):
+    kind = "conversations array<struct<role:string,content:string>>, id string"
+    j = F.from_json(C.sharegpt(F.col("messages"), F.col("conv_id")), kind)
+    return _conversations(spark, sf_dir).withColumn("j", j).select("conv_id", F.size("j.conversations").cast("long").alias("n"), F.sha2(F.array_join(F.transform("j.conversations", lambda m: F.concat_ws(":", m["role"], m["content"])), "\n"), 256).alias("s"))
+
+
+@query(
+    """WITH a AS (SELECT conv_id, first(text ORDER BY turn) FILTER (role = 'user') AS u, first(text ORDER BY turn) FILTER (role = 'assistant') AS o, count(*) FILTER (role = 'user') AS nu, count(*) FILTER (role = 'assistant') AS na FROM conversations GROUP BY 1)
+SELECT conv_id, CASE WHEN strpos(u, chr(10) || chr(10)) > 0 THEN substr(u, 1, strpos(u, chr(10) || chr(10)) - 1) ELSE u END AS instruction, CASE WHEN strpos(u, chr(10) || chr(10)) > 0 THEN substr(u, strpos(u, chr(10) || chr(10)) + 2) ELSE '' END AS input, o AS output,
+CASE WHEN nu > 1 OR na > 1 THEN 'multiturn-collapsed' END AS warn FROM a WHERE nu > 0 AND na > 0"""
+)
+def render_alpaca(spark, sf_dir):
+    return _conversations(spark, sf_dir).select("conv_id", C.alpaca(F.col("messages")).alias("a")).where("a IS NOT NULL").select("conv_id", "a.*")
