@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,14 +23,35 @@ def exact_groups(docs: DataFrame, key: Column, id_col: str = "doc_id") -> DataFr
 
 def shingled(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 4) -> DataFrame:
     """id and s: the sorted distinct hashes of the k-grams."""
-    grams = X.shingles(X.tokens(F.col(text_col)), k)
-    return docs.select(F.col(id_col).alias("id"), F.array_sort(F.array_distinct(F.transform(grams, lambda g: F.xxhash64(g)))).alias("s"))
-
-
-def _bands(s: Column, bands: int, rows: int) -> Column:
-    """One hash for each band: a hash of the least re-hashed shingles under `rows` independent seeds."""
-    seed = lambda k: lambda x: F.xxhash64(x, F.lit(k))
-    return F.array(*(F.xxhash64(*(F.array_min(F.transform(s, seed(b * rows + r))) for r in range(rows))) for b in range(bands)))
+    toks = docs.select(F.col(id_col).alias("id"), X.tokens(F.col(text_col)).alias("t"))  # once, not for each k-gram
+    grams = X.shingles(F.col("t"), k)
+    return toks.select("id", F.array_sort(F.array_distinct(F.transform(grams, lambda g: F.xxhash64(g)))).alias("s"))
+
+
+def _signatures(bands: int, rows: int):
+    """(id, band, h) of (id, s): for each band a hash of the least values of `rows` independent hash functions."""
+    rnd = np.random.default_rng(1)
+    odd, add = (rnd.integers(0, 2**63, bands * rows, dtype=np.uint64) * np.uint64(2) + np.uint64(1) for _ in range(2))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, out = batch.column(0), []
+            for s in batch.column(1):
+                x = np.asarray(s.values).astype(np.int64).view(np.uint64)
+                least = np.full(bands * rows, np.iinfo(np.uint64).max)
+                for k in range(0, len(x), 4096):  # bounded memory for very long texts
+                    y = x[k : k + 4096, None] * odd + add
+                    least = np.minimum(least, (y ^ (y >> np.uint64(31))).min(0))
+                h = np.zeros(bands, np.uint64)
+                for r in range(rows):
+                    h = (h ^ least[r::rows]) * np.uint64(0x9E3779B97F4A7C15)
+                out.append(h)
+            n = len(ids)
+            band = np.tile(np.arange(bands, dtype=np.int32), n)
+            h = np.concatenate(out).view(np.int64) if out else np.zeros(0, np.int64)
+            yield pa.RecordBatch.from_arrays([ids.take(pa.array(np.repeat(np.arange(n), bands))), pa.array(band), pa.array(h)], names=["id", "band", "h"])
+
+    return run
 
 
 def _representatives(sets: DataFrame) -> DataFrame:
@@ -39,7 +63,7 @@ def _representatives(sets: DataFrame) -> DataFrame:
 def near_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """(a, b, jaccard) of rows with different shingle sets, a < b, by banding and exact verification; each set's smallest id stands for its copies."""
     sets = _representatives(shingled(docs, id_col, text_col)).where("id = rep").drop("rep")
-    keys = sets.select("id", F.posexplode(_bands(F.col("s"), bands, rows)).alias("band", "h"))
+    keys = sets.select("id", "s").mapInArrow(_signatures(bands, rows), f"id {dict(sets.dtypes)['id']}, band int, h long")
     x, y = keys.alias("x"), keys.alias("y")
     cand = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.h") == F.col("y.h")) & (F.col("x.id") < F.col("y.id"))).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
     both = cand.join(sets.withColumnsRenamed({"id": "a", "s": "sa"}), "a").join(sets.withColumnsRenamed({"id": "b", "s": "sb"}), "b")
