@@ -199,10 +199,11 @@ def first_seen_dedup(spark, sf_dir):
     return dedup.first_seen(table(spark, sf_dir, "documents"), F.sha2(X.strip(F.lower("text")), 256)).select("doc_id")
 
 
-_NEAR = """WITH RECURSIVE tok AS (SELECT doc_id, regexp_extract_all(lower(text), '[a-z0-9]+') AS w FROM documents),
-sets AS (SELECT doc_id, list_sort(list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i : i + 3], ' ')) END)) AS s FROM tok),
-rep AS (SELECT doc_id, s, min(doc_id) OVER (PARTITION BY s) AS rep FROM sets WHERE len(s) > 0),
-g AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM rep WHERE doc_id = rep),
+_NEAR = """WITH RECURSIVE tok AS (SELECT doc_id, unnest(w) AS w, generate_subscripts(w, 1) AS i FROM (SELECT doc_id, regexp_extract_all(lower(text), '[a-z0-9]+') AS w FROM documents)),
+sh AS (SELECT DISTINCT doc_id, x FROM (SELECT doc_id, w || ' ' || lead(w) OVER p || ' ' || lead(w, 2) OVER p || ' ' || lead(w, 3) OVER p AS x FROM tok WINDOW p AS (PARTITION BY doc_id ORDER BY i)) WHERE x IS NOT NULL
+  UNION ALL SELECT doc_id, string_agg(w, ' ' ORDER BY i) FROM tok GROUP BY 1 HAVING count(*) < 4),
+rep AS (SELECT doc_id, n, min(doc_id) OVER (PARTITION BY h) AS rep FROM (SELECT doc_id, count(*) AS n, md5(string_agg(x, ',' ORDER BY x)) AS h FROM sh GROUP BY 1)),
+g AS (SELECT doc_id, n, x FROM rep JOIN sh USING (doc_id) WHERE doc_id = rep),
 c AS (SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS m FROM g a JOIN g b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY 1, 2),
 p AS (SELECT a, b, m / (na + nb - m) AS jaccard FROM c WHERE m / (na + nb - m) >= 0.8),
 l AS (SELECT a, b FROM p UNION ALL SELECT rep, doc_id FROM rep WHERE rep <> doc_id),

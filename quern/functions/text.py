@@ -67,8 +67,13 @@ def tokens(c: Column) -> Column:
 
 def shingles(toks: Column, k: int = 4) -> Column:
     """Distinct k-grams of tokens; fewer tokens give one short shingle, none give none."""
-    every = F.transform(F.sequence(F.lit(1), F.greatest(F.size(toks) - (k - 1), F.lit(1))), lambda i: F.array_join(F.slice(toks, i, k), " "))
-    return F.when(F.size(toks) == 0, F.array().cast("array<string>")).otherwise(F.array_distinct(every))
+    # Shifted copies are zipped, so that no lambda holds the tokens: what a lambda holds is computed for each element.
+    every = toks
+    for j in range(1, k):
+        every = F.zip_with(every, F.slice(toks, F.lit(j + 1), F.greatest(F.size(toks), F.lit(1))), lambda a, b: F.concat(a, F.lit(" "), b))
+    every = F.filter(every, lambda g: g.isNotNull())
+    short = F.array(F.array_join(toks, " "))
+    return F.when(F.size(toks) == 0, F.array().cast("array<string>")).when(F.size(toks) < k, short).otherwise(F.array_distinct(every))
 
 
 def jaccard(a: Column, b: Column) -> Column:

@@ -62,7 +62,8 @@ def _representatives(sets: DataFrame) -> DataFrame:
 
 def near_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """(a, b, jaccard) of rows with different shingle sets, a < b, by banding and exact verification; each set's smallest id stands for its copies."""
-    sets = _representatives(shingled(docs, id_col, text_col)).where("id = rep").drop("rep")
+    _shared(docs.sparkSession)
+    sets = _representatives(shingled(docs, id_col, text_col)).where("id = rep").drop("rep").checkpoint()
     keys = sets.select("id", "s").mapInArrow(_signatures(bands, rows), f"id {dict(sets.dtypes)['id']}, band int, h long")
     x, y = keys.alias("x"), keys.alias("y")
     cand = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.h") == F.col("y.h")) & (F.col("x.id") < F.col("y.id"))).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
@@ -96,7 +97,7 @@ def clusters(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     for _ in range(most_rounds):
         near = edges.join(label.withColumnsRenamed({"a": "b", "c": "cb"}), "b").groupBy("a").agg(F.min("cb").alias("m"))
         low = label.join(near, "a").select("a", F.least("c", "m").alias("c"))
-        jump = low.join(low.withColumnsRenamed({"a": "c", "c": "cc"}), "c", "left").select("a", F.least("c", F.coalesce("cc", "c")).alias("n"))
+        jump = low.join(low.select(F.col("a").alias("c"), F.col("c").alias("cc")), "c", "left").select("a", F.least("c", F.coalesce("cc", "c")).alias("n"))
         after = label.join(jump, "a").select("a", "n", (F.col("c") != F.col("n")).alias("moved")).checkpoint()
         label = after.select("a", F.col("n").alias("c"))
         if after.where("moved").isEmpty():
