@@ -16,8 +16,6 @@ of a document count once in its labels. Other columns are ignored; an empty tabl
 from __future__ import annotations
 
 import re
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -66,6 +64,10 @@ def word_order(docs: DataFrame, text_col: str, vocabulary: list[str]) -> list[st
     return sorted(vocabulary, key=lambda w: (counts.get(w, 0), w))
 
 
+def _both(word: str):
+    return lambda met, x: met & F.coalesce(x == word, F.lit(False))
+
+
 def _matches(blocks: DataFrame, templates: list[tuple[str, list[int]]], percent: int) -> DataFrame:
     """(row, label, share) of blocks(row, block, ranks) that meet a template; ranks are sorted word numbers."""
     spark = blocks.sparkSession
@@ -95,10 +97,12 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templa
     docs = docs.withColumn("w", F.when(licensed, _words(F.col("text"))))
 
     def places(phrase: str) -> Column:
-        parts = phrase.split()
-        here = lambda i: reduce(lambda a, b: a & b, [F.get("w", i + k) == p for k, p in enumerate(parts)])
-        every = F.when(F.size("w") >= len(parts), F.sequence(F.lit(0), F.size("w") - len(parts))).otherwise(F.array().cast("array<int>"))
-        return F.coalesce(F.filter(every, here), F.array().cast("array<int>"))
+        # Shifted copies of the words are zipped: no lambda holds the words, which would be computed for each element.
+        first, *rest = phrase.split()
+        here = F.transform("w", lambda x: x == first)
+        for k, part in enumerate(rest, 1):
+            here = F.zip_with(here, F.slice("w", F.lit(k + 1), F.greatest(F.size("w"), F.lit(1))), _both(part))
+        return F.coalesce(F.array_compact(F.transform(here, lambda x, i: F.when(x, i))), F.array().cast("array<int>"))
 
     docs = docs.withColumns({f"at_{label}": places(phrase) for label, phrase in PHRASES.items()})
     starts = F.concat(*(F.col(f"at_{label}") for label in PHRASES))
