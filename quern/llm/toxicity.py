@@ -84,7 +84,7 @@ def fit_scale(at: np.ndarray, buckets: np.ndarray, grade: np.ndarray, grades: in
     rows = np.split(row, start[1:])
     w, score = np.zeros(len(fitted)), np.zeros(n)
     share = np.array([(grade > k).mean() for k in range(grades - 1)]).clip(1e-3, 1 - 1e-3)
-    theta = np.log((1 - share) / share)
+    theta = prior = np.log((1 - share) / share)
     edges = np.concatenate(([-np.inf], theta, [np.inf]))
 
     def ends_of(which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -110,8 +110,9 @@ def fit_scale(at: np.ndarray, buckets: np.ndarray, grade: np.ndarray, grades: in
         mass = np.maximum(at_least - more, 1e-9)
         for k in range(grades - 1):
             up = (at_least * (1 - at_least) / mass)[grade == k + 1].sum() - (more * (1 - more) / mass)[grade == k].sum()
-            theta[k] -= up / ((more * (1 - more)).sum() + 1.0)
-        theta = np.maximum.accumulate(theta + 1e-3 * np.arange(grades - 1))
+            theta = theta - np.eye(grades - 1)[k] * up / ((more * (1 - more)).sum() + 1.0)
+        # No lower than in a text without features: what speaks for a grade must be in the text.
+        theta = np.maximum.accumulate(np.maximum(theta, prior) + 1e-3 * np.arange(grades - 1))
         edges[1:-1] = theta
     weights = np.zeros(BUCKETS)
     weights[used[fitted]] = w

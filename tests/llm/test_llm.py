@@ -1,0 +1,306 @@
+"""Operators of the llm subpackage against brute force, on small literal tables with nulls, empty and repeated rows."""
+
+import base64
+import hashlib
+import random
+import re
+import struct
+from itertools import pairwise
+
+import duckdb
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from quern.llm import bpe, components, decontam, langid, license_scan, ngram_join, quality, queries, secrets, suffix_dedup, toxicity, warc
+from quern.llm.shared import buffer_of
+from quern.llm.shingles import shingle_sets
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, doc string, id string, token long, spans string"
+RND = random.Random(5)
+WORDS = ["".join(RND.choice("abcdeé") for _ in range(RND.randint(1, 7))) for _ in range(300)]
+
+
+def prose(n, seed):
+    r = random.Random(seed)
+    return " ".join(r.choice(WORDS) for _ in range(n))
+
+
+def sample():
+    base = prose(120, 1)
+    near = [" ".join(w if k not in (30 + s, 90) else f"edit{s}" for k, w in enumerate(base.split())) for s in range(4)]
+    texts = [base, base, *near, prose(80, 2), prose(80, 2).encode().upper().decode(), None, "", " \n\t", "one", "one two three four", "ONE two three four", prose(4000, 3), base + "\n" + prose(300, 9), "a" * 700, "a b c d e f g h i j " * 40, "x | y | z $$$"]
+    return [(k, t) for k, t in enumerate(texts)]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    rows = sample()
+    rows.append(rows[2])  # a repeated row
+    rows.append((None, "a row without an id " * 30))
+    wide = [(i, t, "en" if (i or 0) % 3 else None, "s", 1, "clash", "clash", 2, "clash") for i, t in rows]
+    return spark.createDataFrame(wide, DOCS).repartition(3)
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return spark.createDataFrame([], DOCS)
+
+
+def texts_of(docs):
+    return [(r["doc_id"], r["text"]) for r in docs.collect()]
+
+
+def word_set(text):
+    w = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate({c: c + 32 for c in range(65, 91)}))
+    return {tuple(w[k : k + 5]) for k in range(len(w) - 4)} if len(w) >= 5 else ({tuple(w)} if w else set())
+
+
+def brute_components(rows):
+    sets = {i: word_set(t) for i, t in rows if i is not None}
+    root = {i: i for i in sets}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a in sets:
+        for b in sets:
+            n = len(sets[a] & sets[b])
+            if a < b and n and 100 * n >= 80 * len(sets[a] | sets[b]):
+                x, y = sorted((find(a), find(b)))
+                root[y] = x
+    return sorted((i, len(word_set(t)), None if i is None else find(i)) for i, t in rows if i is not None)
+
+
+def test_ngram_join(docs, empty):
+    got = sorted(tuple(r)[:3] for r in ngram_join.ngram_components(docs).where("doc_id is not null").collect())
+    assert got == brute_components(texts_of(docs))
+    assert ngram_join.ngram_components(empty).count() == 0
+
+
+def test_ngram_join_of_many_near_copies(spark):
+    """A group in which links are far from all pairs, and adaptive prefixes of all lengths."""
+    base = prose(90, 4).split()
+    rows = []
+    for k in range(60):
+        r, w = random.Random(k), list(base)
+        for _ in range(r.randint(0, 5)):
+            w[r.randrange(len(w))] = f"n{r.randrange(12)}"
+        rows.append((k, " ".join(w[r.randint(0, 4) :])))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for most in (1, 4):
+        assert sorted(tuple(r)[:3] for r in ngram_join.ngram_components(df, most_matches=most).collect()) == brute_components(rows)
+
+
+def test_components(spark):
+    links = spark.createDataFrame([(k, k + 1) for k in range(20)] + [(40, 50), (50, 45), (7, 7), (None, 3)], "a long, b long")
+    got = {r["id"]: r["component"] for r in components.connected(links).collect()}
+    assert got == {**dict.fromkeys(range(21), 0), 40: 40, 45: 40, 50: 40}
+
+
+def test_shingle_fingerprints_do_not_depend_on_place():
+    a = buffer_of(pa.array(["x y z é v w", None, "", "pre x y z é v w"]))
+    s = list(shingle_sets(*a))
+    assert len(s[0]) == 2 and len(s[1]) == len(s[2]) == 0 and set(s[0]) < set(s[3])
+
+
+def test_decontamination(docs, spark, empty):
+    item = " ".join(sample()[6][1].split()[10:24])
+    bench = spark.createDataFrame([(7, item), (8, "ONE, two! three"), (9, None), (10, item), (None, item)], "item_id long, text string")
+    rows = {r["doc_id"]: r for r in decontam.contamination(docs, bench).collect()}
+    want = hashlib.sha256(b"10,7").hexdigest()
+    assert rows[6]["n_hit"] == 14 and rows[6]["n_items"] == 2 and rows[6]["items_sha256"] == want and rows[7]["items_sha256"] == want
+    assert rows[12]["n_hit"] == 3 and rows[12]["n_items"] == 1 and not rows[0]["contaminated"] and rows[8]["n_words"] == 0
+    a, b = rows[6]["byte_spans"][0]
+    assert sample()[6][1].encode()[a:b].decode() == item
+    parts = {r["doc_id"]: (r["n_hit"], r["items_sha256"]) for r in decontam.contamination(docs, bench, pattern_bytes=1).collect()}
+    assert parts == {k: (r["n_hit"], r["items_sha256"]) for k, r in rows.items()}
+    assert decontam.contamination(empty, bench).count() == 0 and decontam.contamination(docs, bench.limit(0)).where("contaminated").count() == 0
+
+
+def test_quality(docs, empty):
+    rows = {r["doc_id"]: r for r in quality.quality(docs).collect()}
+    assert rows[17]["base_failed"] and rows[17]["n_repeat_words"] == rows[17]["n_words"] == 400
+    assert rows[8]["n_words"] == 0 and rows[8]["base_failed"] and rows[18]["n_symbols"] == 5
+    assert rows[0]["word_chars"] == len(sample()[0][1].replace(" ", "")) and rows[0]["kept"]
+    assert quality.quality(empty).count() == 0
+    assert quality.base_counts(b"a b\nc\na b\n\n\nc", b"a b c a b c".split()) == (2, 6)
+    assert quality.distance(np.array([1, 0]), np.array([0, 2])) == 1 and quality.distance(np.array([1, 3]), np.array([2, 6])) == 0
+
+
+def brute_repeats(rows, n=100):
+    first, out = set(), []
+    seen = set()
+    for i, t in sorted(((i if i is not None else 1 << 62, t or "") for i, t in rows)):
+        if (i, t) in seen:
+            continue
+        seen.add((i, t))
+        b = t.encode()
+        gone = bytearray(len(b))
+        for p in range(len(b) - n + 1):
+            if b[p : p + n] in first:
+                gone[p : p + n] = b"\1" * n
+            first.add(b[p : p + n])
+        runs = len(re.findall(rb"\x01+", bytes(gone)))
+        out.append((i if i < 1 << 62 else None, len(b), sum(gone), runs, hashlib.sha256(bytes(c for c, g in zip(b, gone, strict=True) if not g)).hexdigest()))
+    return set(out)
+
+
+def test_suffix_dedup(docs, empty):
+    assert {tuple(r) for r in suffix_dedup.digests(docs).collect()} == brute_repeats(texts_of(docs))
+    assert suffix_dedup.digests(docs).count() == docs.count() and suffix_dedup.digests(empty).count() == 0
+
+
+def test_suffix_dedup_of_overlapping_passages(spark):
+    rows, r = [], random.Random(8)
+    source = prose(200, 21)
+    for k in range(40):
+        a, b = r.randrange(500), r.randrange(150, 400)
+        rows.append((k, prose(r.randrange(20), k) + source[a : a + b] + prose(r.randrange(20), 99 - k) + source[b : b + 120]))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert {tuple(x) for x in suffix_dedup.digests(df).collect()} == brute_repeats(rows)
+
+
+def test_loser_tree_and_front_coding():
+    r = random.Random(3)
+    keys = [bytes(r.choice(b"ab") for _ in range(r.randint(1, 9))) for _ in range(300)]
+    runs = [sorted(set(keys[k::5])) for k in range(5)] + [[]]
+    packed = [suffix_dedup.pack([(k, 1, 2, [[1, 2, 3]]) for k in run]) for run in runs]
+    assert [x[1] for x in suffix_dedup.unpack(packed[0])] == runs[0]
+    got = list(suffix_dedup.LoserTree([suffix_dedup.unpack(p) for p in packed]))
+    merged = [x[1][1] for x in got]
+    assert merged == sorted(k for run in runs for k in run)
+    assert all(shared == suffix_dedup.common(a, b, 0) for (a, b), (shared, _) in zip(pairwise(merged), got[1:], strict=True))
+
+
+def test_bpe(docs, empty):
+    import public_tokenizers as P
+    import tiktoken
+
+    path = P.path("byte_bpe_50k.tiktoken")
+    reference = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=bpe.load_ranks(path), special_tokens={})
+    want = set()
+    for i, t in texts_of(docs):
+        ids = reference.encode_ordinary(t or "")
+        want.add((i, len(ids), hashlib.sha256(b"".join(struct.pack("<I", k) for k in ids)).hexdigest(), hashlib.sha256((t or "").encode()).hexdigest()))
+    assert {tuple(r) for r in bpe.digests(docs, path).collect()} == want
+    assert bpe.digests(empty, path).count() == 0
+    both = bpe.decode(bpe.encode(docs, path), path)
+    assert sorted((r["id"] or -1, bytes(r["decoded"])) for r in both.collect()) == sorted((i or -1, (t or "").encode()) for i, t in texts_of(docs))
+    encoder = bpe.Encoder(bpe.vocabulary(path))
+    r = random.Random(2)
+    odd = ["".join(r.choice("ab's tre vlm'd  \n\t é1²ⅷ!?'🙂́中") for _ in range(r.randint(0, 30))) for _ in range(3000)] + ["'s's 'tis !'re", "a" * 900, " " * 400, "<|endoftext|>"]
+    ids, at = encoder.encode(*buffer_of(pa.array(odd)))
+    assert all(ids[a:b].tolist() == reference.encode_ordinary(t) for t, a, b in zip(odd, at[:-1], at[1:], strict=True))
+
+
+def test_network_gradients():
+    net = langid.Network(["a", "b", "c"], hidden=3, seed=1)
+    net.p = {k: v.astype(np.float64) for k, v in net.p.items()}
+    rnd = np.random.default_rng(0)
+    x, y = rnd.integers(0, 256, (6, 4)).astype(np.uint8), np.array([0, 1, 2, 1])
+    _, g = net.gradients(x, y)
+    for k in net.p:
+        i = np.unravel_index(np.abs(g[k]).argmax(), g[k].shape)
+        net.p[k][i] += 1e-3
+        up = net.gradients(x, y)[0]
+        net.p[k][i] -= 2e-3
+        down = net.gradients(x, y)[0]
+        net.p[k][i] += 1e-3
+        assert abs((up - down) / 2e-3 - g[k][i]) < 1e-3
+
+
+def test_network_labels_like_its_training_pass():
+    net = langid.Network(["a", "b"], hidden=4, seed=2)
+    text = np.frombuffer(prose(30, 5).encode(), np.uint8)
+    got = net.label(text, np.array([0, 10, 10, len(text)]), segment=50)
+    want = []
+    for a, b in ((0, 10), (10, len(text))):
+        parts = [text[k : min(b, k + 50)] for k in range(a, b, 50)]
+        prob = []
+        for p in parts:
+            hf, hb = net._forward(p[:, None], "f")[0], net._forward(p[::-1][:, None], "b")[0][::-1]
+            z = np.exp(hf @ net.p["vf"] + hb @ net.p["vb"] + net.p["b"])
+            prob.append((z / z.sum(2, keepdims=True))[:, 0])
+        want.append(np.concatenate(prob).mean(0))
+    assert np.allclose(got[[0, 2]], want, atol=1e-4) and (got[1] == 0).all()
+
+
+def test_language_accuracy_on_held_out_documents(spark):
+    rows = [tuple(r) for r in langid.op5_language_id(spark, "/root/testdata/sf0.01").collect()]
+    lang = dict(duckdb.sql("SELECT doc_id, lang FROM '/root/testdata/sf0.01/documents.parquet'").fetchall())
+    held = [lang[i] == p for i, h, p, _ in rows if h]
+    assert sum(held) / len(held) > 0.97 and all(0 <= s <= 1 for *_, s in rows)
+
+
+def test_language_of_texts_without_letters(docs, empty):
+    rows = {r["doc_id"]: r for r in langid.identify(docs).collect()}
+    assert rows[8]["lang_pred"] == rows[9]["lang_pred"] == "und" and rows[0]["lang_pred"] == "en" and rows[8]["score"] == 0
+    assert langid.identify(empty).count() == 0
+
+
+def test_licenses(spark, empty):
+    texts = ["Released under the MIT License.", "mit\nlicense and Apache\tLICENSE", "the GNU general public license license", "under the license apache version licensed 2 0", None, "", "This is free and unencumbered software, released into public domain!"]
+    df = spark.createDataFrame([(k, t, "x") for k, t in enumerate(texts)], "doc_id long, text string, row string")
+    rows = {r["doc_id"]: r for r in license_scan.scan(df).collect()}
+    assert rows[1]["n_base"] == 2 and rows[1]["first_word"] == 0 and rows[1]["last_word"] == 3 and rows[1]["base_labels"] == "apache,mit"
+    assert rows[2]["labels"].split(",")[0] == "gpl" and rows[3]["n_base"] == 0 and rows[3]["labels"] == "apache"
+    assert rows[4]["n_words"] == 0 and rows[4]["first_word"] is None and rows[5]["score"] == 0 and rows[6]["labels"] == "unlicense" and 0.8 <= rows[6]["score"] < 1
+    assert license_scan.scan(empty).count() == 0
+
+
+def test_warc(spark):
+    rows = [(3, "http://a/é x", "same"), (1, None, "same"), (2, "u", None), (5, "u\r\nX: y", ""), (None, "v", "same"), (1, None, "same"), (9, "w", "z" * 200_000 + "\r\n\r\nWARC/1.1")]
+    pages = spark.createDataFrame([(*r, "clash") for r in rows], "page_id long, url string, html string, d string").repartition(3)
+    from quern.llm.shared import shared_dir
+
+    folder = f"{shared_dir(spark)}/warc-test-{RND.random()}"
+    index = warc.write_archives(pages, folder)
+    got = sorted(((r["page_id"] or 0, r["payload_bytes"], r["record_type"], r["refers_to"], bytes(r["payload"])) for r in warc.read_archives(index, folder).collect()), key=repr)
+    sha = base64.b32encode(hashlib.sha1(b"same").digest()).decode()
+    assert got == sorted([(3, 4, "revisit", 1, b""), (1, 4, "response", None, b"same"), (1, 4, "response", None, b"same"), (2, 0, "response", None, b""), (5, 0, "revisit", 2, b""), (0, 4, "response", None, b"same"), (9, 200_012, "response", None, rows[6][2].encode())], key=repr)
+    assert index.where(F.col("digest") == sha).count() == 4
+    assert warc.read_archives(index.where("page_id = 3"), folder).count() == 1
+    assert warc.read_archives(warc.write_archives(pages.limit(0), folder), folder).count() == 0
+    assert warc.ranges(np.array([0, 10, 200, 300]), np.array([10, 10, 50, 50]), gap=60, most=100) == [(0, 2), (2, 3), (3, 4)]
+
+
+def test_secrets(spark, empty):
+    near = "user = bob99\npassword: hunter2\nhost https://db.example.com/x"
+    far = "login: alice" + " x" * 400 + "\n\npwd = short1"
+    texts = ["é token = token = \"abcdef123456\" secret=ABCDEFGHIJKL", "AKIAABCDEFGHIJKLMN zz 0123456789abcdef0", near, far, None, "", "password: abc"]
+    df = spark.createDataFrame([(k, t, "c") for k, t in enumerate(texts)], "doc_id long, text string, row string")
+    rows = {r["doc_id"]: r for r in secrets.digest(secrets.scan(df)).collect()}
+    assert rows[0]["n_assign"] == 1 and rows[0]["spans"] == "assign:33:52" and rows[1]["spans"] == "access:0:18,hex:22:39"
+    assert rows[2]["spans"] == "id:0:12,weak:13:30,endpoint:36:60" and rows[2]["base_sha256"] == hashlib.sha256(b"").hexdigest()
+    assert rows[3]["spans"] == rows[4]["spans"] == rows[5]["spans"] == rows[6]["spans"] == ""
+    clean = {r["doc_id"]: r["text"] for r in secrets.redacted(df, secrets.scan(df)).collect()}
+    assert clean[1] == "[SECRET] zz [SECRET]" and clean[3] == far and clean[4] is None and clean[0].endswith(" [SECRET]")
+    assert secrets.digest(secrets.scan(empty)).count() == 0
+
+
+def test_toxicity(spark, empty):
+    bad = ["zork", "blug", "vextor"]
+    rows = [(k, prose(60, k) + (f" {bad[k % 3]}, {bad[(k + 1) % 3]}" if k % 4 == 0 else "")) for k in range(400)]
+    df = spark.createDataFrame([*rows, (None, None), (1000, "")], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k // 4 % 2, int(k % 4 == 0)) for k in range(0, 300)] + [(5000, 1, 1), (None, 0, 1)], "doc_id long, quality int, toxic int")
+    got = {r["doc_id"]: r for r in toxicity.severity(df, labels).collect()}
+    assert sum(got[k]["toxic"] == (k % 4 == 0) for k in range(300, 400)) >= 97 and all(0 <= r["severity"] <= 2 for r in got.values())
+    assert not got[1000]["toxic"] and toxicity.severity(df, labels.limit(0)).where("severity <> 0").count() == 0
+    assert toxicity.severity(empty, labels).count() == 0
+
+
+TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLES))
+def test_query_equals_sql(name, spark):
+    con = duckdb.connect()
+    for t in TABLES:
+        con.sql(f"CREATE VIEW {t} AS SELECT * FROM '/root/testdata/sf0.001/{t}.parquet'")
+    want = con.sql(queries.ORACLES[name])
+    got = queries.QUERIES[name](spark, "/root/testdata/sf0.001").select(*want.columns)
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(want.fetchall(), key=repr)
