@@ -17,6 +17,8 @@ QUERIES = {
     "op10_secret_scan": secrets.op10_secret_scan,
 }
 ORACLES: dict[str, str] = {
+    "op1_ngram_jaccard_join": ngram_join.ORACLE,
+    "op6_suffix_dedup": suffix_dedup.ORACLE,
     "op3_benchmark_decontamination": decontam.ORACLE,
     "op4_quality_rules": quality.ORACLE,
     "op8_license_scan": license_scan.ORACLE,

@@ -353,3 +353,15 @@ def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
 
 def op6_suffix_dedup(spark, sf_dir: str) -> DataFrame:
     return digests(table(spark, sf_dir, "documents"))
+
+
+ORACLE = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT doc_id, p, md5(substr(h, 2 * p + 1, 200)) AS k FROM (SELECT *, unnest(range(0, len(h) // 2 - 99)) AS p FROM d WHERE len(h) >= 200)),
+later AS (SELECT doc_id, p FROM w QUALIFY row_number() OVER (PARTITION BY k ORDER BY doc_id, p) > 1),
+marked AS (SELECT *, sum(fresh) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM (SELECT *, CASE WHEN p <= lag(p) OVER (PARTITION BY doc_id ORDER BY p) + 100 THEN 0 ELSE 1 END AS fresh FROM later)),
+runs AS (SELECT doc_id, min(p) AS a, max(p) + 100 AS b FROM marked GROUP BY doc_id, run),
+gaps AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS z FROM runs),
+kept AS (SELECT doc_id, sum(b - a) AS n, count(*) AS m, string_agg(substr(h, 2 * z + 1, 2 * (a - z)), '' ORDER BY a) || substr(any_value(h), 2 * max(b) + 1) AS rest FROM gaps JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, len(h) // 2 AS n_bytes, CAST(coalesce(n, 0) AS BIGINT) AS n_removed, coalesce(m, 0) AS n_spans, sha256(unhex(coalesce(rest, h))) AS kept_sha256 FROM d LEFT JOIN kept USING (doc_id)
+"""
