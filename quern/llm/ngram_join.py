@@ -6,8 +6,8 @@ document picks its own l from the candidates that its prefix would cost, as esti
 the shingles in it: where the prefix has frequent shingles, a longer prefix with more required matches is cheaper. A pair
 is held to the smaller l of its two documents.
 
-Links are found in two rounds, so that large groups of near copies never give all their pairs: first every member of a
-posting list is held against the list's first member; then only pairs that the first round left in different components
+Links are found in rounds, so that large groups of near copies never give all their pairs: first every member of a posting
+list is held against one member, another one in each round; then only pairs that these rounds left in different components
 are, with the required number of matches. No pair above the threshold between different components is skipped, so the
 components are exact. Shingles are 64-bit fingerprints; documents with equal sets are told by a 128-bit one.
 
@@ -23,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quern.llm.components import connected
@@ -31,7 +31,9 @@ from quern.llm.shared import buffer_of, longs, text_chunks, written
 from quern.llm.shingles import shingle_sets
 
 #: Shingles whose frequency is known to every task, the most frequent first; beyond them the order is by fingerprint.
-FREQUENT = 1 << 18
+FREQUENT = 1 << 16
+#: Rounds in which each posting list's members are held against one of them, before all pairs that are left.
+ROUNDS = 2
 #: Largest required number of matches.
 MOST_MATCHES = 4
 #: Bytes of document ids that may be broadcast for fetching the sets of candidates; beyond it they are joined.
@@ -43,6 +45,7 @@ _WINDOW = 16 << 20
 def _describe(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
+        seen: set[bytes] = set()  # copies within a task do not make a shingle frequent
         size = 0
 
         def counts() -> pa.RecordBatch:
@@ -60,10 +63,12 @@ def _describe(words: int):
                 h = hashlib.blake2b(found.tobytes(), digest_size=16).digest()
                 hi.append(int.from_bytes(h[:8], "little", signed=True))
                 lo.append(int.from_bytes(h[8:], "little", signed=True))
-                held.append(found)
+                if h not in seen:
+                    seen.add(h)
+                    held.append(found)
             size += len(data)
             yield pa.RecordBatch.from_arrays([pa.array([1] * len(n), pa.int32()), batch.column(0), pa.array(n, pa.int64()), pa.array(hi, pa.int64()), pa.array(lo, pa.int64())], names=["kind", "a", "n", "hi", "lo"])
-            if size >= _WINDOW:
+            if size >= _WINDOW and held:
                 yield counts()
                 held, size = [], 0
         if held:
@@ -104,7 +109,9 @@ def _postings(words: int, percent: int, frequent, most: int):
                 at = np.minimum(np.searchsorted(known, found), max(0, len(known) - 1))
                 df = np.where(known[at] == found, often[at], 0) if len(known) else np.zeros(len(found), np.int64)
                 prefix, level, ell = _ordered(found, df, percent, most)
-                out.append((found[prefix].view(np.int64), np.full(len(prefix), ids[k]), (np.int64(len(found)) << 8) | (ell << 4) | level))
+                last = prefix[-1]  # where the prefix ends in the global order, as a row of its own
+                tokens = np.append(found[prefix].view(np.int64), (found[last : last + 1] ^ np.uint64(1 << 63)).view(np.int64))
+                out.append((tokens, np.full(len(tokens), ids[k]), np.append((np.int64(len(found)) << 8) | (ell << 4) | level, -1 - df[last])))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], names=["token", "doc", "meta"])
 
@@ -162,6 +169,16 @@ def _links(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataF
     return both.mapInArrow(_verified(percent), "a long, b long")
 
 
+def _needed(percent: int, n: str, ell: str, other_n: str) -> Column:
+    """How many shingles a set of n, whose prefix ends first in the global order, must share with another within the prefixes.
+
+    None of its prefix's shingles that is not shared there is in the other set at all, so the whole overlap is at most n
+    less those.
+    """
+    overlap = F.expr(f"({percent} * ({n} + {other_n}) + {99 + percent}) div {100 + percent}")
+    return F.greatest(F.lit(1), overlap - F.expr(f"({percent} * {n} + 99) div 100 - {ell}"))
+
+
 def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80, most_matches: int = MOST_MATCHES) -> DataFrame:
     """One row per row of docs: doc_id, n_shingles, component_id (the smallest id reachable over links of Jaccard >= percent / 100)."""
     spark = docs.sparkSession
@@ -180,24 +197,40 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     postings = docs.mapInArrow(_postings(words, percent, frequent, most_matches), "token long, doc long, meta long")
     by = Window.partitionBy("token")
-    listed = postings.withColumn("head", F.min(F.struct("meta", "doc")).over(by)).withColumn("m", F.count("*").over(by)).where("m > 1")
-    listed = written(listed.select("token", "doc", F.shiftright("meta", 8).alias("n"), F.shiftright("meta", 4).bitwiseAND(F.lit(15)).alias("ell"), F.col("meta").bitwiseAND(F.lit(15)).alias("level"), F.col("head.doc").alias("head"), F.shiftright("head.meta", 8).alias("head_n")), "listed")
-
-    near = listed.where(f"doc <> head and 100 * head_n >= {percent} * n").select(F.greatest("doc", "head").alias("a"), F.least("doc", "head").alias("b")).distinct()
-    near = near.join(copies.withColumnsRenamed({"a": "doc", "b": "to"}), F.col("a") == F.col("doc"), "left").select(F.coalesce("to", "a").alias("a"), "b")
-    near = near.join(copies.withColumnsRenamed({"a": "doc", "b": "to"}), F.col("b") == F.col("doc"), "left").select("a", F.coalesce("to", "b").alias("b"))
-    near = near.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    links = written(copies.unionByName(_links(docs, near, words, percent)), "links")
-    groups = written(connected(links), "groups")
-
-    placed = listed.drop("head", "head_n").join(groups, F.col("doc") == F.col("id"), "left").withColumn("group", F.coalesce("component", "doc")).drop("id", "component")
-    mixed = placed.withColumn("least", F.min("group").over(by)).withColumn("largest", F.max("group").over(by)).where("least <> largest").drop("least", "largest")
+    listed = postings.withColumn("m", F.count_if(F.col("meta") >= 0).over(by)).where("m > 1 OR meta < 0").drop("m")
+    listed = written(listed, "listed")
+    # Of each document: how many shingles of its prefix another prefix has too, and where its prefix ends.
+    facts = listed.groupBy("doc").agg(F.count_if(F.col("meta") >= 0).alias("met"), F.max(F.when(F.col("meta") < 0, F.struct((-1 - F.col("meta")).alias("df"), F.col("token").alias("at")))).alias("end"))
+    left = listed.where("meta >= 0").select("token", "doc", F.shiftright("meta", 8).alias("n"), F.shiftright("meta", 4).bitwiseAND(F.lit(15)).alias("ell"), F.col("meta").bitwiseAND(F.lit(15)).alias("level")).join(facts, "doc")
+
+    groups = written(connected(copies), "groups")
+    for k in range(ROUNDS + 1):
+        placed = left.drop("group").join(groups, F.col("doc") == F.col("id"), "left").withColumn("group", F.coalesce("component", "doc")).drop("id", "component")
+        mixed = placed.withColumn("least", F.min("group").over(by)).withColumn("largest", F.max("group").over(by)).where("least <> largest").drop("least", "largest")
+        if k == ROUNDS:
+            break
+        # Another member is held against all others in each round; at first the one with the fewest shingles of its own.
+        own_shingles = F.expr(f"n - ({percent} * n + 99) div 100 + ell - met")
+        order = own_shingles if k == 0 else F.xxhash64("doc", F.lit(k))
+        mixed = mixed.withColumn("head", F.min(F.struct(order.cast("long").alias("order"), "doc", "n", "ell", "group", "met", "end")).over(by))
+        left = written(mixed, "mixed")
+        near = left.where(f"group <> head.group and 100 * least(n, head.n) >= {percent} * greatest(n, head.n)")
+        near = near.where(F.when(F.col("end") <= F.col("head.end"), F.col("met") >= _needed(percent, "n", "ell", "head.n")).otherwise(F.col("head.met") >= _needed(percent, "head.n", "head.ell", "n")))
+        near = near.groupBy("doc", F.col("head.doc").alias("to")).agg(F.count("*").alias("m"), F.first(F.when(F.col("end") <= F.col("head.end"), _needed(percent, "n", "ell", "head.n")).otherwise(_needed(percent, "head.n", "head.ell", "n"))).alias("needed"))
+        near = near.where("m >= needed").select(F.greatest("doc", "to").alias("a"), F.least("doc", "to").alias("b")).distinct()
+        links = _links(docs, near, words, percent)
+        left = left.drop("head")
+        groups = written(connected(links.unionByName(groups.select(F.col("id").alias("a"), F.col("component").alias("b")))), "groups")
     mixed = written(mixed, "mixed")
     x, y = mixed.alias("x"), mixed.alias("y")
-    reached = (F.col("x.level") <= F.least("x.ell", "y.ell")) & (F.col("y.level") <= F.least("x.ell", "y.ell"))
     sized = (100 * F.col("x.n") >= percent * F.col("y.n")) & (100 * F.col("y.n") >= percent * F.col("x.n"))
-    far = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.doc") > F.col("y.doc")) & (F.col("x.group") != F.col("y.group")) & reached & sized)
-    far = far.groupBy(F.col("x.doc").alias("a"), F.col("y.doc").alias("b")).agg(F.count("*").alias("m"), F.first(F.least("x.ell", "y.ell")).alias("ell")).where("m >= ell").select("a", "b")
+    # x is the one whose prefix ends first, so what it must share, and so what it must have, is known.
+    needed = _needed(percent, "x.n", "x.ell", "y.n")
+    first_end = (F.col("x.end") < F.col("y.end")) | ((F.col("x.end") == F.col("y.end")) & (F.col("x.doc") > F.col("y.doc")))
+    far = x.join(y, (F.col("x.token") == F.col("y.token")) & first_end & (F.col("x.group") != F.col("y.group")) & sized & (F.col("x.met") >= needed))
+    reached = F.greatest("x.level", "y.level") <= F.least("x.ell", "y.ell")
+    far = far.groupBy(F.col("x.doc").alias("a"), F.col("y.doc").alias("b")).agg(F.count("*").alias("m"), F.count_if(reached).alias("l"), F.first(F.least("x.ell", "y.ell")).alias("ell"), F.first(needed).alias("needed"))
+    far = far.where("l >= ell and m >= needed").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     more = _links(docs, far, words, percent)
     reps = groups.withColumnsRenamed({"id": "doc", "component": "to"})
     more = more.join(reps, F.col("a") == F.col("doc"), "left").select(F.coalesce("to", "a").alias("a"), "b")
@@ -211,3 +244,18 @@ def op1_ngram_jaccard_join(spark, sf_dir: str) -> DataFrame:
     from quern.llm.shared import table
 
     return ngram_components(table(spark, sf_dir, "documents"))
+
+
+ORACLE = r"""
+WITH RECURSIVE w AS (SELECT doc_id, unnest(a) AS x, generate_subscripts(a, 1) AS i FROM (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS a FROM documents)),
+s AS (SELECT DISTINCT doc_id, g FROM (SELECT doc_id, x || ' ' || lead(x) OVER p || ' ' || lead(x, 2) OVER p || ' ' || lead(x, 3) OVER p || ' ' || lead(x, 4) OVER p AS g FROM w WINDOW p AS (PARTITION BY doc_id ORDER BY i)) WHERE g IS NOT NULL
+  UNION ALL SELECT doc_id, string_agg(x, ' ' ORDER BY i) FROM w GROUP BY 1 HAVING count(*) < 5),
+c AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+k AS (SELECT doc_id, n, min(doc_id) OVER (PARTITION BY h) AS rep FROM (SELECT doc_id, count(*) AS n, md5(string_agg(g, ',' ORDER BY g)) AS h FROM s GROUP BY 1)),
+r AS (SELECT doc_id, n, g FROM k JOIN s USING (doc_id) WHERE doc_id = rep),
+l AS (SELECT a, b FROM (SELECT x.doc_id AS a, y.doc_id AS b, any_value(x.n) + any_value(y.n) AS t, count(*) AS m FROM r x JOIN r y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY 1, 2) WHERE 100 * m >= 80 * (t - m) UNION ALL SELECT rep, doc_id FROM k WHERE rep <> doc_id),
+e AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+reach(id, other) AS (SELECT a, b FROM e UNION SELECT reach.id, e.b FROM reach JOIN e ON reach.other = e.a),
+m AS (SELECT id, least(id, min(other)) AS component FROM reach GROUP BY id)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, coalesce(component, d.doc_id) AS component_id FROM documents d LEFT JOIN c USING (doc_id) LEFT JOIN m ON id = d.doc_id
+"""
