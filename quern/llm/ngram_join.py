@@ -197,11 +197,13 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     postings = docs.mapInArrow(_postings(words, percent, frequent, most_matches), "token long, doc long, meta long")
     by = Window.partitionBy("token")
-    listed = postings.withColumn("m", F.count_if(F.col("meta") >= 0).over(by)).where("m > 1 OR meta < 0").drop("m")
+    listed = postings.withColumn("m", F.count_if(F.col("meta") >= 0).over(by)).where("m > 1 OR meta < 0")
     listed = written(listed, "listed")
     # Of each document: how many shingles of its prefix another prefix has too, and where its prefix ends.
     facts = listed.groupBy("doc").agg(F.count_if(F.col("meta") >= 0).alias("met"), F.max(F.when(F.col("meta") < 0, F.struct((-1 - F.col("meta")).alias("df"), F.col("token").alias("at")))).alias("end"))
-    left = listed.where("meta >= 0").select("token", "doc", F.shiftright("meta", 8).alias("n"), F.shiftright("meta", 4).bitwiseAND(F.lit(15)).alias("ell"), F.col("meta").bitwiseAND(F.lit(15)).alias("level")).join(facts, "doc")
+    left = listed.where("meta >= 0").select("token", "doc", F.shiftright("meta", 8).alias("n"), F.shiftright("meta", 4).bitwiseAND(F.lit(15)).alias("ell"), "m").join(facts, "doc")
+    # A document that must share `needed` of its `met` shingles shares one of the met - needed + 1 with the shortest lists.
+    left = left.withColumn("rank", F.row_number().over(Window.partitionBy("doc").orderBy("m", "token"))).drop("m")
 
     groups = written(connected(copies), "groups")
     for k in range(ROUNDS + 1):
@@ -224,13 +226,14 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     mixed = written(mixed, "mixed")
     x, y = mixed.alias("x"), mixed.alias("y")
     sized = (100 * F.col("x.n") >= percent * F.col("y.n")) & (100 * F.col("y.n") >= percent * F.col("x.n"))
-    # x is the one whose prefix ends first, so what it must share, and so what it must have, is known.
+    # x is the one whose prefix ends first, so what it must share is known; only its shingles with the shortest lists probe.
     needed = _needed(percent, "x.n", "x.ell", "y.n")
     first_end = (F.col("x.end") < F.col("y.end")) | ((F.col("x.end") == F.col("y.end")) & (F.col("x.doc") > F.col("y.doc")))
-    far = x.join(y, (F.col("x.token") == F.col("y.token")) & first_end & (F.col("x.group") != F.col("y.group")) & sized & (F.col("x.met") >= needed))
-    reached = F.greatest("x.level", "y.level") <= F.least("x.ell", "y.ell")
-    far = far.groupBy(F.col("x.doc").alias("a"), F.col("y.doc").alias("b")).agg(F.count("*").alias("m"), F.count_if(reached).alias("l"), F.first(F.least("x.ell", "y.ell")).alias("ell"), F.first(needed).alias("needed"))
-    far = far.where("l >= ell and m >= needed").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    far = x.join(y, (F.col("x.token") == F.col("y.token")) & first_end & (F.col("x.group") != F.col("y.group")) & sized & (F.col("x.rank") <= F.col("x.met") - needed + 1))
+    far = far.select(F.col("x.doc").alias("a"), F.col("y.doc").alias("b"), needed.alias("needed")).distinct()
+    held = mixed.groupBy("doc").agg(F.collect_list("token").alias("tokens"))  # at most a prefix for each document
+    both = far.join(held.select(F.col("doc").alias("a"), F.col("tokens").alias("ta")), "a").join(held.select(F.col("doc").alias("b"), F.col("tokens").alias("tb")), "b")
+    far = both.where(F.size(F.array_intersect("ta", "tb")) >= F.col("needed")).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     more = _links(docs, far, words, percent)
     reps = groups.withColumnsRenamed({"id": "doc", "component": "to"})
     more = more.join(reps, F.col("a") == F.col("doc"), "left").select(F.coalesce("to", "a").alias("a"), "b")
