@@ -20,7 +20,7 @@ def _only(docs: DataFrame, verdicts: DataFrame) -> DataFrame:
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go."""
-    return _only(docs, quality.quality(docs).where("kept"))
+    return _only(docs, quality.quality(docs).where("accepted"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,7 +3,8 @@
 A document's histogram of character classes and its histogram of common words are held against the references of its
 language by Jensen-Shannon distance (square root of the divergence in bits, 0 to 1). The references are sums over all
 documents of the language, so they follow the corpus; each document counts with its shares, not its length, so that a
-few very long documents do not make the reference. Texts of fewer than GUARD_WORDS words, or whose language has no
+few very long documents do not make the reference. A third histogram has a bin for each of SYMBOLS; `accepted` takes it in,
+while `kept` is the verdict that the SQL states, by the first two. Texts of fewer than GUARD_WORDS words, or whose language has no
 reference, are not judged by distance: a short text's histogram is too rough to tell.
 
 Cases: null or empty text has no words and fails the base rules. A null or unlisted language leaves the verdict to the base
@@ -28,6 +29,8 @@ GUARD_WORDS = 50
 #: Largest distance at which a document still looks like its language. Ordinary prose of 50 words stays far below.
 MAX_CLASS_DISTANCE = 0.32
 MAX_WORD_DISTANCE = 0.50
+#: On sf0.01 and sf0.1 documents labelled as good lie at 0.108 at most, and fragments between '|' at 0.174 at least.
+MAX_SYMBOL_DISTANCE = 0.14
 #: Common function words of each language with a reference.
 COMMON_WORDS = {
     "en": "the of and to in a is that for it as was with be by on not he this are or his from at which but have an had they you were their one all we can her has there been if more when will would who so no".split(),
@@ -44,6 +47,10 @@ _CLASS[65:91] = 1
 _CLASS[48:58] = 2
 _CLASS[[32, 9, 10, 11, 12, 13]] = 3
 _CLASS[[ord(c) for c in ".,;:'\"!?()-"]] = 4
+#: Symbols that junk is made of, each with a bin of its own; the last bin is every other byte that is not white space.
+SYMBOLS = "#*$%&|<>"
+_SYMBOL = np.zeros(256, np.uint8)
+_SYMBOL[[ord(c) for c in SYMBOLS]] = np.arange(1, len(SYMBOLS) + 1)
 _PLACES = {lang: {w.encode(): k for k, w in enumerate(words)} for lang, words in COMMON_WORDS.items()}
 
 
@@ -81,6 +88,16 @@ def _histograms(data: np.ndarray, off: np.ndarray) -> np.ndarray:
     return np.stack([_between(kinds == k, off) for k in range(_CLASSES)], 1)
 
 
+def _symbols(data: np.ndarray, off: np.ndarray, classes: np.ndarray) -> np.ndarray:
+    """Counts of each of SYMBOLS in each text, and at the end of all other bytes but white space."""
+    at = np.flatnonzero(_SYMBOL[data])
+    row = np.searchsorted(off, at, "right") - 1
+    n, bins = len(off) - 1, len(SYMBOLS) + 1
+    out = np.bincount(row * bins + _SYMBOL[data[at]] - 1, minlength=n * bins).reshape(n, bins)
+    out[:, -1] = classes.sum(1) - classes[:, 3] - out.sum(1)
+    return out
+
+
 def _common(words: list[bytes], lang: str) -> np.ndarray:
     """Counts of the language's common words, and at the end of all other words."""
     places = _PLACES[lang]
@@ -104,20 +121,24 @@ def distance(p: np.ndarray, q: np.ndarray) -> float:
 
 
 _SHARE = 1_000_000
+#: Where the symbols start in a reference, counted from its end.
+_MARKS = -len(SYMBOLS) - 1
 
 
 def _reference_sums(guard: int):
     """Per task, language and bin: the sum of the documents' shares, in millionths, so that any order of adding gives the same."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = {lang: np.zeros(_CLASSES + len(words) + 1, np.int64) for lang, words in COMMON_WORDS.items()}
+        sums = {lang: np.zeros(_CLASSES + len(words) + 1 + len(SYMBOLS) + 1, np.int64) for lang, words in COMMON_WORDS.items()}
         for batch in text_chunks(batches):
             data, off = buffer_of(batch.column(1))
             whole, classes = data.tobytes(), _histograms(data, off)
+            marks = _symbols(data, off, classes)
             for k, lang in enumerate(batch.column(2).to_pylist()):
                 if lang in sums and len(words := whole[off[k] : off[k + 1]].split()) >= guard:
                     sums[lang][:_CLASSES] += classes[k] * _SHARE // classes[k].sum()
-                    sums[lang][_CLASSES:] += _common(words, lang) * _SHARE // len(words)
+                    sums[lang][_CLASSES:_MARKS] += _common(words, lang) * _SHARE // len(words)
+                    sums[lang][_MARKS:] += marks[k] * _SHARE // marks[k].sum()
         rows = [(lang, k, int(v)) for lang, values in sums.items() for k, v in enumerate(values) if v]
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], schema=pa.schema([("lang", pa.string()), ("bin", pa.int64()), ("share", pa.int64())]))
@@ -128,17 +149,23 @@ def _reference_sums(guard: int):
 def references(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", guard: int = GUARD_WORDS) -> dict[str, np.ndarray]:
     """Per listed language, the sums over all its documents; at most (languages x bins) rows reach the driver."""
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
-    out = {lang: np.zeros(_CLASSES + len(words) + 1) for lang, words in COMMON_WORDS.items()}
+    out = {lang: np.zeros(_CLASSES + len(words) + 1 + len(SYMBOLS) + 1) for lang, words in COMMON_WORDS.items()}
     for lang, k, v in docs.mapInArrow(_reference_sums(guard), "lang string, bin long, share long").groupBy("lang", "bin").agg(F.sum("share")).collect():
         out[lang][k] = v
     return {lang: v for lang, v in out.items() if v.any()}
 
 
-def _judged(known: dict[str, np.ndarray], guard: int, min_words: int, most_class: float, most_word: float):
+def _fewer(marks: np.ndarray, reference: np.ndarray) -> bool:
+    """Whether a text has no larger share of symbols than its language; a large distance then speaks for it."""
+    return marks[-1] * reference.sum() >= reference[-1] * marks.sum()
+
+
+def _judged(known: dict[str, np.ndarray], guard: int, min_words: int, most_class: float, most_word: float, most_symbol: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_chunks(batches):
             data, off = buffer_of(batch.column(1))
             whole, classes = data.tobytes(), _histograms(data, off)
+            marks = _symbols(data, off, classes)
             chars = _between(((data & 0xC0) != 0x80) & (_CLASS[data] != 3), off)
             symbols = _between(np.isin(data, np.frombuffer(b"#*$%&|<>", np.uint8)), off)
             rows = []
@@ -147,28 +174,30 @@ def _judged(known: dict[str, np.ndarray], guard: int, min_words: int, most_class
                 words = text.split()
                 dup, repeated = base_counts(text, words)
                 failed = len(words) < min_words or 100 * repeated > 50 * len(words)
-                by_class = by_word = None
+                by_class = by_word = by_symbol = None
                 if lang in known and len(words) >= guard:
                     by_class = distance(classes[k], known[lang][:_CLASSES])
-                    by_word = distance(_common(words, lang), known[lang][_CLASSES:])
+                    by_word = distance(_common(words, lang), known[lang][_CLASSES:_MARKS])
+                    by_symbol = distance(marks[k], known[lang][_MARKS:])
                 kept = not failed and (by_class is None or by_class <= most_class) and (by_word is None or by_word <= most_word)
-                rows.append((len(words), int(chars[k]), int(symbols[k]), dup, repeated, failed, kept, by_class, by_word))
-            types = [pa.int64()] * 5 + [pa.bool_()] * 2 + [pa.float64()] * 2
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True))], names=["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "class_distance", "word_distance"])
+                accepted = kept and (by_symbol is None or by_symbol <= most_symbol or _fewer(marks[k], known[lang][_MARKS:]))
+                rows.append((len(words), int(chars[k]), int(symbols[k]), dup, repeated, failed, kept, by_class, by_word, by_symbol, accepted))
+            types = [pa.int64()] * 5 + [pa.bool_()] * 2 + [pa.float64()] * 3 + [pa.bool_()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True))], names=["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "class_distance", "word_distance", "symbol_distance", "accepted"])
 
     return run
 
 
-def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", guard: int = GUARD_WORDS, min_words: int = MIN_WORDS, most_class: float = MAX_CLASS_DISTANCE, most_word: float = MAX_WORD_DISTANCE) -> DataFrame:
-    """Per document: doc_id, the base counts, base_failed, kept, class_distance and word_distance (null where not judged)."""
+def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", guard: int = GUARD_WORDS, min_words: int = MIN_WORDS, most_class: float = MAX_CLASS_DISTANCE, most_word: float = MAX_WORD_DISTANCE, most_symbol: float = MAX_SYMBOL_DISTANCE) -> DataFrame:
+    """Per document: doc_id, the base counts, base_failed, kept, class_distance, word_distance and symbol_distance (null where not judged), and accepted (kept, and symbols as in its language)."""
     known = references(docs, id_col, text_col, lang_col, guard)
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
     kind = dict(docs.dtypes)["id"]
-    return docs.mapInArrow(_judged(known, guard, min_words, most_class, most_word), f"doc_id {kind}, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean, class_distance double, word_distance double")
+    return docs.mapInArrow(_judged(known, guard, min_words, most_class, most_word, most_symbol), f"doc_id {kind}, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean, class_distance double, word_distance double, symbol_distance double, accepted boolean")
 
 
 def op4_quality_rules(spark, sf_dir: str) -> DataFrame:
-    return quality(table(spark, sf_dir, "documents")).drop("class_distance", "word_distance")
+    return quality(table(spark, sf_dir, "documents")).drop("class_distance", "word_distance", "symbol_distance", "accepted")
 
 
 _LISTED = ", ".join(f"('{lang}', '{w}')" for lang, words in COMMON_WORDS.items() for w in dict.fromkeys(words))

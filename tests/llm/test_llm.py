@@ -131,6 +131,21 @@ def test_quality(docs, empty):
     assert quality.distance(np.array([1, 0]), np.array([0, 2])) == 1 and quality.distance(np.array([1, 3]), np.array([2, 6])) == 0
 
 
+def test_quality_rejects_by_distance(spark):
+    import corpus_pipeline
+
+    r = random.Random(8)
+    common = quality.COMMON_WORDS["en"]
+    clean = [" ".join(r.choice(common) if r.random() < 0.4 else r.choice(WORDS) for _ in range(80)).capitalize() + "." for _ in range(60)]
+    junk = [clean[0].replace(" ", " | "), clean[1].replace(" ", " ### "), clean[2].upper(), clean[3].replace(" ", " | ", 30)]
+    rows = [(k, t, "en") for k, t in enumerate(clean + junk)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {x["doc_id"]: x for x in quality.quality(df).collect()}
+    assert [k for k in got if not got[k]["accepted"]] == [60, 61, 62, 63] and not any(x["base_failed"] for x in got.values())
+    assert got[60]["symbol_distance"] > quality.MAX_SYMBOL_DISTANCE > got[0]["symbol_distance"]
+    assert sorted(x["doc_id"] for x in corpus_pipeline.quality_rules(spark, df, "").collect()) == list(range(60))
+
+
 def brute_repeats(rows, n=100):
     first, out = set(), []
     seen = set()
