@@ -3,8 +3,8 @@
 Base spans are matches of three patterns (assign, access, hex; see BASE). A match's place is found by splitting the text at
 the same pattern: the gaps and the matches before it add up to its start.
 
-Linking adds weak candidates, which alone are too common to report: short values of a user or key name (`id`), short
-assigned secrets (`weak`) and service addresses (`endpoint`). All parts of a document that has weak ones are put in order
+Linking adds weak candidates, which alone are too common to report: values of a user or key name (`id`), assigned secrets
+that assign does not match, being short or a `pwd` (`weak`), and service addresses (`endpoint`). All parts of a document that has weak ones are put in order
 of place; a scope is a paragraph (text between blank lines). The interval join holds each weak candidate against the
 nearest part of each role before and after it in its scope, by running windows, so no pairs are made: an identifier
 (access or id) or a secret (assign, hex or weak) is reported when the other is within SCOPE_GAP code points, an endpoint
@@ -38,6 +38,9 @@ WEAK = {
 #: Where a scope ends.
 _BREAK = {"break": (r"\n[\x20\t\r]*\n", 0, 1, None, "break")}
 KINDS = BASE | WEAK | _BREAK
+#: Where the scan has no largest length though the SQL has: all of `id`, and of `weak` the key that assign lacks. The two
+#: differ only on longer values.
+_NO_MOST = {"id": "", "weak": "pwd"}
 ROLES = ("identifier", "secret", "endpoint")
 SCOPE_GAP = 400
 #: A cheap test for each kind; texts that fail it have no match.
@@ -51,12 +54,14 @@ def _spans(text: Column, kind: str) -> Column:
     rank = list(KINDS).index(kind)
     whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     value = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else whole
-    parts = F.arrays_zip(F.transform(whole, F.length).alias("m"), F.transform(value, F.length).alias("v"), F.transform(F.slice(F.split(text, pattern, -1), 1, F.size(whole)), F.length).alias("g"))
+    key = _NO_MOST.get(kind, "" if most is None else None)
+    free = F.transform(whole, lambda x: F.lower(x).startswith(key) if key else F.lit(key == ""))
+    parts = F.arrays_zip(free.alias("f"), F.transform(whole, F.length).alias("m"), F.transform(value, F.length).alias("v"), F.transform(F.slice(F.split(text, pattern, -1), 1, F.size(whole)), F.length).alias("g"))
 
     def step(acc: Column, x: Column) -> Column:
         begin = acc["at"] + x["g"]
         one = F.struct(begin.alias("start"), F.lit(rank).alias("rank"), (begin + x["m"]).alias("stop"))
-        good = (x["v"] >= least) & (F.lit(True) if most is None else x["v"] <= most)
+        good = (x["v"] >= least) & (F.lit(True) if most is None else x["f"] | (x["v"] <= most))
         return F.struct((begin + x["m"]).alias("at"), F.when(good, F.array_append(acc["out"], one)).otherwise(acc["out"]).alias("out"))
 
     found = F.aggregate(parts, F.struct(F.lit(0).alias("at"), F.array().cast(_SPAN).alias("out")), step)["out"]

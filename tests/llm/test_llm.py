@@ -297,6 +297,18 @@ def test_secrets(spark, empty):
     assert secrets.digest(secrets.scan(empty)).count() == 0
 
 
+def test_secrets_of_any_length(spark):
+    long_id = "client_id = " + "1234567890-" * 7 + "apps.example.com"
+    texts = ["user = bob\npwd = CorrectHorse123\nhttps://db.example.com/x", long_id + "\nclient_secret = abcdefghijkl", "user = bob\npassword = CorrectHorse123", "pwd = CorrectHorse123"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = secrets.scan(df)
+    rows = {r["doc_id"]: r["spans"] for r in secrets.digest(found).collect()}
+    assert rows[0] == "id:0:10,weak:11:32,endpoint:33:57" and rows[1].startswith(f"id:0:{len(long_id)},assign:")
+    assert rows[2] == "id:0:10,assign:11:37" and rows[3] == ""
+    clean = {r["doc_id"]: r["text"] for r in secrets.redacted(df, found).collect()}
+    assert clean[0] == "[SECRET]\n[SECRET]\n[SECRET]" and clean[1] == "[SECRET]\nclient_[SECRET]"
+
+
 def test_toxicity(spark, empty):
     bad = ["zork", "blug", "vextor"]
     rows = [(k, prose(60, k) + (f" {bad[k % 3]}, {bad[(k + 1) % 3]}" if k % 4 == 0 else "")) for k in range(400)]
