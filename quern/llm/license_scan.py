@@ -1,11 +1,13 @@
 """License scans as an exact set-similarity join of text blocks with license templates, in DataFrame functions only.
 
-Base: places where the words of a known phrase stand consecutively. The method: a block (a line) meets a template when at
-least `percent` per cent of the template's distinct words are in the block. Words of templates are put in one global
-order, rare in the corpus first. A block can only reach the required overlap a = ceil(percent * |T| / 100) if it has at
-least a template words (length filter), shares a word within the first |T| - a + 1 of the template and the first
-|B| - a + 1 of its own (prefix filter), and enough words are left after that one on both sides (positional filter). Blocks
-that pass are verified by intersection, so every block above the threshold is found.
+Base: places where the words of a known phrase stand consecutively. The method: a block meets a template when at least
+`percent` per cent of the template's distinct words are in it. Blocks are all windows of as many words as the template has,
+across line ends, so that wrapping does not matter, and all windows of twice as many within a line, for notices with words
+put in; scattered words of a long line do not add up. (The SQL takes lines for blocks; the two agree on notices of a line.)
+Words of templates are put in one global order, rare in the corpus first. A block with the required overlap
+a = ceil(percent * |T| / 100) has one of the first |T| - a + 1 words of the template (prefix filter), so only windows
+around such words are looked at, where enough words of the template are near (length filter), and every one of them is
+verified by intersection.
 
 Templates are fixed settings of a few hundred words; they, their prefixes and their counts are the only data broadcast.
 
@@ -68,18 +70,26 @@ def _both(word: str):
     return lambda met, x: met & F.coalesce(x == word, F.lit(False))
 
 
-def _matches(blocks: DataFrame, templates: list[tuple[str, list[int]]], percent: int) -> DataFrame:
-    """(row, label, share) of blocks(row, block, ranks) that meet a template; ranks are sorted word numbers."""
-    spark = blocks.sparkSession
-    rows = [(k, label, sorted(ranks), len(ranks), (percent * len(ranks) + 99) // 100) for k, (label, ranks) in enumerate(templates)]
-    known = spark.createDataFrame(rows, "template int, label string, wanted array<int>, size int, need int")
-    prefixes = known.select("template", "size", "need", F.posexplode(F.slice("wanted", F.lit(1), F.col("size") - F.col("need") + 1)).alias("i", "rank"))
-    probes = blocks.select("row", "block", F.size("ranks").alias("held"), F.posexplode("ranks").alias("j", "rank"))
-    left = F.least(F.col("held") - F.col("j"), F.col("size") - F.col("i"))
-    met = probes.join(F.broadcast(prefixes), "rank").where((F.col("held") >= F.col("need")) & (F.col("j") <= F.col("held") - F.col("need")) & (left >= F.col("need")))
-    met = met.select("row", "block", "template").distinct().join(blocks, ["row", "block"]).join(F.broadcast(known), "template")
-    overlap = F.size(F.array_intersect("ranks", "wanted"))
-    return met.where(overlap >= F.col("need")).select("row", "label", (overlap / F.col("size")).alias("share"))
+def _matches(streams: DataFrame, templates: list[tuple[str, list[str], int]], percent: int) -> DataFrame:
+    """(row, label, share) of streams(row, stretch, words) with a block that meets a template (label, words rarest first, length)."""
+    spark = streams.sparkSession
+    rows = [(k, label, ws, len(ws), (percent * len(ws) + 99) // 100, n) for k, (label, ws, n) in enumerate(templates)]
+    known = spark.createDataFrame(rows, "template int, label string, wanted array<string>, size int, need int, length int")
+    prefixes = known.select("*", F.explode(F.slice("wanted", F.lit(1), F.col("size") - F.col("need") + 1)).alias("word"))
+    rare = sorted({w for _, _, ws, _, a, _ in rows for w in ws[: len(ws) - a + 1]})
+    reach = F.col("stretch") * max(n for *_, n in rows) - 1
+    places = F.array_compact(F.transform("words", lambda x, i: F.when(x.isin(rare), i + 1)))
+
+    def around(p: Column) -> Column:
+        begin = F.greatest(F.lit(1), p - reach)
+        return F.struct(F.element_at("words", p).alias("word"), (p - begin + 1).alias("at"), F.slice("words", begin, p + reach - begin + 1).alias("near"))
+
+    probes = streams.select("row", "stretch", F.explode(F.transform(places, around)).alias("x")).select("row", "stretch", "x.*")
+    met = probes.join(F.broadcast(prefixes), "word").where(F.size(F.array_intersect("near", "wanted")) >= F.col("need"))
+    long = F.col("stretch") * F.col("length")
+    starts = F.sequence(F.greatest(F.lit(1), F.col("at") - long + 1), F.col("at"))
+    overlap = F.array_max(F.transform(starts, lambda k: F.size(F.array_intersect(F.slice("near", k, long), F.col("wanted")))))
+    return met.select("row", "label", "size", "need", overlap.alias("overlap")).where("overlap >= need").select("row", "label", (F.col("overlap") / F.col("size")).alias("share"))
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: list[tuple[str, str]] = TEMPLATES, percent: int = PERCENT) -> DataFrame:
@@ -87,9 +97,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templa
     words = [(label, template_words(t)) for label, t in templates]
     order = word_order(docs, text_col, sorted({w for _, ws in words for w in ws}))
     place = {w: k for k, w in enumerate(order)}
-    ranked = [(label, [place[w] for w in ws]) for label, ws in words]
-    needed = [(percent * len(r) + 99) // 100 for _, r in ranked]
-    hint = "(?i)" + "|".join(sorted({re.escape(order[k]) for (_, r), a in zip(ranked, needed, strict=True) for k in sorted(r)[: len(r) - a + 1]}))
+    ranked = [(label, sorted(ws, key=place.get), len(re.findall(_WORD, t.lower()))) for (label, ws), (_, t) in zip(words, templates, strict=True)]
+    hint = "(?i)" + "|".join(sorted({re.escape(w) for _, ws, _ in ranked for w in ws[: len(ws) - (percent * len(ws) + 99) // 100 + 1]}))
 
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     docs = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), text.alias("text"))
@@ -115,13 +124,14 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templa
         F.array_min(starts).cast("long").alias("first_word"),
         F.array_max(starts).cast("long").alias("last_word"),
         F.array_sort(found).alias("base"),
-        F.when(F.col("text").rlike(hint), F.array_distinct(F.filter(F.split("text", "\n", -1), lambda x: x.rlike(hint)))).alias("blocks"),
+        F.when(F.col("text").rlike(hint), F.array_distinct(F.filter(F.split("text", "\n", -1), lambda x: x.rlike(hint)))).alias("lines"),
+        F.when(F.col("text").rlike(hint) & F.col("text").contains("\n"), _words(F.col("text"))).alias("whole"),
     )
     facts = written(facts, "licenses")
-    ordered = F.array(*map(F.lit, order))
-    ranks = F.array_sort(F.transform(F.array_intersect(_words(F.col("t")), ordered), lambda w: (F.array_position(ordered, w) - 1).cast("int")))
-    blocks = facts.where("size(blocks) > 0").select("row", F.posexplode("blocks").alias("block", "t")).select("row", "block", ranks.alias("ranks"))
-    more = _matches(blocks.where(F.size("ranks") >= min(needed)), ranked, percent).groupBy("row").agg(F.collect_set("label").alias("more"), F.max("share").alias("share"))
+    lines = facts.select("row", F.explode("lines").alias("t")).select("row", F.lit(2).alias("stretch"), _words(F.col("t")).alias("words"))
+    whole = facts.where("whole is not null").select("row", F.lit(1).alias("stretch"), F.col("whole").alias("words"))
+    streams = written(lines.unionByName(whole), "license-words")  # a lambda holds the words
+    more = _matches(streams, ranked, percent).groupBy("row").agg(F.collect_set("label").alias("more"), F.max("share").alias("share"))
     none = F.array().cast("array<string>")
     labels = F.array_join(F.array_sort(F.array_union("base", F.coalesce("more", none))), ",").alias("labels")
     score = F.when(F.size("base") > 0, F.lit(1.0)).otherwise(F.coalesce("share", F.lit(0.0))).alias("score")

@@ -267,6 +267,20 @@ def test_licenses(spark, empty):
     assert license_scan.scan(empty).count() == 0
 
 
+def test_licenses_of_wrapped_notices(spark):
+    import textwrap
+
+    notices = [(label, t) for label, t in license_scan.TEMPLATES if len(t) > 72]
+    wrapped = [textwrap.fill(prose(40, 3) + ". " + t + ". " + prose(40, 4), 72) for _, t in notices]
+    commented = "\n".join("# " + x for x in textwrap.wrap(notices[0][1], 68))
+    words = license_scan.template_words(dict(license_scan.TEMPLATES[1:2])["mit"])
+    scattered = " ".join(f"{w} {prose(9, k)}" for k, w in enumerate(words))
+    df = spark.createDataFrame(list(enumerate([*wrapped, commented, scattered])), "doc_id long, text string")
+    rows = {r["doc_id"]: r for r in license_scan.scan(df).collect()}
+    assert all(label in rows[k]["labels"].split(",") and (rows[k]["score"] == 1) for k, (label, _) in enumerate(notices))
+    assert rows[len(wrapped)]["labels"] == "mit" and rows[len(wrapped) + 1]["labels"] == ""
+
+
 def test_warc(spark):
     rows = [(3, "http://a/é x", "same"), (1, None, "same"), (2, "u", None), (5, "u\r\nX: y", ""), (None, "v", "same"), (1, None, "same"), (9, "w", "z" * 200_000 + "\r\n\r\nWARC/1.1")]
     pages = spark.createDataFrame([(*r, "clash") for r in rows], "page_id long, url string, html string, d string").repartition(3)
