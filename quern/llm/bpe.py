@@ -2,12 +2,15 @@
 
 Texts are cut into pieces by the tokenizer's pattern, each distinct piece is merged once, in a recursive DuckDB query
 over token-position rows: join neighbours with the merge table, contract each word's leftmost pair of minimum rank, go on
-until no word has a pair. Decoding joins the ids with the vocabulary and aggregates the bytes in order of position.
+until no word has a pair. The recursion keeps one row for each position, so a piece may have any length. Where no merge
+makes a token of a lower rank than its parts (checked when the vocabulary is read), further occurrences of that pair in
+the word come next anyway, from left to right, and one step contracts them all. Decoding joins the ids with the
+vocabulary and aggregates the bytes in order of position.
 
-The pattern is fixed, so the cutting is done on arrays of code points with its rules; pieces are told apart by a 64-bit
-fingerprint, and each encoded text is checked by its exact length in bytes. Merged pieces are kept between texts of a
-worker, at most CACHE_PIECES of them. A piece of over LONG_PIECE bytes is merged by a heap, by the same rule, because the
-recursion holds every intermediate row of a word.
+The pattern is fixed, so the cutting is done on arrays of code points with its rules; another pattern is refused. Pieces
+are told apart by a 64-bit fingerprint; the bytes of the tokens found are held against the text, and a chunk in which
+they differ is encoded again with pieces told apart by their bytes. Merged pieces are kept between texts of a worker, at
+most CACHE_PIECES of them.
 
 Cases: null or empty text gives no tokens and decodes to nothing. Special tokens are never produced. Repeated rows are
 kept, null ids are returned as they are, other columns are ignored, empty tables give empty results.
@@ -17,9 +20,9 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import heapq
 import uuid
 from collections.abc import Iterator
+from itertools import pairwise
 
 import duckdb
 import numpy as np
@@ -28,11 +31,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quern.llm.shared import buffer_of, table, text_chunks
+from quern.llm.shared import buffer_of, table, text_chunks, worker_state
 from quern.llm.shingles import word_codes
 
 CACHE_PIECES = 1 << 20
-LONG_PIECE = 256
 #: Bytes of pieces that one recursive query takes; it bounds the query's intermediate rows.
 QUERY_BYTES = 1 << 19
 #: Tokens that one decoding query takes, but for a longer text.
@@ -40,22 +42,28 @@ QUERY_TOKENS = 1 << 20
 #: Largest vocabulary file that is broadcast.
 VOCABULARY_BYTES = 64 << 20
 
-#: Rows stand in order of word and position and stay so: one thread, insertion order kept. So neighbours are the next rows.
+#: Fixed value: the only pattern whose pieces piece_starts() cuts.
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: One row for each byte at first, keyed by word and position; t is null where a contraction has taken the position. n, the
+#: step, makes the rows of words that are still going new ones, so that the next step gets these and no others.
+#: @TAKEN: which occurrences of a word's least pair a step contracts; in a run that overlaps, every other one.
 MERGE = """
-WITH RECURSIVE step(w, p, t, n) AS (
+WITH RECURSIVE step(w, p, t, n) USING KEY (w, p) AS (
   SELECT w, p, t, 0 FROM start
-  UNION ALL
-  (WITH pairs AS (SELECT *, lead(t) OVER () AS t2, lead(w) OVER () AS w2 FROM step),
-        ranked AS MATERIALIZED (SELECT pairs.*, m.t AS new, CAST(m.t AS BIGINT) * 65536 + p AS key
-                                FROM pairs LEFT JOIN merges m ON m.pair = CASE WHEN w2 = w THEN pairs.t * 1048576 + t2 END),
-        least AS (SELECT w, min(key) AS best FROM ranked GROUP BY w HAVING min(key) IS NOT NULL),
-        going AS (SELECT * FROM ranked JOIN least USING (w))
-   SELECT w, p, CASE WHEN key = best THEN new ELSE t END, n + 1
-   FROM (SELECT *, lag(key) OVER () AS key0, lag(w) OVER () AS w0 FROM going)
-   WHERE NOT (w0 IS NOT DISTINCT FROM w AND key0 IS NOT DISTINCT FROM best))
+  UNION
+  (WITH pairs AS (SELECT w, p, t, n, lead(t) OVER (PARTITION BY w ORDER BY p) AS t2 FROM step WHERE t IS NOT NULL),
+        ranked AS (SELECT pairs.w, pairs.p, pairs.t, pairs.n, m.t AS new FROM pairs LEFT JOIN merges m ON m.pair = pairs.t * 1048576 + pairs.t2),
+        going AS (SELECT *, min(new) OVER (PARTITION BY w) AS best FROM ranked),
+        met AS (SELECT *, coalesce(new = best, false) AS hit, row_number() OVER o AS k FROM going WHERE best IS NOT NULL WINDOW o AS (PARTITION BY w ORDER BY p)),
+        numbered AS (SELECT *, k - coalesce(max(CASE WHEN NOT hit THEN k END) OVER o, 0) AS run FROM met WINDOW o AS (PARTITION BY w ORDER BY p)),
+        taken AS (SELECT *, @TAKEN AS take FROM numbered),
+        near AS (SELECT *, lag(take) OVER (PARTITION BY w ORDER BY p) AS gone FROM taken)
+   SELECT w, p, CASE WHEN gone THEN NULL WHEN take THEN new ELSE t END, n + 1 FROM near)
 )
-SELECT w, t FROM step JOIN (SELECT w, max(n) AS n FROM step GROUP BY w) USING (w, n) ORDER BY w, p
+SELECT w, t FROM step WHERE t IS NOT NULL ORDER BY w, p
 """
+ALL_TAKEN = "hit AND run % 2 = 1"
+FIRST_TAKEN = "hit AND k = min(CASE WHEN hit THEN k END) OVER (PARTITION BY w)"
 DECODE = "SELECT d, string_agg(s, '' ORDER BY p) AS s FROM tokens JOIN vocabulary USING (t) GROUP BY d ORDER BY d"
 
 
@@ -76,7 +84,38 @@ def vocabulary(path: str) -> dict:
     for value, pattern in ((0, r"\s"), (1, r"\p{L}"), (2, r"\p{N}")):
         classes[[ord(c) for c in regex.findall(pattern, everything)]] = value
     m = np.array(merges, np.int64)
-    return {"ranks": ranks, "pair": m[:, 0] << 20 | m[:, 1], "new": m[:, 2].astype(np.int32), "single": np.array([ranks[bytes([b])] for b in range(256)], np.int32), "classes": classes}
+    return {"ranks": ranks, "rising": rising(ranks, merges), "pair": m[:, 0] << 20 | m[:, 1], "new": m[:, 2].astype(np.int32), "single": np.array([ranks[bytes([b])] for b in range(256)], np.int32), "classes": classes}
+
+
+def _passes(tokens: list[bytes], ranks: dict[bytes, int]) -> bool:
+    """Whether merging the bytes of the tokens, alone, comes by just these tokens."""
+    now = [bytes([c]) for c in b"".join(tokens)]
+    while len(now) > len(tokens):
+        least, k = min(((ranks[x + y], k) for k, (x, y) in enumerate(pairwise(now)) if x + y in ranks), default=(0, -1))
+        if k < 0:
+            return False
+        now[k : k + 2] = [now[k] + now[k + 1]]
+    return now == tokens
+
+
+def rising(ranks: dict[bytes, int], merges: list[tuple[int, int, int]]) -> bool:
+    """Whether a contraction of a word's least pair never makes a pair of a lower rank beside it.
+
+    It would have to make a token of which the whole, with a neighbour, has a lower rank; the merges come by such three
+    tokens in a text if they do so in their bytes alone, since nothing has crossed their borders.
+    """
+    token = {v: k for k, v in ranks.items()}
+    parts: dict[int, list[tuple[int, int]]] = {}
+    for a, b, new in merges:
+        parts.setdefault(new, []).append((a, b))
+    for a, b, new in merges:
+        for x, y in parts.get(b, ()) if new < b else ():
+            if ranks.get(token[a] + token[x], b) >= b and _passes([token[a], token[x], token[y]], ranks):
+                return False
+        for x, y in parts.get(a, ()) if new < a else ():
+            if ranks.get(token[y] + token[b], a) >= a and _passes([token[x], token[y], token[b]], ranks):
+                return False
+    return True
 
 
 def piece_starts(points: np.ndarray, text_at: np.ndarray, classes: np.ndarray) -> np.ndarray:
@@ -109,29 +148,6 @@ def piece_starts(points: np.ndarray, text_at: np.ndarray, classes: np.ndarray) -
     return np.flatnonzero(start)
 
 
-def merge_by_heap(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """The same merges as the query's, for one long piece."""
-    n = len(piece)
-    end, before, after = list(range(1, n + 1)), list(range(-1, n - 1)), list(range(1, n + 1))
-    alive = [True] * n
-    heap = [(r, i, i + 2) for i in range(n - 1) if (r := ranks.get(piece[i : i + 2])) is not None]
-    heapq.heapify(heap)
-    while heap:
-        _, i, stop = heapq.heappop(heap)
-        j = after[i]
-        if not alive[i] or j >= n or end[j] != stop:
-            continue
-        end[i], alive[j], after[i] = stop, False, after[j]
-        if after[i] < n:
-            before[after[i]] = i
-            if (r := ranks.get(piece[i : end[after[i]]])) is not None:
-                heapq.heappush(heap, (r, i, end[after[i]]))
-        h = before[i]
-        if h >= 0 and (r := ranks.get(piece[h:stop])) is not None:
-            heapq.heappush(heap, (r, h, stop))
-    return [ranks[piece[i : end[i]]] for i in range(n) if alive[i]]
-
-
 class Encoder:
     """Encodes chunks of texts; keeps the pieces that it has merged."""
 
@@ -140,6 +156,13 @@ class Encoder:
         self.con = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})
         self.con.register("merges_in", pa.table({"pair": v["pair"], "t": v["new"]}))
         self.con.execute("CREATE TABLE merges AS SELECT * FROM merges_in")
+        self.query = MERGE.replace("@TAKEN", ALL_TAKEN if v["rising"] else FIRST_TAKEN)
+        tokens = sorted(v["ranks"].items(), key=lambda x: x[1])
+        self.token_size, self.token_at = np.zeros(tokens[-1][1] + 1, np.int64), np.zeros(tokens[-1][1] + 1, np.int64)
+        ids = [i for _, i in tokens]
+        self.token_size[ids] = [len(b) for b, _ in tokens]
+        self.token_at[ids] = np.cumsum(self.token_size[ids]) - self.token_size[ids]
+        self.token_bytes = np.frombuffer(b"".join(b for b, _ in tokens), np.uint8)
         self.clear()
 
     def clear(self) -> None:
@@ -152,8 +175,6 @@ class Encoder:
         for k, piece in enumerate(pieces):
             if (whole := self.v["ranks"].get(piece)) is not None:
                 out[k] = np.array([whole], np.int32)
-            elif len(piece) > LONG_PIECE:
-                out[k] = np.array(merge_by_heap(piece, self.v["ranks"]), np.int32)
             else:
                 left.append(k)
                 held += len(piece)
@@ -172,7 +193,7 @@ class Encoder:
         t = self.v["single"][np.frombuffer(b"".join(pieces[k] for k in which), np.uint8)]
         start = pa.table({"w": w, "p": p.astype(np.int32), "t": t.astype(np.int64)})
         self.con.register("start", start)
-        got = self.con.execute(MERGE).fetchnumpy()
+        got = self.con.execute(self.query).fetchnumpy()
         at = np.searchsorted(got["w"], np.arange(len(which) + 1))
         ids = got["t"].astype(np.int32)
         for k, a, b in zip(which, at[:-1], at[1:], strict=True):
@@ -203,22 +224,32 @@ class Encoder:
             self.codes, self.first, self.size = (np.insert(a, at[new], b) for a, b in ((self.codes, distinct[new]), (self.first, first), (self.size, size)))
             at = np.searchsorted(self.codes, distinct)
         sizes, firsts = self.size[at][piece], self.first[at][piece]
-        ends = np.cumsum(sizes)
-        ids = self.ids[np.repeat(firsts - (ends - sizes), sizes) + np.arange(ends[-1])]
+        ids, ends = _gathered(self.ids, firsts, sizes)
+        if not np.array_equal(self.spelled(ids), data):  # two pieces with one fingerprint
+            known: dict[bytes, int] = {}
+            pieces = [whole[a:b] for a, b in zip(byte_at[:-1].tolist(), byte_at[1:].tolist(), strict=True)]
+            piece = np.array([known.setdefault(x, len(known)) for x in pieces])
+            merged = self.merge(list(known))
+            size = np.array([len(x) for x in merged], np.int64)
+            ids, ends = _gathered(np.concatenate(merged), (np.cumsum(size) - size)[piece], size[piece])
         return ids.astype("<u4"), np.concatenate(([0], ends))[np.searchsorted(byte_at[:-1], off)]
 
+    def spelled(self, ids: np.ndarray) -> np.ndarray:
+        """The bytes of the tokens, one after another."""
+        return _gathered(self.token_bytes, self.token_at[ids], self.token_size[ids])[0]
+
 
-_encoders: dict[str, Encoder] = {}
+def _gathered(values: np.ndarray, first: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """values[first[i] : first[i] + size[i]] for every i, one after another, and where each ends."""
+    ends = np.cumsum(size)
+    return values[np.repeat(first - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)], ends
 
 
 def _encode(shared):
-    name = uuid.uuid4().hex
+    name = f"bpe-{uuid.uuid4().hex}"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if name not in _encoders:  # workers are used again by later tasks
-            _encoders.clear()
-            _encoders[name] = Encoder(shared.value)
-        encoder = _encoders[name]
+        encoder = worker_state(name, lambda: Encoder(shared.value))
         for batch in text_chunks(batches):
             ids, at = encoder.encode(*buffer_of(batch.column(1)))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([ids[a:b].tobytes() for a, b in zip(at[:-1], at[1:], strict=True)], pa.binary())], names=["id", "ids"])
@@ -270,4 +301,6 @@ def digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
 def op7_byte_bpe(spark, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
+    if public_tokenizers.PATTERN != PATTERN:
+        raise ValueError("the tokenizer has another pattern than the one implemented")
     return digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))

@@ -1,10 +1,12 @@
-"""What the operators of this subpackage share: the shared folder, written tables and Arrow text buffers."""
+"""What the operators of this subpackage share: the shared folder, written tables, worker state and Arrow text buffers."""
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -15,21 +17,52 @@ CHUNK_BYTES = 2 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or (only where unset, as in tests) a temporary one."""
+    """The folder that driver and executors share: spark.checkpoint.dir; only a local session gets a temporary one where it is unset."""
     sc = spark.sparkContext
     found = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not found:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="quern-")
         sc.setCheckpointDir(found)
     return found.rstrip("/")
 
 
+#: Frees the shuffle files of a query when it ends, not when the driver happens to collect its garbage.
+_FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """df, written as Parquet into the shared folder and read again: lineage ends here and lost executors cost nothing."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/quern-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    before = spark.conf.get(_FREE_SHUFFLES, "false")
+    spark.conf.set(_FREE_SHUFFLES, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(_FREE_SHUFFLES, before)
+    back = spark.read.schema(df.schema).parquet(path)
+    back._written_to = path
+    return back
+
+
+def drop(*tables: DataFrame) -> None:
+    """Deletes tables that `written` returned, once nothing that is still to run reads them."""
+    for df in tables:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._written_to)
+        path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
+_held: dict[str, Any] = {}
+
+
+def worker_state(name: str, make: Callable[[], Any]) -> Any:
+    """What make() gives, kept for later tasks of this Python worker; one object at a time, whichever operator it belongs to."""
+    if name not in _held:
+        _held.clear()
+        _held[name] = make()
+    return _held[name]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
