@@ -1,15 +1,20 @@
 """Toxicity by cumulative-link ordinal regression over sparse words.
 
-A document's features are its distinct words and word beginnings of PREFIXES bytes (hashed into BUCKETS); P(grade > k) = sigmoid(w . x - theta_k), with one weight
-vector w for all thresholds theta_0 < theta_1 < ..., so a word moves a document along one scale of severity. The weights are
-fitted in numpy by coordinate descent with an L1 penalty, which leaves weights to the few words that carry severity,
-once FITTED features are chosen by their share in each grade, on at most SAMPLE_DOCS labelled documents chosen by a hash of the id; the scale is then applied to all documents.
-
-Grades come from the labels: 0 not toxic, 1 toxic, 2 toxic and of low quality. The output is the expected grade.
-
-Cases: null or empty text has no features and gets the grade of the intercepts; with no usable labels every severity is 0.
-Labels with a null id or toxic value, and labels without a document, are left out; repeated labels count repeatedly. Rows
-are kept as they are; other columns are ignored; an empty table gives an empty result.
+A document's features are its distinct words and word beginnings of PREFIXES bytes (hashed into BUCKETS);
+P(grade > k) = sigmoid(w . x - theta_k), with one weight vector w for all thresholds theta_0 < theta_1 < ..., so a word
+moves a document along one scale of severity. Words are evidence for severity or none, w >= 0: a document is not cleared
+by harmless words around a toxic one. Weights and thresholds are the maximum of the likelihood (rows of a grade above 0
+weigh MISS_COST) less an L1 penalty, found
+in numpy by coordinate descent with a working set of the features that break the optimality conditions most, until none
+does; every feature takes part. They are fitted to at most SAMPLE_DOCS labelled documents, chosen by a hash of the id, and
+applied to all documents. Weights are multiples of 2^-20, so that a score does not depend on the order of adding.
+
+Grades come from the labels: 0 not toxic, 1 toxic, 2 toxic in a document that is labelled as of low quality too (the only
+order of harm that two binary labels give; pass `grade` for another). The output is the expected grade.
+
+Cases: null or empty text has no features and gets the grade of the thresholds; with no usable labels every severity is 0.
+Labels with a null id or toxic value, and labels without a document, are left out; a null quality counts as not low;
+repeated labels count repeatedly. Rows are kept as they are; other columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -21,15 +26,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quern.llm.shared import buffer_of, table, text_chunks
+from quern.llm.shared import buffer_of, least_rows, table, text_chunks
 from quern.llm.shingles import _LOWER, mix, word_bounds, word_codes
 
 BUCKETS = 1 << 20
 SAMPLE_DOCS = 6000
-PENALTY = 5e-4
+PENALTY = 1e-3
+#: How much a row of a grade above 0 weighs in the likelihood: a missed document costs that many false alarms.
+MISS_COST = 1.5
 PREFIXES = (4, 6, 8)
-#: Features that are fitted: those whose mean grade differs most, in standard errors, from that of all documents.
-FITTED = 20_000
+#: Features that join the working set at once; a matter of speed only.
+JOINING = 256
+_UNIT = 1 << 20
 _BREAK = np.ones(256, bool)
 _BREAK[48:58] = _BREAK[97:123] = _BREAK[128:] = False
 
@@ -56,67 +64,88 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 class Scale:
-    """Weights (by bucket) and ascending thresholds."""
+    """Weights (by bucket, in units of 2^-20) and ascending thresholds."""
 
     def __init__(self, weights: np.ndarray, thresholds: np.ndarray):
-        self.weights, self.thresholds = weights.astype(np.float32), thresholds
+        self.weights, self.thresholds = np.rint(weights * _UNIT).astype(np.int32), thresholds
+
+    def scores(self, buckets: np.ndarray, at: np.ndarray) -> np.ndarray:
+        sums = np.concatenate(([0], np.cumsum(self.weights[buckets], dtype=np.int64)))
+        return (sums[at[1:]] - sums[at[:-1]]) / _UNIT
 
     def above(self, score: np.ndarray) -> np.ndarray:
         """P(grade > k) for each k, by row."""
         return _sigmoid(score[:, None] - self.thresholds)
 
 
-def fit_scale(at: np.ndarray, buckets: np.ndarray, grade: np.ndarray, grades: int, penalty: float = PENALTY, sweeps: int = 12) -> Scale:
-    """Rows have buckets[at[i]:at[i + 1]] and grade[i] in 0..grades-1."""
+class Likelihood:
+    """Of grades, given scores and thresholds: probabilities at the edges of each row's grade."""
+
+    def __init__(self, grade: np.ndarray, weight: np.ndarray, theta: np.ndarray):
+        self.grade, self.weight = grade, weight
+        self.move(theta)
+
+    def move(self, theta: np.ndarray) -> None:
+        self.theta = theta
+        edges = np.concatenate(([-np.inf], theta, [np.inf]))
+        self.low, self.high = edges[self.grade], edges[self.grade + 1]
+
+    def ends(self, score: np.ndarray, rows: np.ndarray | slice = slice(None)) -> tuple[np.ndarray, np.ndarray]:
+        """P(grade >= y) and P(grade > y) of rows with grade y."""
+        return _sigmoid(score - self.low[rows]), _sigmoid(score - self.high[rows])
+
+    def slopes(self, score: np.ndarray) -> np.ndarray:
+        """Of the negative log likelihood, by each row's score."""
+        at_least, more = self.ends(score)
+        return self.weight * (at_least + more - 1)
+
+    def threshold_slopes(self, score: np.ndarray) -> np.ndarray:
+        """Of the negative log likelihood, by each threshold."""
+        at_least, more = self.ends(score)
+        mass = np.maximum(at_least - more, 1e-12) / self.weight
+        up, down = at_least * (1 - at_least) / mass, more * (1 - more) / mass
+        return np.array([up[self.grade == k + 1].sum() - down[self.grade == k].sum() for k in range(len(self.theta))])
+
+    def fit_thresholds(self, score: np.ndarray) -> None:
+        """One Newton step on each threshold, kept in order."""
+        for k in range(len(self.theta)):
+            p = _sigmoid(score - self.theta[k])
+            step = self.threshold_slopes(score)[k] / ((self.weight * p * (1 - p)).sum() + 1e-9)
+            theta = self.theta.copy()
+            theta[k] -= np.clip(step, -1, 1)
+            self.move(np.maximum.accumulate(theta + 1e-6 * np.arange(len(theta))))
+
+
+def fit_scale(at: np.ndarray, buckets: np.ndarray, grade: np.ndarray, grades: int, penalty: float = PENALTY, miss_cost: float = MISS_COST, rounds: int = 400, tolerance: float = 1e-3) -> Scale:
+    """Rows have buckets[at[i]:at[i + 1]] and grade[i] in 0..grades-1. Ends when no condition is broken by over tolerance * penalty * rows."""
     n = len(grade)
     used, column = np.unique(buckets, return_inverse=True)
     row = np.repeat(np.arange(n), np.diff(at))
-    df = np.bincount(column, minlength=len(used))
-    sums = np.bincount(column, grade[row], minlength=len(used))
-    differs = np.abs(sums - df * grade.mean()) / np.sqrt(np.maximum(df, 1) * max(grade.var(), 1e-9))
-    differs[df < 3] = -1
-    floor = np.sort(differs)[max(0, len(differs) - FITTED)]
-    known = (differs >= max(floor, 0))[column]
-    row, column = row[known], column[known]
     order = np.argsort(column, kind="stable")
-    row, column = row[order], column[order]
-    fitted, start = np.unique(column, return_index=True)
-    rows = np.split(row, start[1:])
-    w, score = np.zeros(len(fitted)), np.zeros(n)
-    share = np.array([(grade > k).mean() for k in range(grades - 1)]).clip(1e-3, 1 - 1e-3)
-    theta = prior = np.log((1 - share) / share)
-    edges = np.concatenate(([-np.inf], theta, [np.inf]))
-
-    def ends_of(which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """P(grade >= y) and P(grade > y) of rows with grade y."""
-        y = grade[which]
-        return _sigmoid(score[which] - edges[y]), _sigmoid(score[which] - edges[y + 1])
-
-    everyone = np.arange(n)
-    for sweep in range(sweeps):
-        for j in range(len(fitted)) if sweep % 4 == 0 else np.flatnonzero(w).tolist():
-            r = rows[j]
-            at_least, more = ends_of(r)
-            slope = (at_least + more - 1).sum()
-            if w[j] == 0 and abs(slope) <= penalty * n:
-                continue
-            curve = (at_least * (1 - at_least) + more * (1 - more)).sum() + 1.0
-            step = w[j] - slope / curve
-            new = np.sign(step) * max(abs(step) - penalty * n / curve, 0.0)
-            if new != w[j]:
-                score[r] += new - w[j]
-                w[j] = new
-        at_least, more = ends_of(everyone)
-        mass = np.maximum(at_least - more, 1e-9)
-        for k in range(grades - 1):
-            up = (at_least * (1 - at_least) / mass)[grade == k + 1].sum() - (more * (1 - more) / mass)[grade == k].sum()
-            theta = theta - np.eye(grades - 1)[k] * up / ((more * (1 - more)).sum() + 1.0)
-        # No lower than in a text without features: what speaks for a grade must be in the text.
-        theta = np.maximum.accumulate(np.maximum(theta, prior) + 1e-3 * np.arange(grades - 1))
-        edges[1:-1] = theta
+    by_column, start = row[order], np.searchsorted(column[order], np.arange(len(used) + 1))
+    weight = np.where(grade > 0, miss_cost, 1.0)
+    share = np.array([(weight * (grade > k)).sum() / weight.sum() for k in range(grades - 1)]).clip(1e-3, 1 - 1e-3)
+    model = Likelihood(grade, weight, np.maximum.accumulate(np.log((1 - share) / share) + 1e-6 * np.arange(grades - 1)))
+    w, score, bound = np.zeros(len(used)), np.zeros(n), penalty * n
+    for _ in range(rounds):
+        slope = np.bincount(column, model.slopes(score)[row], minlength=len(used))
+        broken = np.where(w > 0, np.abs(slope + bound), np.maximum(0, -slope - bound))
+        worst = np.argsort(-broken, kind="stable")[:JOINING]
+        joining = worst[broken[worst] > tolerance * bound]
+        if not len(joining) and np.abs(model.threshold_slopes(score)).max() <= tolerance * bound:
+            break
+        for j in [*joining.tolist(), *np.flatnonzero(w).tolist()]:
+            r = by_column[start[j] : start[j + 1]]
+            at_least, more = model.ends(score[r], r)
+            curve = (weight[r] * (at_least * (1 - at_least) + more * (1 - more))).sum() + 1e-6
+            step = np.clip(-((weight[r] * (at_least + more - 1)).sum() + bound) / curve, -1, 1)
+            new = max(0.0, w[j] + step)
+            score[r] += new - w[j]
+            w[j] = new
+        model.fit_thresholds(score)
     weights = np.zeros(BUCKETS)
-    weights[used[fitted]] = w
-    return Scale(weights, theta)
+    weights[used] = w
+    return Scale(weights, model.theta)
 
 
 def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -129,7 +158,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, grade: F
     """Fits the scale to at most sample_docs rows of labels that have a document."""
     key = F.xxhash64(F.col(id_col).cast("string"))
     chosen = labels.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("label_id"), grade.cast("int").alias("grade"), key.alias("key")).where("grade is not null")
-    chosen = chosen.orderBy("key", "label_id", "grade").limit(sample_docs).drop("key")
+    chosen = least_rows(chosen, "key", sample_docs).drop("key")
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(chosen), F.col("id") == F.col("label_id")).select(F.col("id").cast("string"), "text", "grade")
     got = rows.mapInArrow(_featured, "id string, grade int, buckets array<int>").orderBy("id", "grade").toArrow()
     if not got.num_rows:
@@ -149,8 +178,7 @@ def _scored(shared):
                 severity, grade = np.zeros(n), np.zeros(n, np.int64)
             else:
                 buckets, at = features(*buffer_of(batch.column(1)))
-                sums = np.concatenate(([0.0], np.cumsum(scale.weights[buckets], dtype=np.float64)))
-                above = scale.above(sums[at[1:]] - sums[at[:-1]])
+                above = scale.above(scale.scores(buckets, at))
                 severity, grade = above.sum(1), (above >= 0.5).sum(1)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(severity), pa.array(grade, pa.int64()), pa.array(grade > 0)], names=["doc_id", "severity", "grade", "toxic"])
 
