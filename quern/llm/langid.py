@@ -3,8 +3,9 @@
 A forward and a backward layer read the bytes; at every position both states give a probability for each language, and a
 document's probabilities are the mean over its positions. Training is backpropagation through time over windows of a
 bounded sample of labelled rows (SAMPLE_DOCS documents, one window each, chosen by a hash of the id). Prediction reads the
-whole text, cut into segments of SEGMENT bytes that are worked on side by side; each starts from a zero state, as in
-training, and every byte is labelled in exactly one segment.
+whole text, cut into segments of SEGMENT bytes that are worked on side by side. Each layer reads HALO bytes before its
+first label (the backward layer HALO bytes behind the last), so that states do not start from zero inside a text; every
+byte is labelled in exactly one segment.
 
 Cases: null text, and text without a letter, is `und` with score 0; so is everything when no row is labelled. Rows with a
 null id are predicted, not learned from and not held out. Equal texts get equal predictions. Other columns are ignored;
@@ -20,14 +21,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quern.llm.shared import buffer_of, table, text_chunks
+from quern.llm.shared import buffer_of, least_rows, table, text_chunks
 
 SAMPLE_DOCS = 6000
 WINDOW = 64
-SEGMENT = 256
+SEGMENT = 512
+#: Bytes that warm a state up where a text is cut; as long as a training window.
+HALO = 64
 HIDDEN = 8
 #: Segments that one step of the network takes together.
-TOGETHER = 4096
+TOGETHER = 2048
 _ALPHA = np.zeros(256, bool)
 _ALPHA[65:91] = _ALPHA[97:123] = True
 
@@ -135,30 +138,31 @@ class Network:
             np.matmul(v, h, out=out[t])
         return out
 
-    def label(self, data: np.ndarray, off: np.ndarray, segment: int = SEGMENT) -> np.ndarray:
+    def label(self, data: np.ndarray, off: np.ndarray, segment: int = SEGMENT, halo: int = HALO) -> np.ndarray:
         """Mean probability of each language over the positions of each text; zeros for an empty text."""
         total = np.zeros((len(off) - 1, len(self.langs)))
         length = np.diff(off)
         per = -(-length // segment)
         owner = np.repeat(np.arange(len(length)), per)
         k = np.arange(len(owner)) - np.repeat(np.cumsum(per) - per, per)
-        start = off[owner] + k * segment
-        size = np.minimum(off[owner + 1] - start, segment)
-        order = np.argsort(-size, kind="stable")
+        first = off[owner] + k * segment
+        last = np.minimum(off[owner + 1], first + segment)
+        start, stop = np.maximum(off[owner], first - halo), np.minimum(off[owner + 1], last + halo)
+        order = np.argsort(start - stop, kind="stable")
         for i in range(0, len(order), TOGETHER):
             pick = order[i : i + TOGETHER]
-            s, n = start[pick], size[pick]
+            s, n = start[pick], (stop - start)[pick]
             t = np.arange(n[0])[:, None]
-            inside = t < n
+            labelled = (t >= first[pick] - s) & (t < last[pick] - s)
             ahead = data[np.minimum(s + t, len(data) - 1)].astype(np.intp)
             behind = data[np.maximum(s + n - 1 - t, 0)].astype(np.intp)
             logits = self._run(ahead, "f")
             back = self._run(behind, "b")
-            logits += np.take_along_axis(back, np.where(inside, n - 1 - t, t)[:, None, :], 0)
+            logits += np.take_along_axis(back, np.where(t < n, n - 1 - t, t)[:, None, :], 0)
             logits += self.p["b"][:, None]
             np.exp(np.clip(logits, -30, 30, out=logits), out=logits)
             logits /= logits.sum(1, keepdims=True)
-            logits *= inside[:, None, :]
+            logits *= labelled[:, None, :]
             np.add.at(total, owner[pick], logits.sum(0, dtype=np.float64).T)
         return total / np.maximum(length, 1)[:, None]
 
@@ -169,7 +173,7 @@ def fit(docs: DataFrame, id_col: str, text_col: str, lang_col: str, learn: F.Col
     text = F.col(text_col).cast("string")
     at = F.pmod(F.xxhash64(key), F.greatest(F.lit(1), F.length(text) - WINDOW)).cast("int") + 1
     rows = docs.where(learn & F.col(lang_col).isNotNull() & text.rlike(r"\p{L}")).select(key.alias("key"), F.substring(text, at, F.lit(2 * WINDOW)).alias("t"), F.col(lang_col).cast("string").alias("lang"))
-    rows = rows.orderBy("key", "t", "lang").limit(sample_docs).toPandas()
+    rows = least_rows(rows, "key", sample_docs).toPandas()
     if not len(rows):
         return None
     langs = sorted(set(rows["lang"]))
