@@ -116,11 +116,22 @@ def test_decontamination(docs, spark, empty):
     assert rows[12]["n_hit"] == 3 and rows[12]["n_items"] == 1 and not rows[0]["contaminated"] and rows[8]["n_words"] == 0
     a, b = rows[6]["byte_spans"][0]
     assert sample()[6][1].encode()[a:b].decode() == item
-    parts = {r["doc_id"]: (r["n_hit"], r["items_sha256"]) for r in decontam.contamination(docs, bench, pattern_bytes=1).collect()}
+    parts = {r["doc_id"]: (r["n_hit"], r["items_sha256"]) for r in decontam.contamination(docs, bench, pattern_words=1).collect()}
     assert parts == {k: (r["n_hit"], r["items_sha256"]) for k, r in rows.items()}
+    kept = decontam.clean(docs, bench, pattern_words=1)
+    assert kept.columns == docs.columns and sorted(r["doc_id"] or -1 for r in kept.collect()) == sorted(i or -1 for i, _ in texts_of(docs) if i is None or not rows[i]["contaminated"])
+    assert decontam.clean(empty, bench).count() == 0 and decontam.clean(docs, bench.limit(0)).count() == docs.count()
     assert decontam.contamination(empty, bench).count() == 0 and decontam.contamination(docs, bench.limit(0)).where("contaminated").count() == 0
 
 
+def test_one_automaton_at_a_time():
+    from quern.llm.shared import worker_state
+
+    for k in range(3):
+        worker_state(f"part{k}", lambda k=k: decontam.Matcher({(b"a", bytes([98 + k])): ["1"]}))
+        assert decontam.Matcher.alive == 1
+
+
 def test_quality(docs, empty):
     rows = {r["doc_id"]: r for r in quality.quality(docs).collect()}
     assert rows[17]["base_failed"] and rows[17]["n_repeat_words"] == rows[17]["n_words"] == 400
@@ -212,6 +223,35 @@ def test_bpe(docs, empty):
     assert all(ids[a:b].tolist() == reference.encode_ordinary(t) for t, a, b in zip(odd, at[:-1], at[1:], strict=True))
 
 
+def test_bpe_against_tiktoken_on_rare_code_points_and_whole_tables():
+    import public_tokenizers as P
+    import pyarrow.parquet as pq
+    import tiktoken
+
+    v = bpe.vocabulary(P.path("byte_bpe_50k.tiktoken"))
+    assert v["rising"] and P.PATTERN == bpe.PATTERN
+    reference = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=v["ranks"], special_tokens={})
+
+    def same(texts, encoder):
+        ids, at = encoder.encode(*buffer_of(pa.array(texts)))
+        return all(ids[a:b].tolist() == reference.encode_ordinary(t) for t, a, b in zip(texts, at[:-1], at[1:], strict=True))
+
+    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000][40000:60000]
+    rare = [f"a{chr(c)}b 1{chr(c)}2" for c in points]
+    for shift in (0, 1, 2, 777):  # other pieces stand at the edges of vectors
+        assert same(["x"] * shift + [f"zq{k}" for k in range(shift)] + rare, bpe.Encoder(v))
+    r = random.Random(9)
+    assert same(["".join(r.choice("abcdefghijklmnop") for _ in range(3000)), "a" * 5000, "ACGT" * 2000, "é" * 999], bpe.Encoder(v))
+    whole = [t or "" for t in pq.read_table("/root/testdata/sf0.01/documents.parquet")["text"].to_pylist()]
+    assert same(whole, bpe.Encoder(v))
+    slow = bpe.Encoder(v | {"rising": False})
+    assert same(whole[:20], slow)
+    collided = bpe.Encoder(v)
+    collided.encode(*buffer_of(pa.array(whole[:30])))
+    collided.ids[:] = 65  # as if other pieces had got into the cache
+    assert same(whole[:30], collided)
+
+
 def test_network_gradients():
     net = langid.Network(["a", "b", "c"], hidden=3, seed=1)
     net.p = {k: v.astype(np.float64) for k, v in net.p.items()}
@@ -231,15 +271,16 @@ def test_network_gradients():
 def test_network_labels_like_its_training_pass():
     net = langid.Network(["a", "b"], hidden=4, seed=2)
     text = np.frombuffer(prose(30, 5).encode(), np.uint8)
-    got = net.label(text, np.array([0, 10, 10, len(text)]), segment=50)
+    got = net.label(text, np.array([0, 10, 10, len(text)]), segment=50, halo=20)
     want = []
     for a, b in ((0, 10), (10, len(text))):
-        parts = [text[k : min(b, k + 50)] for k in range(a, b, 50)]
         prob = []
-        for p in parts:
+        for k in range(a, b, 50):
+            p = text[max(a, k - 20) : min(b, k + 70)]
             hf, hb = net._forward(p[:, None], "f")[0], net._forward(p[::-1][:, None], "b")[0][::-1]
             z = np.exp(hf @ net.p["vf"] + hb @ net.p["vb"] + net.p["b"])
-            prob.append((z / z.sum(2, keepdims=True))[:, 0])
+            at = k - max(a, k - 20)
+            prob.append((z / z.sum(2, keepdims=True))[at : at + min(50, b - k), 0])
         want.append(np.concatenate(prob).mean(0))
     assert np.allclose(got[[0, 2]], want, atol=1e-4) and (got[1] == 0).all()
 
@@ -323,6 +364,39 @@ def test_secrets_of_any_length(spark):
     assert clean[0] == "[SECRET]\n[SECRET]\n[SECRET]" and clean[1] == "[SECRET]\nclient_[SECRET]"
 
 
+def test_ordinal_fit_is_the_optimum():
+    """Against finite differences of the penalised likelihood, written out again."""
+    r = np.random.default_rng(4)
+    n, words = 300, 40
+    x = (r.random((n, words)) < 0.15).astype(float)
+    grade = np.clip((x[:, :4].sum(1) + r.normal(0, 0.6, n)).astype(int), 0, 2)
+    at = np.concatenate(([0], np.cumsum(x.sum(1).astype(int))))
+    scale = toxicity.fit_scale(at, np.nonzero(x)[1], grade, 3, penalty=5e-3, miss_cost=2.0, tolerance=1e-5, rounds=3000)
+
+    def loss(w, theta):
+        above = np.concatenate((np.ones((n, 1)), 1 / (1 + np.exp(-(x @ w)[:, None] + theta)), np.zeros((n, 1))), 1)
+        k = np.arange(n)
+        return -(np.where(grade > 0, 2.0, 1.0) * np.log(above[k, grade] - above[k, grade + 1])).sum() + 5e-3 * n * w.sum()
+
+    w = scale.weights[:words] / 2**20
+    assert (w[:4] > 0.5).all() and (np.diff(scale.thresholds) > 0).all()
+    for j in range(words):
+        step = np.eye(words)[j] * 1e-4
+        up, down = loss(w + step, scale.thresholds), loss(w - step, scale.thresholds)
+        assert abs(up - down) / 2e-4 < 0.02 if w[j] > 1e-3 else up > loss(w, scale.thresholds) - 1e-5
+    for k in range(2):
+        step = np.eye(2)[k] * 1e-4
+        assert abs(loss(w, scale.thresholds + step) - loss(w, scale.thresholds - step)) / 2e-4 < 0.02
+
+
+def test_toxicity_does_not_depend_on_rows_beside(spark):
+    rows = [(k % 150, prose(40, k % 150) + (" zork" if k % 5 == 0 else "")) for k in range(300)]
+    df = spark.createDataFrame([(*x, "c", 1.0) for x in rows], "doc_id long, text string, grade string, severity double")
+    labels = spark.createDataFrame([(k, None, int(k % 5 == 0)) for k in range(150)] + [(3, 1, None)], "doc_id long, quality int, toxic int")
+    one = sorted(map(tuple, toxicity.severity(df.repartition(7), labels).collect()))
+    assert one == sorted(map(tuple, toxicity.severity(df.coalesce(1), labels).collect())) and one[0::2] == one[1::2] and max(x[2] for x in one) == 1
+
+
 def test_toxicity(spark, empty):
     bad = ["zork", "blug", "vextor"]
     rows = [(k, prose(60, k) + (f" {bad[k % 3]}, {bad[(k + 1) % 3]}" if k % 4 == 0 else "")) for k in range(400)]
