@@ -2,7 +2,7 @@
 
 Texts are cut into pieces by the tokenizer's pattern, each distinct piece is merged once, in a recursive DuckDB query
 over token-position rows: join neighbours with the merge table, contract each word's leftmost pair of minimum rank, go on
-until no word has a pair. The recursion keeps one row for each position, so a piece may have any length. Where no merge
+until no word has a pair. For long pieces the recursion keeps one row for each position, so a piece may have any length. Where no merge
 makes a token of a lower rank than its parts (checked when the vocabulary is read), further occurrences of that pair in
 the word come next anyway, from left to right, and one step contracts them all. Decoding joins the ids with the
 vocabulary and aggregates the bytes in order of position.
@@ -22,7 +22,7 @@ import base64
 import hashlib
 import uuid
 from collections.abc import Iterator
-from itertools import pairwise
+from itertools import islice, pairwise
 
 import duckdb
 import numpy as np
@@ -35,8 +35,12 @@ from quern.llm.shared import buffer_of, table, text_chunks, worker_state
 from quern.llm.shingles import word_codes
 
 CACHE_PIECES = 1 << 20
-#: Bytes of pieces that one recursive query takes; it bounds the query's intermediate rows.
-QUERY_BYTES = 1 << 19
+#: Bytes of pieces that one recursive query takes, but for a longer piece; it bounds the query's rows.
+QUERY_BYTES = 1 << 17
+#: Bytes of a piece up to which a query keeps the rows of every step: QUERY_BYTES * SHORT_PIECE / 2 rows at most.
+SHORT_PIECE = 64
+#: Chunks of text whose new pieces are merged together, since a query reads the merge table in every step.
+CHUNKS = 4
 #: Tokens that one decoding query takes, but for a longer text.
 QUERY_TOKENS = 1 << 20
 #: Largest vocabulary file that is broadcast.
@@ -44,26 +48,27 @@ VOCABULARY_BYTES = 64 << 20
 
 #: Fixed value: the only pattern whose pieces piece_starts() cuts.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-#: One row for each byte at first, keyed by word and position; t is null where a contraction has taken the position. n, the
-#: step, makes the rows of words that are still going new ones, so that the next step gets these and no others.
-#: @TAKEN: which occurrences of a word's least pair a step contracts; in a run that overlaps, every other one.
+#: One row for each byte at first; g is its place in all words, and n the step. k numbers the rows in order; `before` says
+#: how many occurrences of the least pair run up to the row without a gap, of which every other one is contracted, from the
+#: left. @HIT: which occurrences a step takes. Steps add rows (SHORT) or, so that words of any length fit, replace the row of
+#: a place (LONG), where t is null once a contraction has taken the place.
 MERGE = """
-WITH RECURSIVE step(w, p, t, n) USING KEY (w, p) AS (
-  SELECT w, p, t, 0 FROM start
-  UNION
-  (WITH pairs AS (SELECT w, p, t, n, lead(t) OVER (PARTITION BY w ORDER BY p) AS t2 FROM step WHERE t IS NOT NULL),
-        ranked AS (SELECT pairs.w, pairs.p, pairs.t, pairs.n, m.t AS new FROM pairs LEFT JOIN merges m ON m.pair = pairs.t * 1048576 + pairs.t2),
-        going AS (SELECT *, min(new) OVER (PARTITION BY w) AS best FROM ranked),
-        met AS (SELECT *, coalesce(new = best, false) AS hit, row_number() OVER o AS k FROM going WHERE best IS NOT NULL WINDOW o AS (PARTITION BY w ORDER BY p)),
-        numbered AS (SELECT *, k - coalesce(max(CASE WHEN NOT hit THEN k END) OVER o, 0) AS run FROM met WINDOW o AS (PARTITION BY w ORDER BY p)),
-        taken AS (SELECT *, @TAKEN AS take FROM numbered),
-        near AS (SELECT *, lag(take) OVER (PARTITION BY w ORDER BY p) AS gone FROM taken)
-   SELECT w, p, CASE WHEN gone THEN NULL WHEN take THEN new ELSE t END, n + 1 FROM near)
+WITH RECURSIVE step(g, w, t, n) @KEY AS (
+  SELECT g, w, t, 0 FROM start
+  @UNION
+  (WITH pairs AS (SELECT g, w, t, n, row_number() OVER o AS k, lead(t) OVER o AS t2, lead(w) OVER o AS w2 FROM step @LIVE WINDOW o AS (ORDER BY g)),
+        ranked AS (SELECT pairs.*, m.t AS new FROM pairs LEFT JOIN merges m ON m.pair = CASE WHEN w2 = w THEN pairs.t * 1048576 + t2 END),
+        least AS (SELECT w, min(new) AS best, min(k) - 1 AS k0, @FIRST AS first FROM ranked GROUP BY w HAVING min(new) IS NOT NULL),
+        going AS (SELECT g, w, t, n, k, new, k0, coalesce(@HIT, false) AS hit FROM ranked JOIN least USING (w)),
+        runs AS (SELECT *, (k - 1 - greatest(k0, max(CASE WHEN NOT hit THEN k END) OVER (ORDER BY g ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))) % 2 = 1 AS gone FROM going)
+   @NEXT)
 )
-SELECT w, t FROM step WHERE t IS NOT NULL ORDER BY w, p
+@RESULT
 """
-ALL_TAKEN = "hit AND run % 2 = 1"
-FIRST_TAKEN = "hit AND k = min(CASE WHEN hit THEN k END) OVER (PARTITION BY w)"
+EVERY_HIT = {"@FIRST": "0", "@HIT": "new = best"}
+FIRST_HIT = {"@FIRST": "arg_min(k, new::BIGINT * 4294967296 + k)", "@HIT": "k = first"}
+SHORT = {"@KEY": "", "@UNION": "UNION ALL", "@LIVE": "", "@NEXT": "SELECT g, w, CASE WHEN hit THEN new ELSE t END, n + 1 FROM runs WHERE NOT gone", "@RESULT": "SELECT w, t FROM step JOIN (SELECT w, max(n) AS n FROM step GROUP BY w) USING (w, n) ORDER BY g"}
+LONG = {"@KEY": "USING KEY (g)", "@UNION": "UNION", "@LIVE": "WHERE t IS NOT NULL", "@NEXT": "SELECT g, w, CASE WHEN gone THEN NULL WHEN hit THEN new ELSE t END, n + 1 FROM runs", "@RESULT": "SELECT w, t FROM step WHERE t IS NOT NULL ORDER BY g"}
 DECODE = "SELECT d, string_agg(s, '' ORDER BY p) AS s FROM tokens JOIN vocabulary USING (t) GROUP BY d ORDER BY d"
 
 
@@ -156,7 +161,12 @@ class Encoder:
         self.con = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})
         self.con.register("merges_in", pa.table({"pair": v["pair"], "t": v["new"]}))
         self.con.execute("CREATE TABLE merges AS SELECT * FROM merges_in")
-        self.query = MERGE.replace("@TAKEN", ALL_TAKEN if v["rising"] else FIRST_TAKEN)
+        self.queries = []
+        for rows in (SHORT, LONG):
+            query = MERGE
+            for mark, sql in (rows | (EVERY_HIT if v["rising"] else FIRST_HIT)).items():
+                query = query.replace(mark, sql)
+            self.queries.append(query)
         tokens = sorted(v["ranks"].items(), key=lambda x: x[1])
         self.token_size, self.token_at = np.zeros(tokens[-1][1] + 1, np.int64), np.zeros(tokens[-1][1] + 1, np.int64)
         ids = [i for _, i in tokens]
@@ -171,60 +181,70 @@ class Encoder:
     def merge(self, pieces: list[bytes]) -> list[np.ndarray]:
         """Ids of each piece."""
         out: list = [None] * len(pieces)
-        left, held = [], 0
+        left = []
         for k, piece in enumerate(pieces):
             if (whole := self.v["ranks"].get(piece)) is not None:
                 out[k] = np.array([whole], np.int32)
             else:
                 left.append(k)
-                held += len(piece)
-                if held >= QUERY_BYTES:
-                    self._query(pieces, left, out)
-                    left, held = [], 0
-        if left:
-            self._query(pieces, left, out)
+        left.sort(key=lambda k: len(pieces[k]) > SHORT_PIECE)
+        size = np.array([len(pieces[k]) for k in left], np.int64)
+        batch = (np.cumsum(size) - size) // QUERY_BYTES * 2 + (size > SHORT_PIECE)
+        for which in np.split(np.array(left, np.int64), np.flatnonzero(np.diff(batch)) + 1) if left else ():
+            self._query(pieces, which.tolist(), out)
         return out
 
     def _query(self, pieces: list[bytes], which: list[int], out: list) -> None:
         sizes = np.array([len(pieces[k]) for k in which], np.int64)
         ends = np.cumsum(sizes)
         w = np.repeat(np.arange(len(which), dtype=np.int32), sizes)
-        p = np.arange(ends[-1]) - np.repeat(ends - sizes, sizes)
         t = self.v["single"][np.frombuffer(b"".join(pieces[k] for k in which), np.uint8)]
-        start = pa.table({"w": w, "p": p.astype(np.int32), "t": t.astype(np.int64)})
+        start = pa.table({"g": np.arange(ends[-1]), "w": w, "t": t.astype(np.int64)})
         self.con.register("start", start)
-        got = self.con.execute(self.query).fetchnumpy()
+        got = self.con.execute(self.queries[int(sizes.max()) > SHORT_PIECE]).fetchnumpy()
         at = np.searchsorted(got["w"], np.arange(len(which) + 1))
         ids = got["t"].astype(np.int32)
         for k, a, b in zip(which, at[:-1], at[1:], strict=True):
             out[k] = ids[a:b]
 
-    def encode(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of the texts, and where each text's ids start."""
-        if not len(data):
-            return np.zeros(0, np.uint32), np.zeros(len(off), np.int64)
+    def cut(self, data: np.ndarray, off: np.ndarray) -> tuple:
+        """The chunk with the places and fingerprints of its pieces."""
         whole = data.tobytes()
         points = np.frombuffer(whole.decode().encode("utf-32-le"), np.uint32)
         leads = np.flatnonzero((data & 0xC0) != 0x80)  # where each code point starts
-        text_at = np.searchsorted(leads, off)
-        byte_at = np.append(leads[piece_starts(points, text_at, self.v["classes"])], len(data))
-        codes = word_codes(data, byte_at[:-1], byte_at[1:])
-        distinct, example, piece = np.unique(codes, return_index=True, return_inverse=True)
+        byte_at = np.append(leads[piece_starts(points, np.searchsorted(leads, off), self.v["classes"])], len(data)) if len(data) else np.zeros(1, np.int64)
+        return data, off, whole, byte_at, word_codes(data, byte_at[:-1], byte_at[1:])
+
+    def learn(self, chunks: list[tuple]) -> None:
+        """Merges the pieces that are new."""
         if len(self.codes) > CACHE_PIECES:
             self.clear()
-        at = np.searchsorted(self.codes, distinct)
-        new = np.ones(len(distinct), bool)
-        inside = at < len(self.codes)
-        new[inside] = self.codes[at[inside]] != distinct[inside]
-        if new.any():
-            merged = self.merge([whole[byte_at[k] : byte_at[k + 1]] for k in example[new]])
-            size = np.array([len(x) for x in merged], np.int64)
-            first = len(self.ids) + np.cumsum(size) - size
-            self.ids = np.concatenate([self.ids, *merged])
-            self.codes, self.first, self.size = (np.insert(a, at[new], b) for a, b in ((self.codes, distinct[new]), (self.first, first), (self.size, size)))
-            at = np.searchsorted(self.codes, distinct)
-        sizes, firsts = self.size[at][piece], self.first[at][piece]
-        ids, ends = _gathered(self.ids, firsts, sizes)
+        new, pieces = [np.zeros(0, np.uint64)], []
+        for _, _, whole, byte_at, codes in chunks:
+            distinct, example = np.unique(codes, return_index=True)
+            unknown = ~np.isin(distinct, self.codes, assume_unique=True)
+            new.append(distinct[unknown])
+            pieces += [whole[byte_at[k] : byte_at[k + 1]] for k in example[unknown].tolist()]
+        codes, which = np.unique(np.concatenate(new), return_index=True)
+        if not len(codes):
+            return
+        merged = self.merge([pieces[k] for k in which.tolist()])
+        size = np.array([len(x) for x in merged], np.int64)
+        first = len(self.ids) + np.cumsum(size) - size
+        self.ids = np.concatenate([self.ids, *merged])
+        at = np.searchsorted(self.codes, codes)
+        self.codes, self.first, self.size = (np.insert(a, at, b) for a, b in ((self.codes, codes), (self.first, first), (self.size, size)))
+
+    def encode(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        chunk = self.cut(data, off)
+        self.learn([chunk])
+        return self.encoded(chunk)
+
+    def encoded(self, chunk: tuple) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of a chunk whose pieces are learned, and where each text's ids start."""
+        data, off, whole, byte_at, codes = chunk
+        at = np.searchsorted(self.codes, codes)
+        ids, ends = _gathered(self.ids, self.first[at], self.size[at])
         if not np.array_equal(self.spelled(ids), data):  # two pieces with one fingerprint
             known: dict[bytes, int] = {}
             pieces = [whole[a:b] for a, b in zip(byte_at[:-1].tolist(), byte_at[1:].tolist(), strict=True)]
@@ -250,9 +270,13 @@ def _encode(shared):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = worker_state(name, lambda: Encoder(shared.value))
-        for batch in text_chunks(batches):
-            ids, at = encoder.encode(*buffer_of(batch.column(1)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([ids[a:b].tobytes() for a, b in zip(at[:-1], at[1:], strict=True)], pa.binary())], names=["id", "ids"])
+        chunks = text_chunks(batches)
+        while group := list(islice(chunks, CHUNKS)):
+            cut = [encoder.cut(*buffer_of(batch.column(1))) for batch in group]
+            encoder.learn(cut)
+            for batch, chunk in zip(group, cut, strict=True):
+                ids, at = encoder.encoded(chunk)
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([ids[a:b].tobytes() for a, b in zip(at[:-1], at[1:], strict=True)], pa.binary())], names=["id", "ids"])
 
     return run
 
