@@ -5,17 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quern.llm.shared import written
+from quern.llm.shared import drop, written
 
 
 def connected(links: DataFrame) -> DataFrame:
     """(id, component): for each id in links(a, b), the smallest id reachable; ids without links are not listed.
 
-    Each round writes its links as a table, so lineage stays short. Nulls and self-links are ignored. The number of
-    rounds grows with the logarithm of the longest path; only two counts a round reach the driver.
+    The result is a written table. Each round writes its links as a table, so lineage stays short, and deletes the one
+    before. Nulls and self-links are ignored. The number of rounds grows with the logarithm of the longest path; only two
+    counts a round reach the driver.
     """
-    now = links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    now, before = written(now, "links"), None
+    now = written(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
+    before = None
     while True:
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
@@ -23,10 +24,15 @@ def connected(links: DataFrame) -> DataFrame:
         large = large.where("a <> b").distinct()
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a")
-        now = small.select("a", F.col("m").alias("b")).unionByName(small.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")))
-        now = written(now.where("a <> b").distinct(), "stars")
+        stars = small.select("a", F.col("m").alias("b")).unionByName(small.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")))
+        stars = written(stars.where("a <> b").distinct(), "stars")
+        drop(now)
+        now = stars
         state = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if state == before:
             break
         before = state
-    return now.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(now.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct())
+    found = now.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(now.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct())
+    found = written(found, "components")
+    drop(now)
+    return found

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quern.llm.components import connected
-from quern.llm.shared import buffer_of, longs, text_chunks, written
+from quern.llm.shared import buffer_of, drop, longs, text_chunks, written
 from quern.llm.shingles import shingle_sets
 
 #: Shingles whose frequency is known to every task, the most frequent first; beyond them the order is by fingerprint.
@@ -39,7 +39,7 @@ MOST_MATCHES = 4
 #: Bytes of document ids that may be broadcast for fetching the sets of candidates; beyond it they are joined.
 BROADCAST_IDS = 8 << 20
 #: Bytes of text in which shingles are counted together before the counts are added up.
-_WINDOW = 16 << 20
+_WINDOW = 8 << 20
 
 
 def _describe(words: int):
@@ -150,14 +150,14 @@ def _verified(percent: int):
     return run
 
 
-def _links(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
-    """Those of the pairs (a, b) that reach the threshold."""
+def _links(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> tuple[DataFrame, list[DataFrame]]:
+    """Those of the pairs (a, b) that reach the threshold, and the tables to drop once they are read."""
     spark = docs.sparkSession
     pairs = written(pairs, "pairs")
     ids = written(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct(), "ids")
     n = ids.count()
     if not n:
-        return pairs
+        return pairs, [pairs, ids]
     if n * 8 <= BROADCAST_IDS:
         wanted = spark.sparkContext.broadcast(np.sort(ids.toPandas()["id"].to_numpy(np.int64)))
     else:
@@ -166,7 +166,26 @@ def _links(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataF
     sets = written(sets.mapInArrow(_sets(words, wanted), "doc long, found binary").dropDuplicates(["doc"]), "sets")
     right = pairs.join(sets, F.col("b") == F.col("doc")).select("a", "b", F.col("found").alias("y"))
     both = right.join(sets, F.col("a") == F.col("doc")).select("a", "b", F.col("found").alias("x"), "y")
-    return both.mapInArrow(_verified(percent), "a long, b long")
+    return both.mapInArrow(_verified(percent), "a long, b long"), [pairs, ids, sets]
+
+
+def _frequent(counts: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """At most `most` of the shingles (a) with the largest sums of n, in ascending order, and their sums.
+
+    A histogram of the sums, by powers of 2^(1/8), gives the sum from which they fit, so no more than these reach the driver.
+    """
+    sums = written(counts.groupBy("a").agg(F.sum("n").alias("n")), "shingles")
+    level = F.floor(F.log2("n") * 8).cast("int")
+    room, least = most, 1 << 30
+    for at, n in sums.groupBy(level.alias("level")).count().orderBy(F.desc("level")).collect():
+        if n > room:
+            break
+        room, least = room - n, at
+    top = sums.where(level >= least).toPandas()
+    drop(sums)
+    known = top["a"].to_numpy(np.int64).view(np.uint64)
+    order = np.argsort(known)
+    return known[order], top["n"].to_numpy(np.int64)[order]
 
 
 def _needed(percent: int, n: str, ell: str, other_n: str) -> Column:
@@ -183,47 +202,46 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """One row per row of docs: doc_id, n_shingles, component_id (the smallest id reachable over links of Jaccard >= percent / 100)."""
     spark = docs.sparkSession
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    facts = written(docs.mapInArrow(_describe(words), "kind int, a long, n long, hi long, lo long"), "facts")
-    top = facts.where("kind = 0").groupBy("a").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "a").limit(FREQUENT).toPandas()
-    known = top["a"].to_numpy(np.int64).view(np.uint64)
-    order = np.argsort(known)
-    frequent = spark.sparkContext.broadcast((known[order], top["n"].to_numpy(np.int64)[order]))
+    described = written(docs.mapInArrow(_describe(words), "kind int, a long, n long, hi long, lo long"), "facts")
+    frequent = spark.sparkContext.broadcast(_frequent(described.where("kind = 0"), FREQUENT))
 
-    own = facts.where("kind = 1").select(F.col("a").alias("doc_id"), F.col("n").alias("n_shingles"), "hi", "lo")
+    own = described.where("kind = 1").select(F.col("a").alias("doc_id"), F.col("n").alias("n_shingles"), "hi", "lo")
     filled = own.where("n_shingles > 0 and doc_id is not null")
     first = filled.groupBy("hi", "lo").agg(F.min("doc_id").alias("first"))
     copies = filled.join(first, ["hi", "lo"]).where("doc_id <> first").select(F.col("doc_id").alias("a"), F.col("first").alias("b")).distinct()
-    copies = written(copies, "copies")
+    groups = connected(copies)
 
     postings = docs.mapInArrow(_postings(words, percent, frequent, most_matches), "token long, doc long, meta long")
     by = Window.partitionBy("token")
     listed = postings.withColumn("m", F.count_if(F.col("meta") >= 0).over(by)).where("m > 1 OR meta < 0")
-    listed = written(listed, "listed")
+    held = listed = written(listed, "listed")
     # Of each document: how many shingles of its prefix another prefix has too, and where its prefix ends.
     facts = listed.groupBy("doc").agg(F.count_if(F.col("meta") >= 0).alias("met"), F.max(F.when(F.col("meta") < 0, F.struct((-1 - F.col("meta")).alias("df"), F.col("token").alias("at")))).alias("end"))
     left = listed.where("meta >= 0").select("token", "doc", F.shiftright("meta", 8).alias("n"), F.shiftright("meta", 4).bitwiseAND(F.lit(15)).alias("ell"), "m").join(facts, "doc")
     # A document that must share `needed` of its `met` shingles shares one of the met - needed + 1 with the shortest lists.
     left = left.withColumn("rank", F.row_number().over(Window.partitionBy("doc").orderBy("m", "token"))).drop("m")
 
-    groups = written(connected(copies), "groups")
     for k in range(ROUNDS + 1):
         placed = left.drop("group").join(groups, F.col("doc") == F.col("id"), "left").withColumn("group", F.coalesce("component", "doc")).drop("id", "component")
         mixed = placed.withColumn("least", F.min("group").over(by)).withColumn("largest", F.max("group").over(by)).where("least <> largest").drop("least", "largest")
+        if k < ROUNDS:
+            # Another member is held against all others in each round; at first the one with the fewest shingles of its own.
+            own_shingles = F.expr(f"n - ({percent} * n + 99) div 100 + ell - met")
+            order = own_shingles if k == 0 else F.xxhash64("doc", F.lit(k))
+            mixed = mixed.withColumn("head", F.min(F.struct(order.cast("long").alias("order"), "doc", "n", "ell", "group", "met", "end")).over(by))
+        mixed = written(mixed, "mixed")
+        drop(held)
+        held = mixed
         if k == ROUNDS:
             break
-        # Another member is held against all others in each round; at first the one with the fewest shingles of its own.
-        own_shingles = F.expr(f"n - ({percent} * n + 99) div 100 + ell - met")
-        order = own_shingles if k == 0 else F.xxhash64("doc", F.lit(k))
-        mixed = mixed.withColumn("head", F.min(F.struct(order.cast("long").alias("order"), "doc", "n", "ell", "group", "met", "end")).over(by))
-        left = written(mixed, "mixed")
-        near = left.where(f"group <> head.group and 100 * least(n, head.n) >= {percent} * greatest(n, head.n)")
+        near = mixed.where(f"group <> head.group and 100 * least(n, head.n) >= {percent} * greatest(n, head.n)")
         near = near.where(F.when(F.col("end") <= F.col("head.end"), F.col("met") >= _needed(percent, "n", "ell", "head.n")).otherwise(F.col("head.met") >= _needed(percent, "head.n", "head.ell", "n")))
         near = near.groupBy("doc", F.col("head.doc").alias("to")).agg(F.count("*").alias("m"), F.first(F.when(F.col("end") <= F.col("head.end"), _needed(percent, "n", "ell", "head.n")).otherwise(_needed(percent, "head.n", "head.ell", "n"))).alias("needed"))
         near = near.where("m >= needed").select(F.greatest("doc", "to").alias("a"), F.least("doc", "to").alias("b")).distinct()
-        links = _links(docs, near, words, percent)
-        left = left.drop("head")
-        groups = written(connected(links.unionByName(groups.select(F.col("id").alias("a"), F.col("component").alias("b")))), "groups")
-    mixed = written(mixed, "mixed")
+        links, used = _links(docs, near, words, percent)
+        before, left = groups, mixed.drop("head")
+        groups = connected(links.unionByName(groups.select(F.col("id").alias("a"), F.col("component").alias("b"))))
+        drop(before, *used)
     x, y = mixed.alias("x"), mixed.alias("y")
     sized = (100 * F.col("x.n") >= percent * F.col("y.n")) & (100 * F.col("y.n") >= percent * F.col("x.n"))
     # x is the one whose prefix ends first, so what it must share is known; only its shingles with the shortest lists probe.
@@ -231,18 +249,34 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     first_end = (F.col("x.end") < F.col("y.end")) | ((F.col("x.end") == F.col("y.end")) & (F.col("x.doc") > F.col("y.doc")))
     far = x.join(y, (F.col("x.token") == F.col("y.token")) & first_end & (F.col("x.group") != F.col("y.group")) & sized & (F.col("x.rank") <= F.col("x.met") - needed + 1))
     far = far.select(F.col("x.doc").alias("a"), F.col("y.doc").alias("b"), needed.alias("needed")).distinct()
-    held = mixed.groupBy("doc").agg(F.collect_list("token").alias("tokens"))  # at most a prefix for each document
-    both = far.join(held.select(F.col("doc").alias("a"), F.col("tokens").alias("ta")), "a").join(held.select(F.col("doc").alias("b"), F.col("tokens").alias("tb")), "b")
+    prefixes = mixed.groupBy("doc").agg(F.collect_list("token").alias("tokens"))  # at most a prefix for each document
+    both = far.join(prefixes.select(F.col("doc").alias("a"), F.col("tokens").alias("ta")), "a").join(prefixes.select(F.col("doc").alias("b"), F.col("tokens").alias("tb")), "b")
     far = both.where(F.size(F.array_intersect("ta", "tb")) >= F.col("needed")).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    more = _links(docs, far, words, percent)
+    more, used = _links(docs, far, words, percent)
     reps = groups.withColumnsRenamed({"id": "doc", "component": "to"})
     more = more.join(reps, F.col("a") == F.col("doc"), "left").select(F.coalesce("to", "a").alias("a"), "b")
     more = more.join(reps, F.col("b") == F.col("doc"), "left").select("a", F.coalesce("to", "b").alias("b"))
     joined = connected(more).withColumnsRenamed({"id": "group", "component": "lowest"})
+    drop(mixed, *used)
     final = groups.join(joined, F.col("component") == F.col("group"), "full_outer").select(F.coalesce("id", "group").alias("id"), F.coalesce("lowest", "component").alias("component"))
     return own.join(final, F.col("doc_id") == F.col("id"), "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
 
+def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
+    """One row of each component, that of the smallest id, with all columns; rows with a null id all stay.
+
+    Of rows that repeat the smallest id, that with the least digest of the text stays.
+    """
+    found = ngram_components(docs, id_col, text_col, words, percent).where("doc_id is not null")
+    ids = written(found.groupBy("doc_id").agg(F.min("component_id").alias("lowest"), F.count("*").alias("rows")).where("doc_id <> lowest or rows > 1"), "losers")
+    whole = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("whole"), F.col(id_col).cast("long").alias("own"))
+    rows = whole.join(ids, F.col("own") == F.col("doc_id"), "left").where("lowest is null or doc_id = lowest")
+    one = Window.partitionBy("own").orderBy(F.md5(F.coalesce(F.col("whole").getField(text_col).cast("string"), F.lit(""))))
+    repeated = rows.where("rows > 1").withColumn("k", F.row_number().over(one)).where("k = 1").select("whole")
+    kept = rows.where("rows is null").select("whole").unionByName(repeated)
+    return kept.select(*(F.col("whole").getField(c).alias(c) for c in docs.columns))
+
+
 def op1_ngram_jaccard_join(spark, sf_dir: str) -> DataFrame:
     from quern.llm.shared import table
 
