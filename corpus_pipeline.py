@@ -1,7 +1,8 @@
 """A curation pipeline over documents: quality rules, near duplicates, decontamination, secrets, tokens.
 
 Each stage takes (spark, docs, sf_dir), works on all that its predecessor kept, and is written as Parquet and read again
-before the next one. All but the last return the columns of documents.
+before the next one. All but the last return the columns of documents. Every stage judges rows, not ids: rows with a null
+id, rows that repeat an id and columns of any other name go through each of them; empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -13,34 +14,31 @@ from quern.llm import bpe, decontam, ngram_join, quality, secrets
 from quern.llm.shared import table, written
 
 
-def _only(docs: DataFrame, verdicts: DataFrame) -> DataFrame:
-    """The rows of docs whose id is in verdicts."""
-    return docs.join(verdicts.select(F.col("doc_id").alias("kept_id")).distinct(), F.col("doc_id") == F.col("kept_id"), "left_semi")
-
-
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules reject go."""
-    return _only(docs, quality.quality(docs).where("accepted"))
+    """Rows that the quality rules reject go, null and empty texts with them; repeated rows get one verdict."""
+    return quality.accepted(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest id stays."""
-    return _only(docs, ngram_join.ngram_components(docs).where("doc_id = component_id"))
+    """Of each group of near duplicates one row stays, that with the smallest id; rows with a null id all stay.
+
+    Rows that repeat an id are one document, of which one row stays. Null and empty texts are no one's duplicates.
+    """
+    return ngram_join.representatives(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a window of a benchmark item go."""
-    found = decontam.contamination(docs, table(spark, sf_dir, "benchmark"))
-    return _only(docs, found.where("not contaminated"))
+    """Rows with a window of a benchmark item go; null and empty texts have none."""
+    return decontam.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets are replaced by a mark; no document goes."""
-    return secrets.redacted(docs, secrets.scan(docs)).withColumn("n_chars", F.length("text").cast("long"))
+    """Secrets are replaced by a mark, by what each row's own text holds; no row goes, and a null text stays null."""
+    return secrets.redacted(docs).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token counts, and digests of ids and of the decoded text."""
+    """Token counts, and digests of ids and of the decoded text; a null text has no tokens."""
     import public_tokenizers
 
     return bpe.digests(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"))
