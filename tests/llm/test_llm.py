@@ -142,19 +142,34 @@ def test_quality(docs, empty):
     assert quality.distance(np.array([1, 0]), np.array([0, 2])) == 1 and quality.distance(np.array([1, 3]), np.array([2, 6])) == 0
 
 
-def test_quality_rejects_by_distance(spark):
-    import corpus_pipeline
+def prose_in_words_of(common, r, n):
+    return " ".join(r.choice(common) if r.random() < 0.4 else r.choice(WORDS) for _ in range(n)).capitalize() + "."
+
 
+def quality_rows():
     r = random.Random(8)
     common = quality.COMMON_WORDS["en"]
-    clean = [" ".join(r.choice(common) if r.random() < 0.4 else r.choice(WORDS) for _ in range(80)).capitalize() + "." for _ in range(60)]
+    clean = [prose_in_words_of(common, r, r.choice([50, 60, 99, 150, 300])) for _ in range(80)]
     junk = [clean[0].replace(" ", " | "), clean[1].replace(" ", " ### "), clean[2].upper(), clean[3].replace(" ", " | ", 30)]
+    listless = " ".join(r.choice(WORDS) for _ in range(400))
     rows = [(k, t, "en") for k, t in enumerate(clean + junk)]
-    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
-    got = {x["doc_id"]: x for x in quality.quality(df).collect()}
-    assert [k for k in got if not got[k]["accepted"]] == [60, 61, 62, 63] and not any(x["base_failed"] for x in got.values())
-    assert got[60]["symbol_distance"] > quality.MAX_SYMBOL_DISTANCE > got[0]["symbol_distance"]
-    assert sorted(x["doc_id"] for x in corpus_pipeline.quality_rules(spark, df, "").collect()) == list(range(60))
+    rows += [(100, listless, "en"), (101, " ".join(listless.split()[:70]), "en"), (102, listless, "it"), (103, junk[1], None), (104, junk[0], "it"), (105, clean[4], None)]
+    rows += [(106, prose_in_words_of(quality.COMMON_WORDS["fr"], r, 200), "fr"), (107, None, "en"), (108, "", None), (109, "a b " * 40, "xx"), (110, " ".join("abcdefghij"[k % 10] + "x"[: k % 3 // 2] for k in range(60)), "en")]
+    return rows, clean
+
+
+def test_quality_rejects_by_distance(spark):
+    rows, clean = quality_rows()
+    df = spark.createDataFrame([(*x, "c", True) for x in rows], "doc_id long, text string, lang string, base_failed string, kept boolean").repartition(3)
+    got = quality.quality(df)
+    found = {x["doc_id"]: x for x in got.collect()}
+    assert all(found[k]["kept"] for k in range(80)) and not any(found[k]["kept"] or found[k]["base_failed"] for k in range(80, 84))
+    # The guard on words spares what it rejects in a longer text; other languages are held against every reference.
+    assert not found[100]["kept"] and found[101]["kept"] and found[101]["word_distance"] is None and found[102]["kept"] and found[102]["word_distance"] is None
+    assert not found[103]["kept"] and not found[104]["kept"] and found[105]["kept"]
+    same_as_sql(got.drop("class_distance", "symbol_distance", "word_distance"), quality.ORACLE, documents=("doc_id BIGINT, text VARCHAR, lang VARCHAR", rows))
+    kept = quality.accepted(df)
+    assert kept.columns == df.columns and sorted(x["doc_id"] for x in kept.collect()) == sorted(k for k, x in found.items() if x["kept"])
 
 
 def brute_repeats(rows, n=100):
