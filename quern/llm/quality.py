@@ -8,7 +8,7 @@ for that.
 
 Minimum lengths: a histogram over k bins of n things lies at a distance of about sqrt(k / (8 ln 2 n)) from its own source.
 Classes and symbols (7 and 9 bins) are judged from GUARD_BYTES bytes that are not white space, common words (some 50 bins)
-from GUARD_WORDS words, where that comes to 0.3 for a clean text; the base rules still hold for shorter texts.
+from GUARD_WORDS words, where that comes to 0.25 for a clean text; the base rules still hold for shorter texts.
 
 Cases: null or empty text has no words and fails the base rules. A text whose language is null or not listed is held
 against the classes and symbols of every reference and passes if one accepts it; its words are not judged. Rows are judged
@@ -30,9 +30,9 @@ from quern.llm.shared import buffer_of, table, text_chunks
 
 MIN_WORDS = 50
 GUARD_BYTES = 150
-GUARD_WORDS = 100
+GUARD_WORDS = 150
 #: Largest distances at which a document still looks like its language. On sf0.1, documents labelled as good lie at 0.30, 0.10
-#: and 0.27 at most (words from 100 words on).
+#: and 0.24 at most (words from 150 words on).
 MAX_CLASS_DISTANCE = 0.32
 MAX_SYMBOL_DISTANCE = 0.14
 MAX_WORD_DISTANCE = 0.32

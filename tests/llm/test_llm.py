@@ -149,7 +149,7 @@ def prose_in_words_of(common, r, n):
 def quality_rows():
     r = random.Random(8)
     common = quality.COMMON_WORDS["en"]
-    clean = [prose_in_words_of(common, r, r.choice([50, 60, 99, 150, 300])) for _ in range(80)]
+    clean = [prose_in_words_of(common, r, r.choice([50, 60, 99, 140, 400])) for _ in range(80)]
     junk = [clean[0].replace(" ", " | "), clean[1].replace(" ", " ### "), clean[2].upper(), clean[3].replace(" ", " | ", 30)]
     listless = " ".join(r.choice(WORDS) for _ in range(400))
     rows = [(k, t, "en") for k, t in enumerate(clean + junk)]

@@ -64,7 +64,7 @@ def test_every_stage_on_literal_rows(spark):
     r = random.Random(3)
     item = " ".join(duckdb.sql(f"SELECT text FROM '{SF}/benchmark.parquet' WHERE len(text) > 200 LIMIT 1").fetchall()[0][0].split()[:30])
     long = prose_in_words_of(quality.COMMON_WORDS["en"], r, 260)
-    own = [prose_in_words_of(quality.COMMON_WORDS["en"], r, 120) for _ in range(2)]
+    own = [prose_in_words_of(quality.COMMON_WORDS["en"], r, 400) for _ in range(2)]
     extra = [(200, long, "en"), (201, long, "en"), (201, long, "en"), (202, long + " more words", "en"), (None, clean[6], "en"), (None, clean[6], "en"), (None, None, None), (203, clean[7] + " " + item, "en"), (204, own[0] + " user = bob pwd = CorrectHorse123", "en"), (204, own[1], "en"), (205, prose(5000, 9) + long, "it")]
     df = spark.createDataFrame([(i, t, g, "s", 1, "x", "y", 5, "z") for i, t, g in rows + extra], "doc_id long, text string, lang string, source string, n_chars long, kept_id string, found_id string, component_id long, whole string").repartition(3)
     now = df
