@@ -31,7 +31,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quern.llm.shared import buffer_of, table, text_chunks, worker_state
+from quern.llm.shared import buffer_of, table, text_chunks, trim, worker_state
 from quern.llm.shingles import word_codes
 
 CACHE_PIECES = 1 << 20
@@ -42,7 +42,7 @@ SHORT_PIECE = 64
 #: Chunks of text whose new pieces are merged together, since a query reads the merge table in every step.
 CHUNKS = 4
 #: Tokens that one decoding query takes, but for a longer text.
-QUERY_TOKENS = 1 << 20
+QUERY_TOKENS = 1 << 19
 #: Largest vocabulary file that is broadcast.
 VOCABULARY_BYTES = 64 << 20
 
@@ -69,6 +69,7 @@ EVERY_HIT = {"@FIRST": "0", "@HIT": "new = best"}
 FIRST_HIT = {"@FIRST": "arg_min(k, new::BIGINT * 4294967296 + k)", "@HIT": "k = first"}
 SHORT = {"@KEY": "", "@UNION": "UNION ALL", "@LIVE": "", "@NEXT": "SELECT g, w, CASE WHEN hit THEN new ELSE t END, n + 1 FROM runs WHERE NOT gone", "@RESULT": "SELECT w, t FROM step JOIN (SELECT w, max(n) AS n FROM step GROUP BY w) USING (w, n) ORDER BY g"}
 LONG = {"@KEY": "USING KEY (g)", "@UNION": "UNION", "@LIVE": "WHERE t IS NOT NULL", "@NEXT": "SELECT g, w, CASE WHEN gone THEN NULL WHEN hit THEN new ELSE t END, n + 1 FROM runs", "@RESULT": "SELECT w, t FROM step WHERE t IS NOT NULL ORDER BY g"}
+DUCKDB = {"threads": 1, "memory_limit": "300MB", "temp_directory": ""}
 DECODE = "SELECT d, string_agg(s, '' ORDER BY p) AS s FROM tokens JOIN vocabulary USING (t) GROUP BY d ORDER BY d"
 
 
@@ -157,10 +158,7 @@ class Encoder:
     """Encodes chunks of texts; keeps the pieces that it has merged."""
 
     def __init__(self, v: dict):
-        self.v = v
-        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})
-        self.con.register("merges_in", pa.table({"pair": v["pair"], "t": v["new"]}))
-        self.con.execute("CREATE TABLE merges AS SELECT * FROM merges_in")
+        self.v, self.con = v, None
         self.queries = []
         for rows in (SHORT, LONG):
             query = MERGE
@@ -175,6 +173,18 @@ class Encoder:
         self.token_bytes = np.frombuffer(b"".join(b for b, _ in tokens), np.uint8)
         self.clear()
 
+    def open(self) -> None:
+        if self.con is None:
+            self.con = duckdb.connect(config=DUCKDB)
+            self.con.register("merges_in", pa.table({"pair": self.v["pair"], "t": self.v["new"]}))
+            self.con.execute("CREATE TABLE merges AS SELECT * FROM merges_in")
+
+    def close(self) -> None:
+        """Gives the database's memory back; merged pieces stay."""
+        if self.con is not None:
+            self.con.close()
+            self.con = None
+
     def clear(self) -> None:
         self.codes, self.first, self.size, self.ids = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
 
@@ -195,6 +205,7 @@ class Encoder:
         return out
 
     def _query(self, pieces: list[bytes], which: list[int], out: list) -> None:
+        self.open()
         sizes = np.array([len(pieces[k]) for k in which], np.int64)
         ends = np.cumsum(sizes)
         w = np.repeat(np.arange(len(which), dtype=np.int32), sizes)
@@ -271,32 +282,39 @@ def _encode(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = worker_state(name, lambda: Encoder(shared.value))
         chunks = text_chunks(batches)
-        while group := list(islice(chunks, CHUNKS)):
-            cut = [encoder.cut(*buffer_of(batch.column(1))) for batch in group]
-            encoder.learn(cut)
-            for batch, chunk in zip(group, cut, strict=True):
-                ids, at = encoder.encoded(chunk)
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([ids[a:b].tobytes() for a, b in zip(at[:-1], at[1:], strict=True)], pa.binary())], names=["id", "ids"])
+        try:
+            while group := list(islice(chunks, CHUNKS)):
+                cut = [encoder.cut(*buffer_of(batch.column(1))) for batch in group]
+                encoder.learn(cut)
+                for batch, chunk in zip(group, cut, strict=True):
+                    ids, at = encoder.encoded(chunk)
+                    yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([ids[a:b].tobytes() for a, b in zip(at[:-1], at[1:], strict=True)], pa.binary())], names=["id", "ids"])
+        finally:
+            encoder.close()
+            trim()
 
     return run
 
 
 def _decode(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        con = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})
-        ranks = shared.value["ranks"]
-        con.register("vocabulary_in", pa.table({"t": pa.array(list(ranks.values()), pa.uint32()), "s": [k.decode("latin-1") for k in ranks]}))
-        con.execute("CREATE TABLE vocabulary AS SELECT * FROM vocabulary_in")
-        for batch in text_chunks(batches, limit=4 * QUERY_TOKENS):
-            data, off = buffer_of(batch.column(1))
-            counts = np.diff(off) // 4
-            tokens = pa.table({"d": np.repeat(np.arange(len(counts), dtype=np.int32), counts), "p": np.arange(len(data) // 4, dtype=np.int64), "t": np.frombuffer(data.tobytes(), "<u4")})
-            con.register("tokens", tokens)
-            got = con.execute(DECODE).fetchall()
-            out = [b""] * len(counts)
-            for d, s in got:
-                out[d] = s.encode("latin-1")
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.binary())], names=["id", "ids", "decoded"])
+        con = duckdb.connect(config=DUCKDB)
+        try:
+            ranks = shared.value["ranks"]
+            con.register("vocabulary_in", pa.table({"t": pa.array(list(ranks.values()), pa.uint32()), "s": [k.decode("latin-1") for k in ranks]}))
+            con.execute("CREATE TABLE vocabulary AS SELECT * FROM vocabulary_in")
+            for batch in text_chunks(batches, limit=4 * QUERY_TOKENS):
+                data, off = buffer_of(batch.column(1))
+                counts = np.diff(off) // 4
+                tokens = pa.table({"d": np.repeat(np.arange(len(counts), dtype=np.int32), counts), "p": np.arange(len(data) // 4, dtype=np.int64), "t": np.frombuffer(data.tobytes(), "<u4")})
+                con.register("tokens", tokens)
+                got = con.execute(DECODE).fetchall()
+                out = [b""] * len(counts)
+                for d, s in got:
+                    out[d] = s.encode("latin-1")
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.binary())], names=["id", "ids", "decoded"])
+        finally:
+            con.close()
 
     return run
 

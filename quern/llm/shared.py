@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import re
 import tempfile
 import uuid
@@ -84,17 +86,27 @@ def least_rows(df: DataFrame, key: str, limit: int) -> DataFrame:
 
 
 def text_chunks(batches: Iterator[pa.RecordBatch], column: int = 1, limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
-    """The batches, cut so that the texts in `column` have at most `limit` bytes, or are one row."""
-    for batch in batches:
-        if batch.num_rows == 0:
-            continue
-        _, off = buffer_of(batch.column(column))
-        start = 0
-        while start < batch.num_rows:
-            end = int(np.searchsorted(off, off[start] + limit, "right")) - 1
-            end = min(max(end, start + 1), batch.num_rows)
-            yield batch.slice(start, end - start)
-            start = end
+    """The batches, cut so that the texts in `column` have at most `limit` bytes, or are one row; memory goes back at the end."""
+    try:
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            _, off = buffer_of(batch.column(column))
+            start = 0
+            while start < batch.num_rows:
+                end = int(np.searchsorted(off, off[start] + limit, "right")) - 1
+                end = min(max(end, start + 1), batch.num_rows)
+                yield batch.slice(start, end - start)
+                start = end
+    finally:
+        trim()
+
+
+def trim() -> None:
+    """Gives freed memory back to the system; Python workers outlive their tasks, and would hold it."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # another C library
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def buffer_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
