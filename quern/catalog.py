@@ -65,8 +65,7 @@ k AS (SELECT lang, coalesce(early, CASE WHEN row_number() OVER (PARTITION BY CAS
 SELECT lang, reason, count(*) AS n FROM k GROUP BY 1, 2"""
 )
 def curation_funnel(spark, sf_dir):
-    cleaned = etl.clean_documents(table(spark, sf_dir, "documents"))
-    return cleaned.groupBy("lang", F.coalesce("reason", F.lit("kept")).alias("reason")).agg(F.count("*").alias("n"))
+    return etl.funnel(table(spark, sf_dir, "documents"), "lang")
 
 
 @query(f"SELECT doc_id, sha256({CLEAN.format('text')}) AS clean_sha256, length({CLEAN.format('text')}) AS n FROM documents")
@@ -219,8 +218,7 @@ def near_dup_pairs(spark, sf_dir):
 
 
 def _clusters(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
-    return dedup.clusters(dedup.near_pairs(docs).select("a", "b").unionByName(dedup.copies(docs)))
+    return dedup.near_links(table(spark, sf_dir, "documents"))
 
 
 @query(_NEAR + "SELECT id, cluster FROM cl")
@@ -499,7 +497,8 @@ def dataset_statistics(spark, sf_dir):
 def _gates(spark, sf_dir):
     r = records(spark, sf_dir)
     rejected = r.where("toxic = 1").select("source").where("source IN ('src1', 'src2')")
-    return gates.run([gates.quality_gate(r, "doc_id"), gates.license_gate(r, "doc_id"), gates.unknown_license_gate(r, "doc_id"), gates.schema_gate(r, "doc_id", ["lang", "license", "toxic"]), gates.rejected_source_gate(r, "doc_id", rejected), gates.balance_gate(r, "lang", _TARGETS)])
+    checks = [gates.quality(), gates.license(), gates.unknown_license(), gates.schema(["lang", "license", "toxic"]), gates.rejected_source()]
+    return gates.run([gates.gates(gates.mark_rejected(r, rejected), "doc_id", checks), gates.balance_gate(r, "lang", _TARGETS)])
 
 
 def _gate_oracle() -> str:
@@ -594,16 +593,25 @@ def semantic_diff(spark, sf_dir):
     return diff.semantic(_compared(spark, sf_dir), old, new, "score", "state", "o_orderpriority")
 
 
-@query("SELECT event_id % 50 AS chain, count(*) AS n, count(*) FILTER (event_id % 1000 = 77) AS n_bad FROM events GROUP BY 1")
+#: Chains of four releases each: linked in order, then broken in ways that the event's number tells.
+_CHAIN = """WITH RECURSIVE e AS (SELECT event_id // 4 AS chain, event_id % 4 AS seq, sha256(CAST(event_id AS VARCHAR) || event_type) AS content FROM events),
+c(chain, seq, prev, content, own) AS (SELECT chain, seq, repeat('0', 64), content, sha256(repeat('0', 64) || content) FROM e WHERE seq = 0 UNION ALL SELECT e.chain, e.seq, c.own, e.content, sha256(c.own || e.content) FROM c JOIN e ON e.chain = c.chain AND e.seq = c.seq + 1),
+t AS (SELECT chain, seq, CASE WHEN seq = 0 AND chain % 11 = 3 THEN 'x' WHEN seq = 2 AND chain % 13 = 5 THEN repeat('0', 64) ELSE prev END AS prev, content, CASE WHEN seq = 1 AND chain % 7 = 2 THEN 'y' ELSE own END AS own FROM c),
+l AS (SELECT *, lag(own) OVER (PARTITION BY chain ORDER BY seq) AS before FROM t),
+"""
+
+
+def _chains(spark, sf_dir):
+    e = table(spark, sf_dir, "events").select(F.expr("event_id div 4").alias("chain"), (F.col("event_id") % 4).alias("seq"), F.sha2(F.concat(F.col("event_id").cast("string"), "event_type"), 256).alias("content_hash"))
+    e = diff.linked(e, "chain", "seq")
+    at = lambda seq, by, rest: (F.col("seq") == seq) & (F.col("chain") % by == rest)
+    return e.withColumns({"prev_hash": F.when(at(0, 11, 3), "x").when(at(2, 13, 5), diff.GENESIS).otherwise(F.col("prev_hash")), "hash": F.when(at(1, 7, 2), "y").otherwise(F.col("hash"))})
+
+
+@query(_CHAIN + "p AS (SELECT chain, CASE WHEN seq = 0 AND prev <> repeat('0', 64) THEN 'bad_genesis' WHEN seq > 0 AND prev IS DISTINCT FROM before THEN 'broken_link' WHEN own <> sha256(prev || content) THEN 'bad_hash' ELSE 'ok' END AS problem FROM l) SELECT problem, count(*) AS n, count(DISTINCT chain) AS n_chains, min(chain) AS first_chain FROM p GROUP BY 1")
 def chain_verify(spark, sf_dir):
-    e = table(spark, sf_dir, "events").select((F.col("event_id") % 50).alias("chain"), F.col("event_id").alias("seq"), F.sha2(F.col("event_id").cast("string"), 256).alias("content_hash"))
-    before = F.coalesce(F.lag(F.sha2(F.concat(F.lit("h"), F.col("content_hash")), 256)).over(Window.partitionBy("chain").orderBy("seq")), F.lit(diff.GENESIS))
-    c = e.withColumn("prev_hash", before).withColumn("hash", F.sha2(F.concat(F.lit("h"), F.col("content_hash")), 256))
-    bad = F.when(F.col("seq") % 1000 == 77, F.lit("tampered")).otherwise(F.sha2(F.concat("prev_hash", "content_hash"), 256))
-    # Links are given by the made-up `hash`; own digests are held against what verify_chain expects.
-    got = diff.verify_chain(c.withColumn("own", bad), "seq", own="hash", by="chain").select("chain", "seq", "prev_hash", "content_hash", "own")
-    wrong = ~F.col("own").eqNullSafe(F.sha2(F.concat("prev_hash", "content_hash"), 256))
-    return got.groupBy("chain").agg(F.count("*").alias("n"), F.count_if(wrong).alias("n_bad"))
+    got = diff.verify_chain(_chains(spark, sf_dir), "seq", by="chain")
+    return got.groupBy(F.coalesce("problem", F.lit("ok")).alias("problem")).agg(F.count("*").alias("n"), F.count_distinct("chain").alias("n_chains"), F.min("chain").alias("first_chain"))
 
 
 # --- views, splits, decisions, lookup ------------------------------------------------------------------------------
@@ -631,6 +639,11 @@ def holdout_split(spark, sf_dir):
     return views.holdout(table(spark, sf_dir, "documents"), "doc_id", 0.05).select("doc_id", "held_out")
 
 
+@query("SELECT count(*) AS n, 0::BIGINT AS n_held_out FROM documents")
+def holdout_none(spark, sf_dir):
+    return views.holdout(table(spark, sf_dir, "documents"), "doc_id", 0.0).agg(F.count("*").alias("n"), F.count_if("held_out").alias("n_held_out"))
+
+
 @query("SELECT doc_id, source, CASE WHEN row_number() OVER (PARTITION BY source ORDER BY sha256('42:' || CAST(doc_id AS VARCHAR))) <= CASE WHEN count(*) OVER (PARTITION BY source) > 5 THEN greatest(1, round_even(count(*) OVER (PARTITION BY source) * 0.1, 0)) ELSE 1 END THEN 'eval' ELSE 'train' END AS split FROM documents")
 def stratified_split(spark, sf_dir):
     return views.stratified(table(spark, sf_dir, "documents"), "doc_id", "source", 0.1).select("doc_id", "source", "split")

@@ -1,8 +1,15 @@
-"""Exact and near-duplicate removal: digests, MinHash bands with exact verification, clusters, survivors."""
+"""Exact and near-duplicate removal: digests, MinHash bands with exact verification, clusters, survivors.
+
+Shingle sets, their digests and their band keys come from one pass over the texts in Arrow batches. Sets are written
+once and read again only for candidates.
+"""
 
 from __future__ import annotations
 
+import hashlib
+import re
 import tempfile
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,10 +17,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quern.functions import text as X
-
 BANDS, ROWS = 32, 4
 THRESHOLD = 0.8
+#: Bytes of text worked on at once; a longer text is worked on alone.
+CHUNK_BYTES = 1 << 20
+_TOKEN = np.zeros(256, bool)
+_TOKEN[48:58] = _TOKEN[97:123] = True
+_STEP = 0x9E3779B97F4A7C15
+_ODD = np.random.default_rng(7).integers(0, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def exact_groups(docs: DataFrame, key: Column, id_col: str = "doc_id") -> DataFrame:
@@ -21,69 +32,157 @@ def exact_groups(docs: DataFrame, key: Column, id_col: str = "doc_id") -> DataFr
     return docs.groupBy(F.sha1(key).alias("digest")).agg(F.count("*").alias("n"), F.min(id_col).alias("first_id")).where("n > 1")
 
 
-def shingled(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 4) -> DataFrame:
-    """id and s: the sorted distinct hashes of the k-grams."""
-    toks = docs.select(F.col(id_col).alias("id"), X.tokens(F.col(text_col)).alias("t"))  # once, not for each k-gram
-    grams = X.shingles(F.col("t"), k)
-    return toks.select("id", F.array_sort(F.array_distinct(F.transform(grams, lambda g: F.xxhash64(g)))).alias("s"))
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(29))
+
 
+def shingle_sets(texts: list[str | None], k: int) -> Iterator[np.ndarray]:
+    """Of each text the sorted distinct hashes of its k-grams of tokens (runs of ASCII letters and digits, lower-cased).
 
-def _signatures(bands: int, rows: int):
-    """(id, band, h) of (id, s): for each band a hash of the least values of `rows` independent hash functions."""
+    Fewer tokens give one short gram, none give an empty set. Tokens are hashed by differences of a running polynomial,
+    so no token is cut out of the text.
+    """
+    parts = [(t or "").lower().encode() for t in texts]
+    data = np.frombuffer(b" ".join([*parts, b""]), np.uint8)
+    off = np.cumsum([0, *(len(x) + 1 for x in parts)])
+    inside = np.concatenate(([False], _TOKEN[data], [False]))
+    starts, ends = np.flatnonzero(inside[1:] & ~inside[:-1]), np.flatnonzero(inside[:-1] & ~inside[1:])
+    up = np.full(len(data) + 1, _STEP, np.uint64)
+    down = np.full(len(data) + 1, pow(_STEP, -1, 2**64), np.uint64)
+    up[0] = down[0] = 1
+    up, down = np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64)
+    sums = np.concatenate(([np.uint64(0)], np.cumsum(_ODD[data] * up[:-1], dtype=np.uint64)))
+    codes = _mixed((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    at = np.searchsorted(starts, off)
+    grams = np.zeros(max(0, len(codes) - k + 1), np.uint64)
+    for j in range(k):
+        grams = grams * np.uint64(_STEP) + codes[j : j + len(grams)]
+    grams = _mixed(grams)
+    for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
+        if b - a >= k:
+            yield np.unique(grams[a : b - k + 1])
+        elif b > a:
+            yield np.frombuffer(hashlib.blake2b(codes[a:b].tobytes(), digest_size=8).digest(), np.uint64)
+        else:
+            yield np.zeros(0, np.uint64)
+
+
+def _band_keys(found: np.ndarray, odd: np.ndarray, add: np.ndarray, rows: int) -> np.ndarray:
+    """For each band a hash of the least values of `rows` independent hash functions over the set."""
+    least = np.full(len(odd), np.iinfo(np.uint64).max)
+    for k in range(0, len(found), 4096):  # bounded memory for very long texts
+        y = found[k : k + 4096, None] * odd + add
+        least = np.minimum(least, (y ^ (y >> np.uint64(31))).min(0))
+    h = np.zeros(len(odd) // rows, np.uint64)
+    for r in range(rows):
+        h = (h ^ least[r::rows]) * np.uint64(_STEP)
+    return h
+
+
+def _described(k: int, bands: int, rows: int):
     rnd = np.random.default_rng(1)
     odd, add = (rnd.integers(0, 2**63, bands * rows, dtype=np.uint64) * np.uint64(2) + np.uint64(1) for _ in range(2))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, out = batch.column(0), []
-            for s in batch.column(1):
-                x = np.asarray(s.values).astype(np.int64).view(np.uint64)
-                least = np.full(bands * rows, np.iinfo(np.uint64).max)
-                for k in range(0, len(x), 4096):  # bounded memory for very long texts
-                    y = x[k : k + 4096, None] * odd + add
-                    least = np.minimum(least, (y ^ (y >> np.uint64(31))).min(0))
-                h = np.zeros(bands, np.uint64)
-                for r in range(rows):
-                    h = (h ^ least[r::rows]) * np.uint64(0x9E3779B97F4A7C15)
-                out.append(h)
-            n = len(ids)
-            band = np.tile(np.arange(bands, dtype=np.int32), n)
-            h = np.concatenate(out).view(np.int64) if out else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([ids.take(pa.array(np.repeat(np.arange(n), bands))), pa.array(band), pa.array(h)], names=["id", "band", "h"])
+            sizes = np.cumsum([len(t) if t else 0 for t in batch.column(1).to_pylist()])
+            cuts = [0, *(np.flatnonzero(np.diff(sizes // CHUNK_BYTES)) + 1).tolist(), batch.num_rows]
+            for a, b in zip(cuts, cuts[1:], strict=False):
+                sets = list(shingle_sets(batch.column(1).slice(a, b - a).to_pylist(), k))
+                digest = [hashlib.blake2b(x.tobytes(), digest_size=16).digest() for x in sets]
+                keys = [_band_keys(x, odd, add, rows).view(np.int64) if len(x) else [] for x in sets]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array([len(x) for x in sets], pa.int64()), pa.array(digest), pa.array([x.tobytes() for x in sets], pa.binary()), pa.array(keys, pa.list_(pa.int64()))], names=["id", "n", "digest", "found", "keys"])
 
     return run
 
 
+def described(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 4, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """(id, n, digest, found, keys) of every row, as a written table: size, digest and hashes of the shingle set, and band keys."""
+    docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    return _written(docs.mapInArrow(_described(k, bands, rows), f"id {dict(docs.dtypes)['id']}, n long, digest binary, found binary, keys array<long>"), "sets")
+
+
 def _representatives(sets: DataFrame) -> DataFrame:
-    """Adds `rep`, the smallest id with the same set: copies are linked through it and never compared."""
-    keyed = sets.where(F.size("s") > 0).withColumn("h", F.sha1(F.array_join(F.transform("s", lambda x: x.cast("string")), ",")))
-    return keyed.join(keyed.groupBy("h").agg(F.min("id").alias("rep")), "h").drop("h")
+    """digest and rep, the smallest id with that set: copies are linked through it and never compared."""
+    return sets.where("n > 0").groupBy("digest").agg(F.min("id").alias("rep"))
+
+
+def _jaccard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        out = []
+        for x, y in zip(batch.column(2), batch.column(3), strict=True):
+            a, b = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
+            same = len(np.intersect1d(a, b, assume_unique=True))
+            out.append(same / (len(a) + len(b) - same))
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.float64())], names=["a", "b", "jaccard"])
+
+
+def _verified(sets: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
+    """(a, b, jaccard) of the pairs (a, b) that reach the threshold; sets are read for their ids alone."""
+    pairs = _written(pairs.distinct(), "pairs")
+    right = pairs.join(sets.select(F.col("id").alias("b"), F.col("found").alias("y")), "b")
+    both = right.join(sets.select(F.col("id").alias("a"), F.col("found").alias("x")), "a").select("a", "b", "x", "y")
+    kind = dict(pairs.dtypes)["a"]
+    return both.mapInArrow(_jaccard, f"a {kind}, b {kind}, jaccard double").where(F.col("jaccard") >= threshold)
+
+
+def _buckets(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(each set's smallest id with its set; (id, band, h) of these)."""
+    reps = sets.join(_representatives(sets).select(F.col("rep").alias("id")), "id", "left_semi").where("n > 0")
+    return reps, reps.select("id", F.posexplode("keys").alias("band", "h"))
 
 
 def near_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """(a, b, jaccard) of rows with different shingle sets, a < b, by banding and exact verification; each set's smallest id stands for its copies."""
-    _shared(docs.sparkSession)
-    sets = _representatives(shingled(docs, id_col, text_col)).where("id = rep").drop("rep").checkpoint()
-    keys = sets.select("id", "s").mapInArrow(_signatures(bands, rows), f"id {dict(sets.dtypes)['id']}, band int, h long")
+    """(a, b, jaccard) of rows with different shingle sets, a < b, by banding and exact verification; each set's smallest id stands for its copies.
+
+    All pairs of a group of near copies are asked for here; use near_links() where the groups are enough.
+    """
+    reps, keys = _buckets(described(docs, id_col, text_col, bands=bands, rows=rows))
     x, y = keys.alias("x"), keys.alias("y")
-    cand = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.h") == F.col("y.h")) & (F.col("x.id") < F.col("y.id"))).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
-    both = cand.join(sets.withColumnsRenamed({"id": "a", "s": "sa"}), "a").join(sets.withColumnsRenamed({"id": "b", "s": "sb"}), "b")
-    return both.withColumn("jaccard", X.jaccard(F.col("sa"), F.col("sb"))).where(F.col("jaccard") >= threshold).select("a", "b", "jaccard")
+    cand = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.h") == F.col("y.h")) & (F.col("x.id") < F.col("y.id"))).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
+    return _verified(reps, cand, threshold)
 
 
-def copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(a, b): every id with the smallest id of the same shingle set, where they differ."""
-    return _representatives(shingled(docs, id_col, text_col)).where("id <> rep").select(F.col("rep").alias("a"), F.col("id").alias("b"))
+def near_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """(id, cluster) of the same groups as those of all near pairs and copies, without all their pairs.
+
+    Every member of a bucket is first held against one of it; then only pairs that are still in different groups are.
+    """
+    sets = described(docs, id_col, text_col, bands=bands, rows=rows)
+    copies = sets.join(_representatives(sets), "digest").where("id <> rep").select(F.col("rep").alias("a"), F.col("id").alias("b"))
+    reps, keys = _buckets(sets)
+    heads = keys.groupBy("band", "h").agg(F.min("id").alias("a"), F.count("*").alias("m")).where("m > 1")
+    keys = _written(keys.join(heads.drop("m"), ["band", "h"]), "buckets")  # buckets of one are gone
+    links = _verified(reps, keys.where("a <> id").select("a", F.col("id").alias("b")), threshold).select("a", "b")
+    groups = clusters(links)
+    placed = keys.select("id", "band", "h").join(groups.withColumnRenamed("id", "i"), F.col("id") == F.col("i"), "left").select("id", "band", "h", F.coalesce("cluster", "id").alias("g"))
+    mixed = placed.groupBy("band", "h").agg(F.min("g").alias("g0"), F.max("g").alias("g1")).where("g0 <> g1").select("band", "h")
+    rest = _written(placed.join(mixed, ["band", "h"], "left_semi"), "mixed")
+    x, y = rest.alias("x"), rest.alias("y")
+    far = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.h") == F.col("y.h")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.g") != F.col("y.g"))).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
+    more = _verified(reps, far, threshold).select("a", "b")
+    return clusters(groups.select(F.col("cluster").alias("a"), F.col("id").alias("b")).where("a <> b").unionByName(more).unionByName(copies))
 
 
 def _shared(spark) -> str:
+    """The folder that all executors share; a local session may do without the setting."""
     sc = spark.sparkContext
     found = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not found:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="quern-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(found)
-    return found
+    return found.rstrip("/")
+
+
+def _written(df: DataFrame, name: str) -> DataFrame:
+    """df as a table in the shared folder: unlike a checkpoint, it is read by column."""
+    path = f"{_shared(df.sparkSession)}/quern-{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def clusters(links: DataFrame, most_rounds: int = 60) -> DataFrame:
@@ -107,7 +206,8 @@ def clusters(links: DataFrame, most_rounds: int = 60) -> DataFrame:
 
 def survivors(docs: DataFrame, groups: DataFrame, score: Column, length: Column, id_col: str = "doc_id") -> DataFrame:
     """docs with cluster and kept: of each cluster the row of the largest (score, length) stays, the first on ties."""
-    joined = docs.join(groups, docs[id_col] == groups["id"], "left").withColumn("cluster", F.coalesce("cluster", F.col(id_col))).drop("id")
+    groups = groups.select(F.col("id").alias("_id"), "cluster")
+    joined = docs.join(groups, docs[id_col] == groups["_id"], "left").withColumn("cluster", F.coalesce("cluster", F.col(id_col))).drop("_id")
     ranked = joined.withColumn("_r", F.struct((-score).alias("s"), (-length).alias("l"), F.col(id_col).alias("i")))
     best = ranked.groupBy("cluster").agg(F.min("_r").alias("_best"))
     return ranked.join(best, "cluster").withColumn("kept", F.col(id_col) == F.col("_best.i")).drop("_r", "_best")

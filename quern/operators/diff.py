@@ -122,5 +122,18 @@ def link(contents: list[str]) -> list[tuple[int, str, str, str]]:
     return out
 
 
+def linked(entries: DataFrame, by: str, seq: str, content: str = "content_hash") -> DataFrame:
+    """entries with prev_hash and hash: each chain (`by`, a few entries, one a release) is linked in order of `seq`."""
+
+    def step(acc: Column, x: Column) -> Column:
+        own = F.sha2(F.concat(acc["before"], x["c"]), 256)
+        return F.struct(own.alias("before"), F.array_append(acc["out"], F.struct(x["s"].alias(seq), x["c"].alias(content), acc["before"].alias("prev_hash"), own.alias("hash"))).alias("out"))
+
+    kind = dict(entries.dtypes)[seq]
+    chains = entries.groupBy(by).agg(F.array_sort(F.collect_list(F.struct(F.col(seq).alias("s"), F.col(content).alias("c")))).alias("e"))
+    start = F.struct(F.lit(GENESIS).alias("before"), F.array().cast(f"array<struct<{seq}:{kind},{content}:string,prev_hash:string,hash:string>>").alias("out"))
+    return chains.select(by, F.inline(F.aggregate("e", start, step)["out"]))
+
+
 def unions(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)

@@ -94,18 +94,32 @@ def first_of_each(df: DataFrame, key: Column, order: str) -> DataFrame:
     return keyed.join(firsts, keyed["_key"].eqNullSafe(firsts["_key"]), "left").select(*df.columns, (F.col(order) > F.col("_first")).alias("repeat"))
 
 
+def _cleaned(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """docs with clean, flags, early (the first reason to drop but for copies), redacted and key, which copies share."""
+    c = docs.withColumn("clean", X.clean_text(F.col(text_col)))
+    c = c.withColumn("flags", X.pii_flags(F.col("clean")))
+    c = c.withColumn("early", drop_reason(F.col("clean"), F.col("flags"), F.lit(False), F.when(F.col("clean") == "", "empty_text")))
+    c = c.withColumn("redacted", F.when(F.col("early").isNull(), X.redact(F.col("clean"))))
+    return c.withColumn("key", F.when(F.col("early").isNull(), F.sha2("redacted", 256)))
+
+
 def clean_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Cleaned text, PII flags, first reason to drop, and redacted text of what stays.
 
     As in the chain of cleaners, a text only counts as an earlier copy if it was not dropped before deduplication.
     """
-    c = docs.withColumn("clean", X.clean_text(F.col(text_col)))
-    c = c.withColumn("flags", X.pii_flags(F.col("clean")))
-    early = drop_reason(F.col("clean"), F.col("flags"), F.lit(False), F.when(F.col("clean") == "", "empty_text"))
-    c = c.withColumn("early", early)
-    text = F.when(F.col("early").isNull(), X.redact(F.col("clean")))
-    c = first_of_each(c.withColumn("redacted", text), F.when(F.col("early").isNull(), F.sha2("redacted", 256)).otherwise(F.col(id_col).cast("string")), id_col)
-    return c.withColumn("reason", F.coalesce("early", F.when(F.col("repeat"), "duplicate_content"))).drop("early", "repeat")
+    c = _cleaned(docs, id_col, text_col)
+    c = first_of_each(c, F.coalesce("key", F.col(id_col).cast("string")), id_col)
+    return c.withColumn("reason", F.coalesce("early", F.when(F.col("repeat"), "duplicate_content"))).drop("early", "key", "repeat")
+
+
+def funnel(docs: DataFrame, by: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(by, reason, n) of clean_documents(), with `kept`, in one scan: only counts and first ids of each key are exchanged."""
+    rows = _cleaned(docs, id_col, text_col).groupBy(F.col(by).alias("_by"), "early", "key").agg(F.count("*").alias("n"), F.min(id_col).alias("first"))
+    kept = F.when(F.col("early").isNull(), (F.col("first") == F.min("first").over(Window.partitionBy("early", "key"))).cast("long")).otherwise(0)
+    parts = F.array(F.struct(F.coalesce("early", F.lit("duplicate_content")).alias("reason"), (F.col("n") - F.col("kept")).alias("n")), F.struct(F.lit("kept").alias("reason"), F.col("kept").alias("n")))
+    long = rows.withColumn("kept", kept).select(F.col("_by").alias(by), F.explode(parts).alias("x")).where("x.n > 0")
+    return long.groupBy(by, F.col("x.reason").alias("reason")).agg(F.sum("x.n").alias("n"))
 
 
 def promote(records: DataFrame) -> DataFrame:

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from functools import reduce
+from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quern.functions import text as X
@@ -13,33 +14,53 @@ from quern.operators import stats
 SHOWN = 20
 
 
-def _gate(rows: DataFrame, name: str, bad: Column, id_col: str, status: str = "fail") -> DataFrame:
-    """A gate that no row may fail: gate, status, n_bad, n and the smallest ids that fail (at most SHOWN, a report)."""
-    test = F.coalesce(bad, F.lit(False))
-    ids = rows.where(test).select(F.col(id_col).cast("string").alias("i")).orderBy("i").limit(SHOWN).agg(F.array_sort(F.collect_list("i")).alias("first_ids"))
-    one = rows.agg(F.count("*").alias("n"), F.count_if(test).alias("n_bad")).crossJoin(ids)  # two single rows
-    return one.select(F.lit(name).alias("gate"), F.when(F.col("n_bad") > 0, status).otherwise("pass").alias("status"), "n", "n_bad", "first_ids")
+class Check(NamedTuple):
+    """A test that no row may meet; `status` is what the gate says if one does. A null test is not met."""
 
+    name: str
+    bad: Column
+    status: str = "fail"
 
-def quality_gate(rows: DataFrame, id_col: str, least: int = stats.ACCEPT) -> DataFrame:
-    return _gate(rows, "quality", F.coalesce("quality_score", F.lit(0)) < least, id_col)
 
+def quality(least: int = stats.ACCEPT) -> Check:
+    return Check("quality", F.coalesce("quality_score", F.lit(0)) < least)
 
-def license_gate(rows: DataFrame, id_col: str) -> DataFrame:
-    return _gate(rows, "license", X.license_denied(F.col("license")), id_col)
 
+def license() -> Check:  # noqa: A001
+    return Check("license", X.license_denied(F.col("license")))
 
-def unknown_license_gate(rows: DataFrame, id_col: str) -> DataFrame:
-    return _gate(rows, "unknown_license", F.coalesce(F.lower("license"), F.lit("unknown")).isin("unknown", ""), id_col, "warn")
 
+def unknown_license() -> Check:
+    return Check("unknown_license", F.coalesce(F.lower("license"), F.lit("unknown")).isin("unknown", ""), "warn")
 
-def schema_gate(rows: DataFrame, id_col: str, required: list[str]) -> DataFrame:
-    return _gate(rows, "schema", ~stats.present(*required), id_col)
 
+def schema(required: list[str]) -> Check:
+    return Check("schema", ~stats.present(*required))
 
-def rejected_source_gate(rows: DataFrame, id_col: str, rejected: DataFrame, source: str = "source") -> DataFrame:
-    marked = rows.join(rejected.select(F.col(source).alias("_s"), F.lit(True).alias("_bad")).distinct(), rows[source] == F.col("_s"), "left")
-    return _gate(marked, "rejected_source", F.col("_bad"), id_col)
+
+def rejected_source() -> Check:
+    """For rows that mark_rejected() has marked."""
+    return Check("rejected_source", F.col("_rejected"))
+
+
+def mark_rejected(rows: DataFrame, rejected: DataFrame, source: str = "source") -> DataFrame:
+    bad = rejected.select(F.col(source).alias("_s"), F.lit(True).alias("_rejected")).distinct()
+    return rows.join(bad, rows[source] == F.col("_s"), "left").drop("_s")
+
+
+def gates(rows: DataFrame, id_col: str, checks: list[Check]) -> DataFrame:
+    """A row for each check: gate, status, n_bad, n and the smallest ids that fail (at most SHOWN, a report).
+
+    Two passes over the rows, however many checks: one counts, one ranks the failing ids of each gate, of which a task
+    sends on no more than SHOWN.
+    """
+    tested = rows.select(F.col(id_col).cast("string").alias("i"), F.array_compact(F.array(*(F.when(c.bad, F.lit(c.name)) for c in checks))).alias("failed"))
+    counts = tested.agg(F.count("*").alias("n"), *(F.count_if(F.array_contains("failed", c.name)).alias(f"bad_{k}") for k, c in enumerate(checks)))
+    one = F.explode(F.array(*(F.struct(F.lit(c.name).alias("gate"), F.lit(c.status).alias("worst"), F.col(f"bad_{k}").alias("n_bad")) for k, c in enumerate(checks))))
+    ranked = tested.select(F.explode("failed").alias("g"), "i").withColumn("k", F.row_number().over(Window.partitionBy("g").orderBy("i"))).where(F.col("k") <= SHOWN)
+    ids = ranked.groupBy("g").agg(F.array_sort(F.collect_list("i")).alias("first_ids"))
+    all_ = counts.select("n", one.alias("x")).select("n", "x.*").join(ids, F.col("gate") == F.col("g"), "left")
+    return all_.select("gate", F.when(F.col("n_bad") > 0, F.col("worst")).otherwise("pass").alias("status"), "n", "n_bad", F.coalesce("first_ids", F.array().cast("array<string>")).alias("first_ids"))
 
 
 def balance_gate(rows: DataFrame, key: str, targets: dict[str, float], slack: float = 0.05) -> DataFrame:
@@ -52,17 +73,17 @@ def balance_gate(rows: DataFrame, key: str, targets: dict[str, float], slack: fl
 def checksum_gate(stored: DataFrame, actual: DataFrame) -> DataFrame:
     """(path, digest) tables: a stored path that is missing or differs fails."""
     both = stored.select("path", F.col("digest").alias("want")).join(actual.select("path", F.col("digest").alias("have")), "path", "left")
-    return _gate(both, "verification", ~F.col("want").eqNullSafe(F.col("have")), "path")
+    return gates(both, "path", [Check("verification", ~F.col("want").eqNullSafe(F.col("have")))])
 
 
-def run(gates: list[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b), gates)
+def run(parts: list[DataFrame]) -> DataFrame:
+    return reduce(lambda a, b: a.unionByName(b), parts)
 
 
-def verdict(gates: DataFrame) -> DataFrame:
+def verdict(found: DataFrame) -> DataFrame:
     """One row: how many gates passed, and PASS, CONDITIONAL (only warnings) or BLOCKED."""
     worst = F.max(F.when(F.col("status") == "fail", 2).when(F.col("status") == "warn", 1).otherwise(0))
-    return gates.agg(F.count("*").alias("n_gates"), F.count_if(F.col("status") == "pass").alias("n_passed"), F.element_at(F.array(F.lit("PASS"), F.lit("CONDITIONAL"), F.lit("BLOCKED")), worst + 1).alias("decision"))
+    return found.agg(F.count("*").alias("n_gates"), F.count_if(F.col("status") == "pass").alias("n_passed"), F.element_at(F.array(F.lit("PASS"), F.lit("CONDITIONAL"), F.lit("BLOCKED")), worst + 1).alias("decision"))
 
 
 def readiness(rows: DataFrame, id_col: str, required: list[str], approval_target: float = 0.8) -> DataFrame:

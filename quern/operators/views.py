@@ -44,10 +44,12 @@ def _order(seed: str, id_col: str) -> Column:
 
 
 def holdout(rows: DataFrame, id_col: str, fraction: float, seed: str = "42") -> DataFrame:
-    """rows with `held_out`: of 10 or more rows the first max(1, int(n * fraction)) in the order of a seeded digest.
+    """rows with `held_out`: of 10 or more rows the first max(1, int(n * fraction)) in the order of a seeded digest; none if fraction is 0 or less.
 
     The cut is found by counting in digest prefixes, then among the rows of one prefix only, so no task sorts all rows.
     """
+    if fraction <= 0:
+        return rows.withColumn("held_out", F.lit(False))
     keyed = rows.withColumn("_d", _order(seed, id_col)).withColumn("_p", F.substring("_d", 1, 4))
     counts = keyed.groupBy("_p").agg(F.count("*").alias("_n"))
     upto = counts.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))

@@ -73,9 +73,11 @@ def test_near_duplicates_cluster_over_chains(spark):
     words = [f"w{k}" for k in range(60)]
     a, b, c = words, [*words[3:], "x1", "x2", "x3"], [*words[6:], "x1", "x2", "x3", "y1", "y2", "y3"]
     docs = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate([a, b, c, a, [], ["zzz"]])], "doc_id long, text string")
-    links = dedup.near_pairs(docs).select("a", "b").unionByName(dedup.copies(docs))
-    assert sorted(map(tuple, dedup.clusters(links).collect())) == [(0, 0), (1, 0), (2, 0), (3, 0)]
-    kept = dedup.survivors(docs, dedup.clusters(links), F.lit(1), F.length("text")).where("kept").select("doc_id").collect()
+    assert sorted(tuple(r)[:2] for r in dedup.near_pairs(docs).collect()) == [(0, 1), (0, 2), (1, 2)]
+    groups = dedup.near_links(docs)
+    assert sorted(map(tuple, groups.collect())) == [(0, 0), (1, 0), (2, 0), (3, 0)]
+    assert "id" in dedup.survivors(docs.withColumn("id", F.lit("own")), groups, F.lit(1), F.length("text")).columns
+    kept = dedup.survivors(docs, groups, F.lit(1), F.length("text")).where("kept").select("doc_id").collect()
     assert sorted(r[0] for r in kept) == [0 if len(" ".join(a)) >= len(" ".join(c)) else 2, 4, 5]
 
 
