@@ -6,16 +6,19 @@ Which suffixes: every string of `length` bytes has one anchor, the place of its
 the string alone; equal strings have equal anchors at equal offsets. So only anchors are sorted, about one in 35 places,
 and of those only anchors whose gram occurs twice in the corpus. An anchor's key is the suffix from it, up to `length`
 bytes, and then what stands before it (read backwards), so equal keys mean equal surroundings for all strings it owns.
+That is less than a sort of all suffixes, which would move about a hundred times the input: a count of hashed grams leaves
+out the places that cannot repeat, and the sort decides, by bytes, for all that are left.
 
 How they are sorted: tasks sort their anchors into runs, split by a hash of the gram, collapse equal keys, and exchange the
 runs front-coded (shared prefix length and the rest of each key). Each receiving task merges its runs with a loser tree
 that knows every key's common prefix with the last winner, and so compares only bytes behind it. In the merged order,
-equal keys but the earliest are repeats at once; for different keys with the same gram the strings they own are compared.
-Copies never meet in one place: a run sends one key for all of them.
+equal keys but the earliest are repeats at once; for different keys with the same gram the strings they own are compared,
+one offset at a time. Copies never meet in one place: of equal keys a run sends the earliest and settles the others itself,
+and of equal grams a task asks about one, so a gram or key counts once a run, however common it is.
 
 Cases: null and empty text has no bytes. Rows with the same id and text are one document and get equal results; rows with
-the same id and different texts are ordered by a fingerprint of the text; a null id comes last. Other columns are ignored;
-an empty table gives an empty result.
+the same id and different texts are ordered by a fingerprint of the text; a null id comes last. A text of 256 MiB or more
+raises an error. Other columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -30,13 +33,15 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quern.llm.shared import buffer_of, table, text_chunks, written
+from quern.llm.shared import buffer_of, drop, table, text_chunks, written
 from quern.llm.shingles import _CODE, _power, mix
 
 LENGTH = 100
 GRAM = 32
 #: Anchors that are sorted into one run.
 RUN_ANCHORS = 1 << 17
+#: Anchors among which a task asks about each gram once.
+GRAM_ANCHORS = 1 << 19
 _PLACE = np.uint64((1 << 28) - 1)  # a text, and so a chunk, has fewer bytes than this
 
 
@@ -52,6 +57,8 @@ def anchors(data: np.ndarray, off: np.ndarray, length: int = LENGTH, gram: int =
     last = len(data) - length
     if last < 0:
         return none, none.astype(np.uint64), none, none, none
+    if n > int(_PLACE):
+        raise ValueError(f"a text of {len(data)} bytes is too long; places have 28 bits")
     up, down = _power(len(data) + 1)
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(_CODE[data] * up[: len(data)], out=sums[1:])
@@ -74,13 +81,32 @@ def anchors(data: np.ndarray, off: np.ndarray, length: int = LENGTH, gram: int =
 
 
 def _repeated_grams(length: int, gram: int):
+    """A row for each anchor. Of equal grams in one run one row bears the gram; the others are sure to be wanted and go anywhere."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, ...]] = []
+
+        def flush() -> pa.RecordBatch:
+            hashes, doc, fp, place = (np.concatenate(c) for c in zip(*held, strict=True))
+            held.clear()
+            _, first, which, n = np.unique(hashes, return_index=True, return_inverse=True, return_counts=True)
+            rest = np.ones(len(hashes), bool)
+            rest[first] = False
+            key = hashes.copy()
+            key[rest] = mix(hashes[rest] ^ place[rest].astype(np.uint64) ^ fp[rest].view(np.uint64))
+            return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(doc), pa.array(fp), pa.array(place), pa.array(n[which] > 1)], names=["gram", "doc", "fp", "place", "sure"])
+
         for batch in text_chunks(batches):
             data, off = buffer_of(batch.column(1))
             place, hashes, text, _, _ = anchors(data, off, length, gram)
+            if not len(place):
+                continue
             fp = np.array(fingerprints(data, off), np.int64)
-            ids = np.asarray(batch.column(0))
-            yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(ids[text]), pa.array(fp[text]), pa.array((place - off[text]).astype(np.int32))], names=["gram", "doc", "fp", "place"])
+            held.append((hashes, np.asarray(batch.column(0))[text], fp[text], (place - off[text]).astype(np.int32)))
+            if sum(len(x[0]) for x in held) >= GRAM_ANCHORS:
+                yield flush()
+        if held:
+            yield flush()
 
     return run
 
@@ -194,21 +220,29 @@ class LoserTree:
             self.best = r
 
 
+_SPANS = np.dtype([("doc", "<i8"), ("fp", "<i8"), ("start", "<i4"), ("stop", "<i4")])
+
+
 def _runs(parts: int, length: int, gram: int):
+    """Front-coded runs by part, and under part -1 the removed spans that are settled within a run."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
 
         def flush() -> pa.RecordBatch:
             held.sort()
             out: dict[int, list] = {}
-            for part, key, low, high, member in held:
-                rows = out.setdefault(part, [])
-                if rows and rows[-1][0] == key:
-                    rows[-1][3].append(member)
+            settled = []
+            before = (None, None)
+            for part, key, low, high, (doc, fp, at) in held:  # of equal keys the earliest comes first
+                if (part, key) == before:
+                    settled.append((doc, fp, at - high, at - low + length))
                 else:
-                    rows.append((key, low, high, [member]))
+                    out.setdefault(part, []).append((key, low, high, [(doc, fp, at)]))
+                    before = (part, key)
             held.clear()
-            return pa.RecordBatch.from_arrays([pa.array(list(out), pa.int32()), pa.array([pack(rows) for rows in out.values()], pa.binary())], names=["part", "run"])
+            spans = np.array(settled, _SPANS).tobytes()
+            return pa.RecordBatch.from_arrays([pa.array([-1, *out], pa.int32()), pa.array([spans, *(pack(rows) for rows in out.values())], pa.binary())], names=["part", "run"])
 
         for batch in text_chunks(batches, column=2):
             data, off = buffer_of(batch.column(2))
@@ -229,6 +263,13 @@ def _runs(parts: int, length: int, gram: int):
     return run
 
 
+def _settled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for run in batch.column(0):
+            rows = np.frombuffer(run.as_buffer(), _SPANS)
+            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(rows[c]).astype(np.int64)) for c in _SPANS.names], names=list(_SPANS.names))
+
+
 def _group(classes: list[tuple], length: int) -> Iterator[tuple[int, int, int, int]]:
     """Removed (doc, fp, start, end) of the anchors of one gram; classes are (key, low, high, members)."""
     firsts = [min(who) for *_, who in classes]
@@ -238,20 +279,28 @@ def _group(classes: list[tuple], length: int) -> Iterator[tuple[int, int, int, i
                 yield doc, fp, at - high, at - low + length
     if len(classes) < 2:
         return
-    earliest: dict[bytes, list] = {}
-    owned = []
-    for (key, low, high, _), first in zip(classes, firsts, strict=True):
-        left = key[length + 1 :][::-1]
-        strings = [left[len(left) - o :] + key[: length - o] for o in range(low, high + 1)]
-        owned.append(strings)
-        for s in strings:
-            if s not in earliest or first < earliest[s]:
-                earliest[s] = first
-    for (_, low, _, _), first, strings in zip(classes, firsts, owned, strict=True):
-        doc, fp, at = first
-        for o, s in enumerate(strings, low):
-            if earliest[s] < first:
-                yield doc, fp, at - o, at - o + length
+    lefts = [key[length + 1 :][::-1] for key, *_ in classes]
+    until = [-1] * len(classes)  # where each class's last span of offsets ends
+    since = [0] * len(classes)
+    for o in range(min(c[1] for c in classes), max(c[2] for c in classes) + 1):
+        earliest: dict[bytes, list] = {}
+        mine = []
+        for k, (key, low, high, _) in enumerate(classes):
+            if low <= o <= high:
+                s = lefts[k][len(lefts[k]) - o :] + key[: length - o]
+                mine.append((k, s))
+                if s not in earliest or firsts[k] < earliest[s]:
+                    earliest[s] = firsts[k]
+        for k, s in mine:
+            if earliest[s] < firsts[k]:
+                if until[k] < o - 1 or until[k] < 0:
+                    if until[k] >= 0:
+                        yield firsts[k][0], firsts[k][1], firsts[k][2] - until[k], firsts[k][2] - since[k] + length
+                    since[k] = o
+                until[k] = o
+    for (doc, fp, at), a, b in zip(firsts, since, until, strict=True):
+        if b >= 0:
+            yield doc, fp, at - b, at - a + length
 
 
 def _merged(length: int, gram: int):
@@ -293,45 +342,52 @@ def _merged(length: int, gram: int):
     return run
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        rows = []
-        for text, spans in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-            whole, kept, at, n = text.encode(), hashlib.sha256(), 0, 0
-            joined: list[list[int]] = []
-            for s in sorted((s["start"], s["stop"]) for s in spans):
-                if joined and s[0] <= joined[-1][1]:
-                    joined[-1][1] = max(joined[-1][1], s[1])
-                else:
-                    joined.append(list(s))
-            parts = []
-            for a, b in joined:
-                parts.append(whole[at:a])
-                at, n = b, n + b - a
-            parts.append(whole[at:])
-            left = b"".join(parts)
-            kept.update(left)
-            rows.append((n, len(joined), kept.hexdigest(), left))
-        types = [pa.int64(), pa.int64(), pa.string(), pa.binary()]
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [[]] * 4, types, strict=True))], names=["doc", "fp", "n_removed", "n_spans", "cut_sha", "kept"])
-
-
-def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """Per document that loses bytes: doc, fp (fingerprint of the text), n_removed, n_spans, cut_sha and kept (bytes)."""
+def _cut(keep_bytes: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_chunks(batches, column=2):
+            rows = []
+            for text, spans in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+                whole, at, n = text.encode(), 0, 0
+                joined: list[list[int]] = []
+                for s in sorted((s["start"], s["stop"]) for s in spans):
+                    if joined and s[0] <= joined[-1][1]:
+                        joined[-1][1] = max(joined[-1][1], s[1])
+                    else:
+                        joined.append(list(s))
+                parts = []
+                for a, b in joined:
+                    parts.append(whole[at:a])
+                    at, n = b, n + b - a
+                left = b"".join([*parts, whole[at:]])
+                rows.append((n, len(joined), hashlib.sha256(left).hexdigest(), left if keep_bytes else None))
+            types = [pa.int64(), pa.int64(), pa.string(), pa.binary()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True))], names=["doc", "fp", "n_removed", "n_spans", "cut_sha", "kept"])
+
+    return run
+
+
+def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM, keep_bytes: bool = True) -> DataFrame:
+    """Per document that loses bytes: doc, fp (fingerprint of the text), n_removed, n_spans, cut_sha and kept (bytes; null without keep_bytes)."""
     spark = docs.sparkSession
     last = F.lit((1 << 63) - 1)
     docs = docs.select(F.coalesce(F.col(id_col).cast("long"), last).alias("doc"), F.col(text_col).cast("string").alias("text"))
-    grams = docs.mapInArrow(_repeated_grams(length, gram), "gram long, doc long, fp long, place int")
-    often = grams.withColumn("n", F.count("*").over(Window.partitionBy("gram"))).where("n > 1")
-    wanted = often.groupBy("doc", "fp").agg(F.array_sort(F.collect_set("place")).alias("places"))
-    texts = docs.mapInArrow(_named, "doc long, fp long, text string")
+    grams = docs.mapInArrow(_repeated_grams(length, gram), "gram long, doc long, fp long, place int, sure boolean")
+    often = grams.withColumn("n", F.count("*").over(Window.partitionBy("gram"))).where("n > 1 or sure")
+    wanted = written(often.groupBy("doc", "fp").agg(F.array_sort(F.collect_set("place")).alias("places")), "anchors")
+    texts = docs.mapInArrow(_named, "doc long, fp long, text string").dropDuplicates(["doc", "fp"])
     met = written(wanted.withColumnsRenamed({"doc": "d", "fp": "f"}).join(texts, (F.col("d") == F.col("doc")) & (F.col("f") == F.col("fp"))).select("doc", "fp", "text", "places"), "flagged")
+    drop(wanted)
     parts = 4 * max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    runs = met.mapInArrow(_runs(parts, length, gram), "part int, run binary")
-    spans = runs.repartition("part").sortWithinPartitions("part").mapInArrow(_merged(length, gram), "doc long, fp long, start long, stop long")
-    spans = written(spans, "removed").groupBy("doc", "fp").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
-    rows = spans.withColumnsRenamed({"doc": "d", "fp": "f"}).join(met, (F.col("d") == F.col("doc")) & (F.col("f") == F.col("fp"))).select("doc", "fp", "text", "spans")
-    return rows.mapInArrow(_cut, "doc long, fp long, n_removed long, n_spans long, cut_sha string, kept binary")
+    runs = written(met.mapInArrow(_runs(parts, length, gram), "part int, run binary"), "runs")
+    kind = "doc long, fp long, start long, stop long"
+    merged = runs.where("part >= 0").repartition("part").sortWithinPartitions("part").mapInArrow(_merged(length, gram), kind)
+    spans = written(merged.unionByName(runs.where("part = -1").select("run").mapInArrow(_settled, kind)), "removed")
+    drop(runs)
+    by_doc = spans.groupBy("doc", "fp").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
+    rows = by_doc.withColumnsRenamed({"doc": "d", "fp": "f"}).join(met, (F.col("d") == F.col("doc")) & (F.col("f") == F.col("fp"))).select("doc", "fp", "text", "spans")
+    cut = written(rows.mapInArrow(_cut(keep_bytes), "doc long, fp long, n_removed long, n_spans long, cut_sha string, kept binary"), "cut")
+    drop(met, spans)
+    return cut
 
 
 def _named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -343,7 +399,7 @@ def _named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """Per row: doc_id, n_bytes, n_removed, n_spans and kept_sha256 (of the bytes that remain)."""
     last = F.lit((1 << 63) - 1)
-    cut = repeats(docs, id_col, text_col, length, gram).drop("kept").withColumnsRenamed({"doc": "d", "fp": "f"}).dropDuplicates(["d", "f"])
+    cut = repeats(docs, id_col, text_col, length, gram, keep_bytes=False).drop("kept").withColumnsRenamed({"doc": "d", "fp": "f"})
     keyed = docs.select(F.coalesce(F.col(id_col).cast("long"), last).alias("doc"), F.col(text_col).cast("string").alias("text"))
     facts = keyed.mapInArrow(_facts, "doc long, fp long, n_bytes long, sha string")
     both = facts.join(cut, (F.col("d") == F.col("doc")) & (F.col("f") == F.col("fp")), "left")
