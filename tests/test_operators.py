@@ -191,5 +191,4 @@ def test_golden_funnel(spark):
     kept = etl.coerce_record(base).where("drop_reason is null")
     assert kept.count() == 94 and kept.first()["quality_score"] == 10 and kept.first()["tags"] == ["a-b"]
     docs = kept.select("doc_id", conversations.norm_text(F.col("messages")).alias("text"))
-    groups = dedup.clusters(dedup.near_pairs(docs).select("a", "b").unionByName(dedup.copies(docs)))
-    assert dedup.survivors(docs, groups, F.lit(1), F.length("text")).where("kept").count() == 79
+    assert dedup.survivors(docs, dedup.near_links(docs), F.lit(1), F.length("text")).where("kept").count() == 79
