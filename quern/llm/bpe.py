@@ -57,7 +57,7 @@ WITH RECURSIVE step(g, w, t, n) @KEY AS (
   SELECT g, w, t, 0 FROM start
   @UNION
   (WITH pairs AS (SELECT g, w, t, n, row_number() OVER o AS k, lead(t) OVER o AS t2, lead(w) OVER o AS w2 FROM step @LIVE WINDOW o AS (ORDER BY g)),
-        ranked AS (SELECT pairs.*, m.t AS new FROM pairs LEFT JOIN merges m ON m.pair = CASE WHEN w2 = w THEN pairs.t * 1048576 + t2 END),
+        ranked AS (SELECT pairs.*, m.t AS new FROM pairs LEFT JOIN merges m ON m.pair = CASE WHEN w2 = w THEN pairs.t::BIGINT * 1048576 + t2 END),
         least AS (SELECT w, min(new) AS best, min(k) - 1 AS k0, @FIRST AS first FROM ranked GROUP BY w HAVING min(new) IS NOT NULL),
         going AS (SELECT g, w, t, n, k, new, k0, coalesce(@HIT, false) AS hit FROM ranked JOIN least USING (w)),
         runs AS (SELECT *, (k - 1 - greatest(k0, max(CASE WHEN NOT hit THEN k END) OVER (ORDER BY g ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))) % 2 = 1 AS gone FROM going)
@@ -210,7 +210,7 @@ class Encoder:
         ends = np.cumsum(sizes)
         w = np.repeat(np.arange(len(which), dtype=np.int32), sizes)
         t = self.v["single"][np.frombuffer(b"".join(pieces[k] for k in which), np.uint8)]
-        start = pa.table({"g": np.arange(ends[-1]), "w": w, "t": t.astype(np.int64)})
+        start = pa.table({"g": np.arange(ends[-1], dtype=np.int32), "w": w, "t": t})
         self.con.register("start", start)
         got = self.con.execute(self.queries[int(sizes.max()) > SHORT_PIECE]).fetchnumpy()
         at = np.searchsorted(got["w"], np.arange(len(which) + 1))
