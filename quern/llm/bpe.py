@@ -41,8 +41,10 @@ QUERY_BYTES = 1 << 17
 SHORT_PIECE = 64
 #: Chunks of text whose new pieces are merged together, since a query reads the merge table in every step.
 CHUNKS = 4
-#: Tokens that one decoding query takes, but for a longer text.
-QUERY_TOKENS = 1 << 19
+#: Bytes of text in a chunk, but for a longer text.
+CHUNK_BYTES = 1 << 20
+#: Tokens that one decoding query takes.
+QUERY_TOKENS = 1 << 17
 #: Largest vocabulary file that is broadcast.
 VOCABULARY_BYTES = 64 << 20
 
@@ -69,7 +71,7 @@ EVERY_HIT = {"@FIRST": "0", "@HIT": "new = best"}
 FIRST_HIT = {"@FIRST": "arg_min(k, new::BIGINT * 4294967296 + k)", "@HIT": "k = first"}
 SHORT = {"@KEY": "", "@UNION": "UNION ALL", "@LIVE": "", "@NEXT": "SELECT g, w, CASE WHEN hit THEN new ELSE t END, n + 1 FROM runs WHERE NOT gone", "@RESULT": "SELECT w, t FROM step JOIN (SELECT w, max(n) AS n FROM step GROUP BY w) USING (w, n) ORDER BY g"}
 LONG = {"@KEY": "USING KEY (g)", "@UNION": "UNION", "@LIVE": "WHERE t IS NOT NULL", "@NEXT": "SELECT g, w, CASE WHEN gone THEN NULL WHEN hit THEN new ELSE t END, n + 1 FROM runs", "@RESULT": "SELECT w, t FROM step WHERE t IS NOT NULL ORDER BY g"}
-DUCKDB = {"threads": 1, "memory_limit": "300MB", "temp_directory": ""}
+DUCKDB = {"threads": 1, "memory_limit": "256MB", "temp_directory": ""}
 DECODE = "SELECT d, string_agg(s, '' ORDER BY p) AS s FROM tokens JOIN vocabulary USING (t) GROUP BY d ORDER BY d"
 
 
@@ -281,7 +283,7 @@ def _encode(shared):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = worker_state(name, lambda: Encoder(shared.value))
-        chunks = text_chunks(batches)
+        chunks = text_chunks(batches, limit=CHUNK_BYTES)
         try:
             while group := list(islice(chunks, CHUNKS)):
                 cut = [encoder.cut(*buffer_of(batch.column(1))) for batch in group]
@@ -305,14 +307,15 @@ def _decode(shared):
             con.execute("CREATE TABLE vocabulary AS SELECT * FROM vocabulary_in")
             for batch in text_chunks(batches, limit=4 * QUERY_TOKENS):
                 data, off = buffer_of(batch.column(1))
-                counts = np.diff(off) // 4
-                tokens = pa.table({"d": np.repeat(np.arange(len(counts), dtype=np.int32), counts), "p": np.arange(len(data) // 4, dtype=np.int64), "t": np.frombuffer(data.tobytes(), "<u4")})
-                con.register("tokens", tokens)
-                got = con.execute(DECODE).fetchall()
-                out = [b""] * len(counts)
-                for d, s in got:
-                    out[d] = s.encode("latin-1")
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.binary())], names=["id", "ids", "decoded"])
+                ids = np.frombuffer(data.tobytes(), "<u4")
+                text = np.repeat(np.arange(len(off) - 1, dtype=np.int32), np.diff(off) // 4)
+                out: list[list[bytes]] = [[] for _ in range(len(off) - 1)]
+                for a in range(0, len(ids), QUERY_TOKENS):  # parts of a text follow one another
+                    part = slice(a, a + QUERY_TOKENS)
+                    con.register("tokens", pa.table({"d": text[part], "p": np.arange(len(ids[part]), dtype=np.int32), "t": ids[part]}))
+                    for d, s in con.execute(DECODE).fetchall():
+                        out[d].append(s.encode("latin-1"))
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([b"".join(x) for x in out], pa.binary())], names=["id", "ids", "decoded"])
         finally:
             con.close()
 

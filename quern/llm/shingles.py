@@ -14,7 +14,9 @@ _SPACE[[32, 9, 10, 11, 12, 13]] = True
 _CODE = np.random.default_rng(20240501).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15
 _BACK = pow(_BASE, -1, 2**64)
-_powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+#: Powers kept for texts of usual length; those for longer ones go with the call.
+KEPT_POWERS = (2 << 20) + 2
+_powers: list[list[np.ndarray]] = []
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -26,12 +28,16 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def _power(n: int) -> list[np.ndarray]:
-    if len(_powers[0]) < n:
-        for k, base in enumerate((_BASE, _BACK)):
-            steps = np.full(n, base, np.uint64)
-            steps[0] = 1
-            _powers[k] = np.cumprod(steps, dtype=np.uint64)
-    return _powers
+    if n <= KEPT_POWERS and _powers and len(_powers[0][0]) >= n:
+        return _powers[0]
+    found = []
+    for base in (_BASE, _BACK):
+        steps = np.full(max(1, n), base, np.uint64)
+        steps[0] = 1
+        found.append(np.cumprod(steps, dtype=np.uint64))
+    if n <= KEPT_POWERS:
+        _powers[:] = [found]
+    return found
 
 
 def word_bounds(data: np.ndarray, off: np.ndarray, space: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -483,3 +483,27 @@ def test_query_equals_sql(name, spark):
     want = con.sql(queries.ORACLES[name])
     got = queries.QUERIES[name](spark, "/root/testdata/sf0.001").select(*want.columns)
     assert sorted(map(tuple, got.collect()), key=repr) == sorted(want.fetchall(), key=repr)
+
+
+def test_very_long_texts(spark):
+    """Texts over a chunk, and over a decoding query, give what they give in parts."""
+    import public_tokenizers as P
+    import tiktoken
+
+    path = P.path("byte_bpe_50k.tiktoken")
+    long = " ".join(prose(4000, k) for k in range(130))  # over 2 MB
+    assert len(long.encode()) > 2 << 20
+    near = long + " with a few more words"
+    rows = [(0, prose(60, 1)), (1, long), (2, near), (3, ""), (4, None)]
+    df = spark.createDataFrame([(*x, "en") for x in rows], "doc_id long, text string, lang string").repartition(2)
+    reference = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=bpe.load_ranks(path), special_tokens={})
+    got = {r["doc_id"]: r for r in bpe.digests(df, path).collect()}
+    ids = reference.encode_ordinary(near)
+    assert got[2]["ids_sha256"] == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest() and got[2]["decoded_sha256"] == hashlib.sha256(near.encode()).hexdigest()
+    assert sorted(tuple(r)[:3] for r in ngram_join.ngram_components(df).collect()) == sorted((i, len(word_set(t)), 1 if i == 2 else i) for i, t in rows)
+    cut = {r["doc_id"]: r for r in suffix_dedup.digests(df).collect()}
+    assert cut[2]["n_bytes"] - cut[2]["n_removed"] == len(" with a few more words") and cut[2]["n_spans"] == 1
+    found = {r["doc_id"]: r for r in quality.quality(df).collect()}
+    assert found[1]["n_words"] == 130 * 4000 and not found[1]["base_failed"]
+    item = spark.createDataFrame([(1, " ".join(long.split()[-40:-20]))], "item_id long, text string")
+    assert {r["doc_id"] for r in decontam.contamination(df, item).where("contaminated").collect()} == {1, 2}
