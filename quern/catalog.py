@@ -747,22 +747,6 @@ def incremental_pending(spark, sf_dir):
 # --- extraction ----------------------------------------------------------------------------------------------------
 
 
-@query()
-def html_extract(spark, sf_dir):
-    return table(spark, sf_dir, "pages").select("page_id", readers.html_extract("html").alias("x")).select("page_id", "x.*")
-
-
-@query()
-def html_extract_native(spark, sf_dir):
-    return table(spark, sf_dir, "pages").select("page_id", readers.html_title(F.col("html")).alias("title"), readers.html_text(F.col("html")).alias("text"))
-
-
-@query()
-def md_sections(spark, sf_dir):
-    marked = F.regexp_replace(F.regexp_replace("html", r"(?i)<h[1-3][^>]*>", "\n# "), r"<[^>]+>", "")
-    return readers.sections(table(spark, sf_dir, "pages").select("page_id", marked.alias("md")), "md").select("page_id", "section", "heading", "body")
-
-
 @query("SELECT count(*) AS n, coalesce(sum(n_chars), 0) AS bytes FROM documents WHERE doc_id IN (SELECT max(doc_id) FROM documents GROUP BY source)")
 def cache_stats(spark, sf_dir):
     d = table(spark, sf_dir, "documents").select(F.col("source").alias("source_ref"), F.col("doc_id").alias("fetched_at"), F.col("n_chars").alias("size_bytes"))

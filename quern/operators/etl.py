@@ -162,6 +162,18 @@ def coerce_record(rows: DataFrame) -> DataFrame:
     ).drop("given")
 
 
+def coerce_source(source: Column) -> Column:
+    """struct(name, url, license, date) of a struct or null: cleaned, name and license `unknown` where there is none."""
+    text = lambda k: X.clean_text(source[k])
+    known = lambda k: F.coalesce(F.nullif(text(k), F.lit("")), F.lit("unknown"))
+    return F.struct(known("name").alias("name"), text("url").alias("url"), known("license").alias("license"), text("date").alias("date"))
+
+
+def extraction_type(method: Column) -> Column:
+    """The record type that an extraction method gives."""
+    return F.when(method.isin("issue_to_patch", "conversation_to_turn"), "conversation").otherwise("instruction")
+
+
 def sequence_ids(rows: DataFrame, prefix: Column, order: str, by: str = "category") -> DataFrame:
     """Ids `prefix_%04d` counted within each group of `by`, so that no task ever sees all rows."""
     n = F.row_number().over(Window.partitionBy(by).orderBy(order))

@@ -98,6 +98,40 @@ def evaluate(rows: DataFrame, source_confidence: Column | None = None) -> DataFr
     return out.drop("asst", "usr", "tagged", "parts", "whole", "answer_hits", "tagged_hits", "all_hits", "stock", *names)
 
 
+# Words that speak for a technical text and for a specific one, in the profile for new records.
+PROFILE_TERMS = ["therefore", "because", "since", "however", "although", "formula", "equation", "function", "algorithm", "model", "parameter", "gradient", "weight", "matrix", "tensor", "protocol", "architecture", "mechanism", "pipeline", "inference"]
+SPECIFIC_TERMS = [":", "such as", "for example", "specifically", "namely", "including"]
+
+
+def expansion_profile(rows: DataFrame, question: str = "question", answer: str = "answer", license_: str = "license") -> DataFrame:
+    """rows with the scores of the second profile: dims, quality_continuous, quality_score, confidence, confidence_level and flags.
+
+    It goes by lengths, terms and variety. Scores have no floor, so that its gate can fail.
+    """
+    a, q = F.coalesce(F.col(answer), F.lit("")), F.coalesce(F.col(question), F.lit(""))
+    out = rows.withColumns({"_low": F.lower(a), "_len": F.length(a), "_words": X.words(F.lower(a)), "_asked": F.array_distinct(X.words(F.lower(q)))})
+    n, low = F.col("_len"), F.col("_low")
+    held = lambda terms: reduce(lambda x, y: x + y, [low.contains(t).cast("int") for t in terms])
+    top = lambda c: F.least(F.lit(1.0), c)
+    parts = F.size(F.filter(F.split(a, r"\."), lambda s: X.strip(s) != ""))
+    variety = F.size(F.array_distinct("_words")) / F.greatest(F.lit(1), F.size("_words"))
+    dims = {
+        "accuracy": F.when(n > 0, top(n / 200.0)).otherwise(0.1),
+        "completeness": F.when(n > 0, top(n / 500.0)).otherwise(0.1),
+        "technical_correctness": top(held(PROFILE_TERMS) / 3.0 + 0.3),
+        "clarity": top(1.0 - F.abs(n / F.greatest(F.lit(1), parts) - 20) / 100),
+        "usefulness": top(held(SPECIFIC_TERMS) / 3.0 + n / 500.0),
+        "originality": top(variety / 0.5),
+        "relevance": top(F.size(F.array_intersect("_asked", "_words")) / F.greatest(F.lit(1), F.size("_asked"))),
+    }
+    out = out.withColumns({"dims": F.struct(*(F.bround(c, 3).alias(k) for k, c in dims.items())), "_conf": top(n / 100.0 * (0.5 + variety * 0.5))})
+    whole = reduce(lambda x, y: x + y, [F.col(f"dims.{k}") * w for k, w in QUALITY_WEIGHTS.items()])
+    score = F.greatest(F.lit(1), F.least(F.lit(10), F.bround(F.bround(whole, 9) * 9 + 1).cast("int")))
+    level = F.when(F.col("_conf") < 0.3, 1).when(F.col("_conf") < 0.5, 2).when(F.col("_conf") < 0.7, 3).when(F.col("_conf") < 0.9, 4).otherwise(5)
+    flags = F.array_compact(F.array(F.when(score < 7, F.lit("below_quality_threshold")), F.when(n < 20, F.lit("very_short_answer")), F.when(F.lower(F.coalesce(license_, F.lit(""))).contains("unknown"), F.lit("unknown_license"))))
+    return out.withColumns({"quality_continuous": F.bround(whole, 4), "quality_score": score, "confidence": F.bround("_conf", 3), "confidence_level": level, "flags": flags}).drop("_low", "_len", "_words", "_asked", "_conf")
+
+
 #: Below these a dimension gets a proposal, and what it is about.
 REVISION_FLOORS = {"accuracy": 0.7, "completeness": 0.6, "technical_correctness": 0.6, "clarity": 0.7, "usefulness": 0.7, "originality": 0.5, "relevance": 0.6}
 

@@ -12,12 +12,15 @@ from quern.schema import LIFECYCLE_STATES, TRANSITIONS
 
 TIERS = ["review_cache", "review_input", "decision", "curated", "pack", "archive"]
 # Terms that mark a technical text.
-TECHNICAL = (
-    "algorithm api array async binary buffer cache callback class compile concurrency database debug deploy encrypt framework function hash http https index inherit instance interface iteration json "
-    "library loop method middleware module namespace network null object package parallel polymorphism protocol queue recursion refactor regex response request schema serialize server socket stack "
-    "string syntax tcp template thread token udp url variable vector virtual workflow xml yaml bandwidth connection-oriented connectionless dns firewall ip latency load-balancer port router ssl tls "
-    "throughput daemon filesystem fifo kernel lifo memory mutex process semaphore"
-).split()
+TECHNICAL = [
+    "algorithm", "api", "array", "async", "binary", "buffer", "cache", "callback", "class", "compile", "concurrency", "database", "debug", "deploy",
+    "encrypt", "framework", "function", "hash", "http", "https", "index", "inherit", "instance", "interface", "iteration", "json", "library", "loop",
+    "method", "middleware", "module", "namespace", "network", "null", "object", "package", "parallel", "polymorphism", "protocol", "queue",
+    "recursion", "refactor", "regex", "response", "request", "schema", "serialize", "server", "socket", "stack", "string", "syntax", "tcp",
+    "template", "thread", "token", "udp", "url", "variable", "vector", "virtual", "workflow", "xml", "yaml", "bandwidth", "connection-oriented",
+    "connectionless", "dns", "firewall", "ip", "latency", "load-balancer", "port", "router", "ssl", "tls", "throughput", "daemon", "filesystem",
+    "fifo", "kernel", "lifo", "memory", "mutex", "process", "semaphore",
+]
 
 
 def tiered(tiers: dict[str, DataFrame], key: str) -> DataFrame:
@@ -138,3 +141,25 @@ def provenance(answer: Column, source: Column | None = None) -> Column:
 def attribution(name: Column, author: Column, url: Column, license_: Column) -> Column:
     """`name by author, url (license)`, without the parts that are missing."""
     return F.concat(name, F.coalesce(F.concat(F.lit(" by "), author), F.lit("")), F.coalesce(F.concat(F.lit(", "), url), F.lit("")), F.coalesce(F.concat(F.lit(" ("), license_, F.lit(")")), F.lit("")))
+
+
+# What is said of changes to an answer, by its provenance.
+MODIFICATIONS = {
+    "verbatim": "Used verbatim from the original Stack Exchange post.",
+    "condensed": "Adapted from the original answer — content was condensed for training use.",
+    "rephrased": "Adapted from the original answer — content was rephrased for clarity and training use.",
+    "unknown": "Content sourced from Stack Exchange data dump pipeline. Specific modifications from the original post, if any, are not recorded.",
+}
+
+
+def modification_text(label: Column) -> Column:
+    known = F.create_map(*(F.lit(x) for kv in MODIFICATIONS.items() for x in kv))
+    return F.coalesce(F.element_at(known, label), F.lit(MODIFICATIONS["unknown"]))
+
+
+def with_resolutions(rows: DataFrame, resolutions: DataFrame, key: str = "record_id") -> DataFrame:
+    """rows with label and confidence of their latest resolution (unknown, 0 where there is none) and the text that says so."""
+    last = resolutions.groupBy(F.col(key).alias("_r")).agg(F.max_by(F.struct("label", "confidence"), "resolved_at").alias("_x"))
+    out = rows.join(last, F.col(key) == F.col("_r"), "left")
+    label = F.coalesce(F.col("_x.label"), F.lit("unknown"))
+    return out.select(*rows.columns, label.alias("label"), F.coalesce(F.col("_x.confidence"), F.lit(0.0)).alias("confidence"), modification_text(label).alias("modifications"))

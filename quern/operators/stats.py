@@ -89,6 +89,14 @@ def strata(pairs: DataFrame, keys: list[str]) -> DataFrame:
     return g.select("scope", "stratum", "n", F.bround("auto_mean", 2).alias("auto_mean"), F.bround("human_mean", 2).alias("human_mean"), nz("bias").alias("bias"), F.bround("mae", 3).alias("mae"), F.bround("within1", 3).alias("within1"), F.bround(f1, 3).alias("f1"), nz(-F.col("bias")).alias("correction"), F.bround(conf, 3).alias("confidence"), gate.alias("gate"), action.alias("action"))
 
 
+def weighted_errors(pairs: DataFrame, weight: str, by: str) -> DataFrame:
+    """Per value of `by`: bias and mean absolute error of auto against human, each review weighted by its confidence; null weighs nothing."""
+    w, d = F.coalesce(F.col(weight).cast("double"), F.lit(0.0)), F.col("auto") - F.col("human")
+    g = pairs.groupBy(F.col(by).alias("stratum")).agg(F.count("*").alias("n"), F.sum(w).alias("weight"), F.sum(w * d).alias("d"), F.sum(w * F.abs(d)).alias("e"))
+    mean = lambda c: F.bround(ratio(F.col(c), F.col("weight")), 3) + 0.0
+    return g.select("stratum", "n", "weight", mean("d").alias("bias"), mean("e").alias("mae"))
+
+
 def dimension_metrics(pairs: DataFrame, dims: list[str]) -> DataFrame:
     """Per dimension the error of auto_<dim> (0..1, scaled to 1..10) against human_<dim>."""
     rows = F.explode(F.array(*(F.struct(F.lit(d).alias("dimension"), (F.col(f"auto_{d}") * 9.0 + 1.0).alias("a"), F.col(f"human_{d}").cast("double").alias("h")) for d in dims)))
@@ -126,6 +134,11 @@ def shares_against_targets(df: DataFrame, key: str, targets: dict[str, float], s
     return both.select(F.coalesce("key", "k").alias("key"), F.coalesce("n", F.lit(0)).alias("n"), F.bround(share, 4).alias("share"), "target", verdict.alias("verdict"))
 
 
+def dataset_numbers(rows: DataFrame, score: str = "quality_score", license_: str = "license", verified: str = "verified") -> DataFrame:
+    """One row: rows, min, max and mean score, verified rows and rows of unknown license."""
+    return rows.agg(F.count("*").alias("n"), F.min(score).alias("min_score"), F.max(score).alias("max_score"), F.bround(F.avg(score), 2).alias("avg_score"), F.count_if(F.coalesce(verified, F.lit(False))).alias("n_verified"), F.count_if(F.col(license_) == "unknown").alias("n_unknown_license"))
+
+
 def rate(test: Column) -> Column:
     """Share of rows where the test holds; a null test does not hold."""
     return F.bround(F.avg(F.coalesce(test, F.lit(False)).cast("int")), 4)
@@ -138,6 +151,11 @@ def present(*cols: str) -> Column:
     return test
 
 
+def schema_pass_rate(required: list[str]) -> Column:
+    """Share of rows that have every required field."""
+    return rate(present(*required))
+
+
 #: Metrics by name: an aggregate over rows(quality_score, license, verification_status, source_id, source_name, source_url).
 METRICS: dict[str, Column | Callable[[], Column]] = {
     "quality_mean_score": lambda: F.bround(F.avg("quality_score"), 2),

@@ -104,6 +104,18 @@ def build(rows: DataFrame, recipe: Recipe, id_col: str) -> DataFrame:
     return holdout(rows, id_col, recipe.holdout, recipe.seed)
 
 
+def project(rows: DataFrame, view: str, model: str, id_col: str = "id") -> DataFrame:
+    """The output rows of a training view: view_id, record_id, model, messages, the lineage up to the view, and the model's eligibility."""
+    lineage = F.struct(F.col("lineage.source").alias("source"), F.col("lineage.curated_dataset").alias("curated_dataset"), F.lit(view).alias("training_view"))
+    return rows.select(F.lit(view).alias("view_id"), F.col(id_col).alias("record_id"), "category", "license", F.lit(model).alias("model"), "messages", lineage.alias("lineage"), F.coalesce(F.col(f"training_view_eligibility.{model}"), F.lit(False)).alias("eligible"))
+
+
+def lifecycle_valid(rows: DataFrame, states: DataFrame, id_col: str, allowed: tuple[str, ...] = ("approved", "released")) -> DataFrame:
+    """The rows whose latest state (id, state, ord) is one of the allowed."""
+    now = states.groupBy(F.col("id").alias("_i")).agg(F.max_by("state", "ord").alias("_s")).where(F.col("_s").isin(*allowed))
+    return rows.join(now, F.col(id_col) == F.col("_i"), "left_semi")
+
+
 def manifest(views: DataFrame, by: str, id_col: str, body: str) -> DataFrame:
     """Per view: rows, and a digest over the ids and bodies that does not depend on their order."""
     h = F.sha2(F.concat_ws("\x1f", F.col(id_col).cast("string"), body), 256)

@@ -74,79 +74,117 @@ def parquet(spark: SparkSession, path: str, limit: int | None = None) -> DataFra
     return df if limit is None else df.limit(limit)
 
 
-class _Text(html.parser.HTMLParser):
-    OPEN = frozenset("p div br li h1 h2 h3 h4 tr".split())
-    CLOSE = frozenset("p div li h1 h2 h3 h4".split())
-    HIDDEN = frozenset("script style noscript".split())
+# Tags that break a line when they open or close, and tags whose content is not text.
+OPEN_BREAKS = ("p", "div", "br", "li", "h1", "h2", "h3", "h4", "tr")
+CLOSE_BREAKS = ("p", "div", "li", "h1", "h2", "h3", "h4")
+HIDDEN = ("script", "style", "noscript")
+
+
+class _Page(html.parser.HTMLParser):
+    """Line ends at block tags, and every visible run of text without the white space around it."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.parts: list[str] = []
-        self.title: list[str] = []
-        self.hidden, self.titled = 0, False
+        self.runs: list[str] = []
+        self.depth = 0
 
     def handle_starttag(self, tag, attrs):
-        self.hidden += tag in self.HIDDEN
-        self.titled |= tag == "title"
-        if tag in self.OPEN:
-            self.parts.append("\n")
+        self.depth += tag in HIDDEN
+        self.runs += ["\n"] * (tag in OPEN_BREAKS)
 
     def handle_endtag(self, tag):
-        self.hidden -= tag in self.HIDDEN and self.hidden > 0
-        if tag == "title":
-            self.titled = False
-        if tag in self.CLOSE:
-            self.parts.append("\n")
+        self.depth = max(0, self.depth - (tag in HIDDEN))
+        self.runs += ["\n"] * (tag in CLOSE_BREAKS)
 
     def handle_data(self, data):
-        if self.titled:
-            self.title.append(data)
-        elif not self.hidden:
-            self.parts.append(data)
+        if not self.depth and (run := data.strip()):
+            self.runs.append(run)
 
 
-def page_text(page: str | None) -> tuple[str, str]:
-    """(title, text) of an HTML page; broken markup is read as far as it goes."""
-    p = _Text()
-    p.feed(page or "")
-    p.close()
-    text = re.sub(r"[ \t\r\f\v]+", " ", "".join(p.parts))
-    text = re.sub(r" ?\n ?", "\n", text)
-    return "".join(p.title).strip(), re.sub(r"\n{3,}", "\n\n", text).strip()
+def page_text(page: str | None) -> str:
+    """Visible text of an HTML page, the title's with it: runs joined by blanks, at most one empty line. Broken markup is read as far as it goes."""
+    reader = _Page()
+    reader.feed(page or "")
+    reader.close()
+    return re.sub("\n{3,}", "\n\n", re.sub("[ \t]+", " ", " ".join(reader.runs))).strip()
 
 
-@F.pandas_udf(T.StructType([T.StructField("title", T.StringType()), T.StructField("text", T.StringType())]))
-def html_extract(pages: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-    """Title and visible text, in Arrow batches; the faithful form, by an HTML parser."""
+@F.pandas_udf(T.StringType())
+def html_extract(pages: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """page_text() in Arrow batches; the faithful form, by an HTML parser."""
     for s in pages:
-        yield pd.DataFrame([page_text(x) for x in s], columns=["title", "text"])
+        yield s.map(page_text)
 
 
-def html_text(c: Column) -> Column:
-    """Visible text by expressions alone: scripts and styles out, block tags as line ends, common references decoded."""
-    c = F.regexp_replace(F.coalesce(c, F.lit("")), r"(?is)<(script|style|noscript|title)\b.*?</\1\s*>", "")
-    c = F.regexp_replace(c, r"(?i)</?(?:p|div|li|h[1-4])\b[^>]*>|<(?:br|tr)\b[^>]*>", "\n")
-    c = F.regexp_replace(c, r"(?s)<!--.*?-->|<[^>]+>", "")
-    for ref, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")):
-        c = F.replace(c, F.lit(ref), F.lit(char))
-    c = F.regexp_replace(F.regexp_replace(c, r"[ \t\r\f\x0B]+", " "), r" ?\n ?", "\n")
-    return F.regexp_replace(F.regexp_replace(c, r"\n{3,}", "\n\n"), r"^\s+|\s+$", "")
+def html_title(c: Column, stem: Column | None = None) -> Column:
+    """The title element's text with single blanks, else the file's stem."""
+    found = F.regexp_replace(F.regexp_replace(F.regexp_extract(c, r"(?is)<title[^>]*>(.*?)</title>", 1), r"[ \t\r\n\f\x0B]+", " "), "^ | $", "")
+    return F.when(c.rlike(r"(?is)<title[^>]*>.*?</title>"), found).otherwise(stem if stem is not None else F.lit(""))
+
+
+#: Character references that the expressions decode; the parser knows them all.
+REFERENCES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&nbsp;": "\u00a0", "&copy;": "\u00a9", "&middot;": "\u00b7", "&amp;": "&"}
 
 
-def html_title(c: Column) -> Column:
-    return F.regexp_extract(c, r"(?is)<title[^>]*>(.*?)</title", 1)
+def html_text(c: Column) -> Column:
+    """page_text() by expressions alone, equal to it on pages without other references or markup inside attributes."""
+    c = F.regexp_replace(F.coalesce(c, F.lit("")), r"(?is)<(script|style|noscript)\b.*?</\1\s*>|<!--.*?-->|<![^>]*>", "\u0001")
+    c = F.regexp_replace(c, rf"(?i)<(?:{'|'.join(OPEN_BREAKS)})\b[^>]*>|</(?:{'|'.join(CLOSE_BREAKS)})\b[^>]*>", "\u0001\u0002\u0001")
+    c = F.regexp_replace(c, r"<[^>]+>", "\u0001")
+    for ref, char in REFERENCES.items():
+        c = F.replace(c, F.lit(ref), F.lit(char))
+    c = F.regexp_replace(c, "[ \\t\\r\\n\\f\\x0B\u00a0]*\u0001[ \\t\\r\\n\\f\\x0B\u00a0\u0001]*", " ")
+    c = F.regexp_replace(F.regexp_replace(F.replace(c, F.lit("\u0002"), F.lit("\n")), r"[ \t]+", " "), r"\n{3,}", "\n\n")
+    return F.regexp_replace(c, "^[ \\t\\r\\n\\f\\x0B\u00a0]+|[ \\t\\r\\n\\f\\x0B\u00a0]+$", "")
 
 
-def sections(df: DataFrame, text: str) -> DataFrame:
-    """df with one row for each Markdown section (section, heading, body): `#` to `###` open one, those without a body are left out.
+def sections(df: DataFrame, text: str, stem: Column | None = None) -> DataFrame:
+    """df with one row for each Markdown section (section, title, body): `#` to `###` open one.
 
-    Text before the first heading is section 0; the numbers of sections left out stay free.
+    Sections are numbered from 0; those without a body are left out and their numbers stay free, as is text before the
+    first heading. A text of which nothing is left is one section (number null) with the stem for its title.
     """
-    marked = F.regexp_replace(F.concat(F.lit("\n"), F.coalesce(F.col(text), F.lit(""))), r"\n(#{1,3} )", "\u0001$1")
-    parts = df.select("*", F.posexplode(F.split(marked, "\u0001")).alias("section", "_p"))
-    heading = F.regexp_extract("_p", r"^#{1,3} ([^\n]*)", 1)
-    body = F.regexp_replace(F.regexp_replace("_p", r"^#{1,3} [^\n]*", ""), r"^\s+|\s+$", "")
-    return parts.withColumns({"heading": F.trim(heading), "body": body}).where("body <> ''").drop("_p")
+    whole = F.coalesce(F.col(text), F.lit(""))
+    parts = F.split(F.regexp_replace(whole, r"(?md)^(#{1,3})[ \t\r\n\f\x0B]+(.+)$", "\u0001$2\u0002"), "\u0001")
+    strip = lambda x: F.regexp_replace(x, r"^[ \t\r\n\f\x0B]+|[ \t\r\n\f\x0B]+$", "")
+    found = F.transform(F.slice(parts, 2, F.greatest(F.lit(1), F.size(parts))), lambda p, i: F.struct(i.alias("section"), strip(F.substring_index(p, "\u0002", 1)).alias("title"), strip(F.substring_index(p, "\u0002", -1)).alias("body")))
+    kept = F.filter(found, lambda s: s["body"] != "")
+    alone = F.array(F.struct(F.lit(None).cast("int").alias("section"), (stem if stem is not None else F.lit("")).alias("title"), whole.alias("body")))
+    return df.withColumn("_found", kept).select(*df.columns, F.explode(F.when(F.size("_found") > 0, F.col("_found")).otherwise(alone)).alias("_s")).select(*df.columns, "_s.*")
+
+
+def sniffed(head: Column) -> Column:
+    """Whether the first 200 bytes of a file look like an HTML page."""
+    low = F.lower(F.substring(head.cast("string"), 1, 200))
+    return low.contains("<html") | low.contains("<!doctype html")
+
+
+def extract(spark: SparkSession, path: str, hint: str = "") -> DataFrame:
+    """(id, payload) of files of one format: by the hint, else by name, else HTML if each begins like it. Payloads are JSON with title and text, or rows."""
+    kind = FORMATS.get(hint.lower(), "html" if hint == "documentation" else None) or format_of(path.rstrip("/").rsplit("/", 1)[-1])
+    if kind is None:
+        heads = spark.read.format("binaryFile").load(path).select(F.substring("content", 1, 200).alias("head"))
+        if heads.where(~sniffed(F.col("head"))).isEmpty():
+            kind = "html"
+    if kind == "parquet":
+        rows = parquet(spark, path)
+        return rows.select((F.col("id").cast("string") if "id" in rows.columns else F.monotonically_increasing_id().cast("string")).alias("id"), F.to_json(F.struct(*rows.columns)).alias("payload"))
+    if kind == "jsonl":
+        return payloads(spark, path).select("id", "payload")
+    stem = F.regexp_replace(F.col("_metadata.file_name"), r"\.[^.]*$", "")
+    whole = spark.read.option("wholetext", "true").text(path).select("value", stem.alias("stem"))
+    if kind == "html":
+        return whole.select(F.concat("stem", F.lit("_doc")).alias("id"), F.to_json(F.struct(html_title(F.col("value"), F.col("stem")).alias("title"), html_extract("value").alias("text"))).alias("payload"))
+    if kind == "markdown":
+        cut = sections(whole, "value", F.col("stem"))
+        return cut.select(F.when(F.col("section").isNull(), F.concat("stem", F.lit("_md"))).otherwise(F.concat("stem", F.lit("_sec_"), F.lpad(F.col("section").cast("string"), 4, "0"))).alias("id"), F.to_json(F.struct("title", F.col("body").alias("text"))).alias("payload"))
+    if kind == "json":
+        v = F.trim("value")
+        held = F.coalesce(*(F.get_json_object(v, f"$.{k}") for k in ROW_KEYS))
+        rows = F.from_json(F.when(v.startswith("["), v).otherwise(F.coalesce(held, F.concat(F.lit("["), v, F.lit("]")))), "array<string>")
+        each = whole.select("stem", F.posexplode(rows).alias("i", "payload"))
+        return each.select(F.coalesce(F.get_json_object("payload", "$.id"), F.concat("stem", F.lit("_"), F.lpad(F.col("i").cast("string"), 6, "0"))).alias("id"), "payload")
+    raise ValueError(f"no extractor for {path}")
 
 
 def write_jsonl(df: DataFrame, path: str, gzip: bool = False, by: list[str] | None = None) -> None:
@@ -182,3 +220,12 @@ def cache_index(entries: DataFrame) -> DataFrame:
 
 def cache_stats(index: DataFrame) -> DataFrame:
     return index.agg(F.count("*").alias("n"), F.coalesce(F.sum("size_bytes"), F.lit(0)).alias("bytes"))
+
+
+def cache_listing(index: DataFrame) -> DataFrame:
+    return index.orderBy("source_ref")
+
+
+def object_path(digest: Column) -> Column:
+    """Where a content-addressed store keeps an object of this digest."""
+    return F.concat(F.lit("objects/"), F.substring(digest, 1, 2), F.lit("/"), digest)

@@ -6,7 +6,7 @@ from pathlib import Path
 import duckdb
 import pytest
 
-from quern import catalog
+from quern import catalog, release_queries  # noqa: F401
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
