@@ -244,10 +244,11 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         drop(before, *used)
     x, y = mixed.alias("x"), mixed.alias("y")
     sized = (100 * F.col("x.n") >= percent * F.col("y.n")) & (100 * F.col("y.n") >= percent * F.col("x.n"))
-    # x is the one whose prefix ends first, so what it must share is known; only its shingles with the shortest lists probe.
+    # x is the one whose prefix ends first, so what it must share is known. Both rank their shingles by the length of the
+    # lists, so the shared one with the shortest list has a low rank in both; only such shingles probe and are probed.
     needed = _needed(percent, "x.n", "x.ell", "y.n")
     first_end = (F.col("x.end") < F.col("y.end")) | ((F.col("x.end") == F.col("y.end")) & (F.col("x.doc") > F.col("y.doc")))
-    far = x.join(y, (F.col("x.token") == F.col("y.token")) & first_end & (F.col("x.group") != F.col("y.group")) & sized & (F.col("x.rank") <= F.col("x.met") - needed + 1))
+    far = x.join(y, (F.col("x.token") == F.col("y.token")) & first_end & (F.col("x.group") != F.col("y.group")) & sized & (F.col("x.rank") <= F.col("x.met") - needed + 1) & (F.col("y.rank") <= F.col("y.met") - needed + 1))
     far = far.select(F.col("x.doc").alias("a"), F.col("y.doc").alias("b"), needed.alias("needed")).distinct()
     prefixes = mixed.groupBy("doc").agg(F.collect_list("token").alias("tokens"))  # at most a prefix for each document
     both = far.join(prefixes.select(F.col("doc").alias("a"), F.col("tokens").alias("ta")), "a").join(prefixes.select(F.col("doc").alias("b"), F.col("tokens").alias("tb")), "b")
