@@ -364,6 +364,18 @@ def test_warc(spark):
     assert warc.ranges(np.array([0, 10, 200, 300]), np.array([10, 10, 50, 50]), gap=60, most=100) == [(0, 2), (2, 3), (3, 4)]
 
 
+def test_warc_with_equal_payloads_equals_sql(spark):
+    from quern.llm.shared import shared_dir
+
+    r = random.Random(2)
+    rows = [(k, f"http://x/{k}", r.choice([None, "", "same", "é other", "z" * 3000, f"own {k}"])) for k in r.sample(range(1000), 120)]
+    folder = f"{shared_dir(spark)}/warc-test-{RND.random()}"
+    index = warc.write_archives(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4), folder)
+    got = warc.read_archives(index, folder, payloads=False)
+    assert got.where("record_type = 'revisit'").count() > 40
+    same_as_sql(got, warc.ORACLE, pages=("page_id BIGINT, url VARCHAR, html VARCHAR", rows))
+
+
 def test_secrets(spark, empty):
     near = "user = bob99\npassword: hunter2\nhost https://db.example.com/x"
     far = "login: alice" + " x" * 400 + "\n\npwd = short1"
