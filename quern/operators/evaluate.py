@@ -98,6 +98,12 @@ def evaluate(rows: DataFrame, source_confidence: Column | None = None) -> DataFr
     return out.drop("asst", "usr", "tagged", "parts", "whole", "answer_hits", "tagged_hits", "all_hits", "stock", *names)
 
 
+def report(evaluated: DataFrame, least: float = 0.7) -> DataFrame:
+    """(measure, value) over evaluated rows: n, the mean of each dimension, mean confidence, and how many reach `least` as a whole, in one pass."""
+    one = evaluated.agg(F.count("*").cast("double").alias("n"), *(F.bround(F.avg(f"dims.{k}"), 3).alias(f"mean_{k}") for k in QUALITY_WEIGHTS), F.bround(F.avg("confidence"), 3).alias("mean_confidence"), F.count_if(F.col("quality_continuous") >= least).cast("double").alias("n_passed"))
+    return one.unpivot([], one.columns, "measure", "value")
+
+
 # Words that speak for a technical text and for a specific one, in the profile for new records.
 PROFILE_TERMS = ["therefore", "because", "since", "however", "although", "formula", "equation", "function", "algorithm", "model", "parameter", "gradient", "weight", "matrix", "tensor", "protocol", "architecture", "mechanism", "pipeline", "inference"]
 SPECIFIC_TERMS = [":", "such as", "for example", "specifically", "namely", "including"]

@@ -17,7 +17,8 @@ WITHIN1_TARGET, F1_TARGET = 0.80, 0.85
 
 def pearson(a: str, b: str) -> Column:
     """Null for fewer than 3 pairs or where one side does not vary."""
-    return F.when((F.count("*") < 3) | (F.stddev_pop(a) == 0) | (F.stddev_pop(b) == 0), None).otherwise(F.corr(a, b))
+    spread = F.nullif(F.stddev_pop(a) * F.stddev_pop(b), F.lit(0.0))  # corr() itself divides by it, also where it is 0
+    return F.when(F.count("*") >= 3, F.covar_pop(a, b) / spread)
 
 
 def with_ranks(df: DataFrame, *cols: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from quern.catalog import _PAIRS, RECORDS, _conversations, _versions, _VERSIONS, pairs, query, records, table
+from quern.catalog import _EVAL, _PAIRS, RECORDS, _conversations, _evaluated, _versions, _VERSIONS, pairs, query, records, table
 from quern.functions import text as X
 from quern.operators import conversations as C
 from quern.operators import diff, etl, evaluate, releases, resolve, stats, validate, views
@@ -207,6 +207,15 @@ def expansion_scores(spark, sf_dir):
     return got.select("conv_id", *(f"dims.{k}" for k in ("accuracy", "clarity", "usefulness", "originality", "relevance")), "quality_score", "confidence", "confidence_level", F.array_join("flags", ",").alias("flags"))
 
 
+@query(
+    _EVAL
+    + """SELECT unnest(['n', 'mean_accuracy', 'mean_completeness', 'mean_technical_correctness', 'mean_clarity', 'mean_usefulness', 'mean_originality', 'mean_relevance']) AS measure,
+unnest([CAST(count(*) AS DOUBLE), round_even(avg(accuracy), 3), round_even(avg(completeness), 3), round_even(avg(technical_correctness), 3), round_even(avg(clarity), 3), round_even(avg(usefulness), 3), round_even(avg(originality), 3), round_even(avg(relevance), 3)]) AS value FROM z"""
+)
+def eval_report(spark, sf_dir):
+    return evaluate.report(_evaluated(spark, sf_dir)).where("measure NOT IN ('mean_confidence', 'n_passed')")
+
+
 @query(RECORDS + "SELECT count(*) AS n, min(quality_score) AS min_score, max(quality_score) AS max_score, round_even(avg(quality_score), 2) AS avg_score, count(*) FILTER (toxic = 0) AS n_verified, count(*) FILTER (license = 'unknown') AS n_unknown_license FROM r")
 def dataset_numbers(spark, sf_dir):
     return stats.dataset_numbers(records(spark, sf_dir).withColumn("verified", F.col("toxic") == 0))

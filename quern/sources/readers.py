@@ -49,7 +49,7 @@ def latest_index(rows: DataFrame, key: str, order: str) -> DataFrame:
 def json_rows(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Rows of JSON files: a list, an object with a list under one of ROW_KEYS, or one object."""
     wrapped = T.StructType([*(T.StructField(k, T.ArrayType(schema)) for k in ROW_KEYS)])
-    text = spark.read.option("wholetext", "true").text(path).select(F.trim("value").alias("v"))
+    text = spark.read.text(path, wholetext=True).select(F.trim("value").alias("v"))
     listed = F.from_json("v", T.ArrayType(schema))
     held = F.from_json("v", wrapped)
     rows = F.when(F.col("v").startswith("["), listed).otherwise(F.coalesce(*(held[k] for k in ROW_KEYS), F.array(F.from_json("v", schema))))
@@ -172,7 +172,7 @@ def extract(spark: SparkSession, path: str, hint: str = "") -> DataFrame:
     if kind == "jsonl":
         return payloads(spark, path).select("id", "payload")
     stem = F.regexp_replace(F.col("_metadata.file_name"), r"\.[^.]*$", "")
-    whole = spark.read.option("wholetext", "true").text(path).select("value", stem.alias("stem"))
+    whole = spark.read.text(path, wholetext=True).select("value", stem.alias("stem"))
     if kind == "html":
         return whole.select(F.concat("stem", F.lit("_doc")).alias("id"), F.to_json(F.struct(html_title(F.col("value"), F.col("stem")).alias("title"), html_extract("value").alias("text"))).alias("payload"))
     if kind == "markdown":

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from datetime import timedelta
+from functools import partial
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -31,22 +33,31 @@ def unique_events(events: DataFrame, key: list[str], late: str = LATE) -> DataFr
     return events.withWatermark("ts", late).dropDuplicatesWithinWatermark(key) if events.isStreaming else events.dropDuplicates(key)
 
 
-def _step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+def _step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState, keep_ms: int) -> Iterator[pd.DataFrame]:
+    if state.hasTimedOut:  # no event for so long that the record counts as finished
+        state.remove()
+        return
     current = state.get[0] if state.exists else None
     for pdf in batches:
         out = []
-        for wanted in pdf.sort_values("ts")["state"]:
+        for wanted in pdf.sort_values("ts")["state"]:  # whether a move is legal hangs on the one before
             ok = current is None or wanted in TRANSITIONS.get(current, [])
             out.append((key[0], current, wanted, ok))
             if ok:
                 current = wanted
         yield pd.DataFrame(out, columns=["id", "previous", "state", "accepted"])
     state.update((current,))
+    state.setTimeoutDuration(keep_ms)
 
 
-def lifecycle(events: DataFrame) -> DataFrame:
-    """A stream (id, state, ts) to (id, previous, state, accepted); a record's state is kept and only legal moves change it."""
-    return events.groupBy("id").applyInPandasWithState(_step, "id string, previous string, state string, accepted boolean", "state string", "append", GroupStateTimeout.NoTimeout)
+def lifecycle(events: DataFrame, keep: timedelta = timedelta(days=30)) -> DataFrame:
+    """A stream (id, state, ts) to (id, previous, state, accepted); a record's state is kept and only legal moves change it.
+
+    A state is forgotten once no event has come for `keep` (processing time), so that state does not grow for ever. For
+    tables use resolve.check_transitions(), which needs no state.
+    """
+    step = partial(_step, keep_ms=int(keep.total_seconds() * 1000))
+    return events.groupBy("id").applyInPandasWithState(step, "id string, previous string, state string, accepted boolean", "state string", "append", GroupStateTimeout.ProcessingTimeTimeout)
 
 
 def incremental(events: DataFrame, sink: str, checkpoint: str, mode: str = "append"):

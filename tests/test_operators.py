@@ -192,3 +192,75 @@ def test_golden_funnel(spark):
     assert kept.count() == 94 and kept.first()["quality_score"] == 10 and kept.first()["tags"] == ["a-b"]
     docs = kept.select("doc_id", conversations.norm_text(F.col("messages")).alias("text"))
     assert dedup.survivors(docs, dedup.near_links(docs), F.lit(1), F.length("text")).where("kept").count() == 79
+
+
+def test_extractors_by_format(spark, tmp_path):
+    page = "<html><head><title> A\n b </title></head><body><h1>T</h1><p><b>x</b>y &amp; z<br>w</p><script>no()</script></body></html>"
+    files = {"a.jsonl": '{"id": "k1", "text": "t"}\n{"text": "u"}\n', "b.json": '{"items": [{"id": 7, "v": 1}, {"v": 2}]}', "c.md": "intro\n# One\nbody\n## Empty\n### Three\nmore", "d.html": page, "e.md": "no headings", "f": page}
+    for name, text in files.items():
+        (tmp_path / name).write_text(text)
+    got = lambda n, hint="": sorted((r["id"], json.loads(r["payload"])) for r in readers.extract(spark, str(tmp_path / n), hint).collect())
+    assert got("a.jsonl")[-1] == ("k1", {"id": "k1", "text": "t"}) and len(got("a.jsonl")) == 2
+    assert got("b.json") == [("7", {"id": 7, "v": 1}), ("b_000001", {"v": 2})]
+    assert got("c.md") == [("c_sec_0000", {"title": "One", "text": "body"}), ("c_sec_0002", {"title": "Three", "text": "more"})]
+    assert got("e.md") == [("e_md", {"title": "e", "text": "no headings"})]
+    want = {"title": "A b", "text": "A\n b \n T \n \n x y & z \n w"}
+    assert got("d.html")[0][0] == "d_doc" and got("d.html")[0][1]["title"] == "A b"
+    assert readers.page_text(page) == want["text"] and got("f") == [("f_doc", got("d.html")[0][1])] == got("f", "documentation")
+    spark.createDataFrame([(1, "x", bytearray(b"\xff"))], "id int, t string, b binary").write.parquet(str(tmp_path / "g.parquet"))
+    assert got("g.parquet") == [("1", {"id": 1, "t": "x", "b": "ff"})]
+    with pytest.raises(ValueError, match="no extractor"):
+        readers.extract(spark, str(tmp_path / "h.txt")) if (tmp_path / "h.txt").write_text("plain") else None
+
+
+def test_native_html_equals_the_parser(spark):
+    pages = ["<p>a</p>\n\n<div> b <i>c</i></div><style>p{}</style>d", "", None, "<!-- x --><table><tr><td>1<td>2</tr></table>", "a&nbsp;&lt;b&gt; <br><br><br><br>c", "<title>t</title><H2>Big</H2> text\tmore"]
+    df = spark.createDataFrame([(k, p) for k, p in enumerate(pages)], "k int, html string")
+    for r in df.select("k", readers.html_extract("html").alias("x"), readers.html_text(F.col("html")).alias("y")).collect():
+        assert r["x"] == r["y"], r
+
+
+def test_curated_folders_and_status_sinks(spark, tmp_path):
+    import gzip
+
+    (tmp_path / "v1" / "deep").mkdir(parents=True)
+    (tmp_path / "v1" / "a.jsonl").write_text('{"id": "1", "status": "approved"}\n')
+    with gzip.open(tmp_path / "v1" / "deep" / "b.jsonl.gz", "wt") as f:
+        f.write('{"id": "2", "status": "rejected"}\n')
+    schema = spark.createDataFrame([], "id string, status string").schema
+    rows = readers.jsonl(spark, str(tmp_path / "v1"), schema, recursive=True)
+    assert sorted(r["id"] for r in rows.collect()) == ["1", "2"]
+    readers.write_jsonl(rows, str(tmp_path / "out"), by=["status"])
+    assert sorted(p.name for p in (tmp_path / "out").glob("status=*")) == ["status=approved", "status=rejected"]
+    assert [r["source_ref"] for r in readers.cache_listing(spark.createDataFrame([("b",), ("a",)], "source_ref string")).collect()] == ["a", "b"]
+
+
+def test_release_bundle(spark, tmp_path):
+    from quern.operators import releases
+
+    rows = spark.createDataFrame([(k, f"v{k % 2}", "text") for k in range(40)], "id int, view string, body string")
+    files = releases.bundle(rows, str(tmp_path / "r"), "id", "view", 0.1).collect()
+    read = lambda p: spark.read.option("recursiveFileLookup", "true").json(str(tmp_path / "r" / p)).count()
+    assert read("canonical") == 40 and read("views") == 36 and read("eval") == 4 and all(len(r["sha256"]) == 64 for r in files)
+
+
+def test_readiness_states(spark):
+    from quern.operators import releases
+
+    none = releases.benchmarks(spark, {})
+    assert releases.evaluation_readiness(none, 1).first()["status"] == "BLOCKED"
+    placeholder = releases.benchmarks(spark, {"internal": {"a": {"name": "n", "status": "placeholder", "metrics": ["m"]}}})
+    assert releases.evaluation_readiness(placeholder, 1).first()["status"] == "CONDITIONAL"
+    rows = spark.createDataFrame([("MIT", "by x"), ("MIT", None)], "license string, attribution_text string")
+    assert releases.license_readiness(rows).first()["status"] == "CONDITIONAL" and releases.license_readiness(rows.limit(0)).first()["status"] == "READY"
+    flat = spark.createDataFrame([(7.0, 7.0)] * 6, "auto double, human double")
+    got = {r["criterion"]: r["passed"] for r in releases.engine_criteria(flat, 6).collect()}
+    assert not got["distinct_scores"] and not got["pearson_defined"] and got["mae"] and got["inputs_unchanged"]
+
+
+def test_command_line(spark, tmp_path, capsys):
+    from quern.__main__ import main
+
+    spark.createDataFrame([(1, "a"), (2, "b")], "x int, y string").coalesce(1).write.parquet(str(tmp_path / "t"))
+    assert main([str(tmp_path / "t"), "SELECT x WHERE y = 'b'"]) == 0 and main([str(tmp_path / "t"), "SELECT COUNT(*)"]) == 0
+    assert capsys.readouterr().out.split() == ['{"x":2}', '{"count_all":2}']
