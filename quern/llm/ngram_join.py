@@ -12,7 +12,8 @@ are, with the required number of matches. No pair above the threshold between di
 components are exact. Shingles are 64-bit fingerprints; documents with equal sets are told by a 128-bit one.
 
 Cases: null or empty text, or text of white space only, has an empty set, is linked with nothing and is its own
-component. Rows with a null id are returned with a null component. Rows that repeat an id count as one node of the graph.
+component. Rows with a null id are returned with a null component. Rows that repeat an id are one node of the graph, with
+the links of all their texts; if these differ, rows are joined under numbers of their own and their components united.
 Other columns are ignored, whatever their names; an empty table gives an empty result.
 """
 
@@ -207,6 +208,9 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     own = described.where("kind = 1").select(F.col("a").alias("doc_id"), F.col("n").alias("n_shingles"), "hi", "lo")
     filled = own.where("n_shingles > 0 and doc_id is not null")
+    sets = filled.groupBy("doc_id").agg(F.min(F.struct("hi", "lo")).alias("x"), F.max(F.struct("hi", "lo")).alias("y"))
+    if not sets.where("x <> y").isEmpty():
+        return _by_rows(docs, own, words, percent, most_matches)
     first = filled.groupBy("hi", "lo").agg(F.min("doc_id").alias("first"))
     copies = filled.join(first, ["hi", "lo"]).where("doc_id <> first").select(F.col("doc_id").alias("a"), F.col("first").alias("b")).distinct()
     groups = connected(copies)
@@ -263,6 +267,20 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     return own.join(final, F.col("doc_id") == F.col("id"), "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
 
+def _by_rows(docs: DataFrame, own: DataFrame, words: int, percent: int, most_matches: int) -> DataFrame:
+    """The components where an id has different texts: of rows first, which are then united by id."""
+    rows = written(docs.where("id is not null").withColumn("node", F.monotonically_increasing_id()), "rows")
+    found = ngram_components(rows, "node", "text", words, percent, most_matches)
+    placed = written(rows.select("node", "id").join(found, F.col("node") == F.col("doc_id")).select("id", "n_shingles", "component_id"), "nodes")
+    least = placed.groupBy(F.col("id").alias("i")).agg(F.min("component_id").alias("m"))
+    united = connected(placed.join(least, F.col("id") == F.col("i")).select(F.col("component_id").alias("a"), F.col("m").alias("b")).where("a <> b").distinct())
+    united = united.withColumnsRenamed({"id": "u", "component": "whole"})
+    placed = placed.join(united, F.col("component_id") == F.col("u"), "left").select("id", "n_shingles", F.coalesce("whole", "component_id").alias("part"))
+    lowest = placed.groupBy(F.col("part").alias("p")).agg(F.min("id").alias("lowest"))
+    named = placed.join(lowest, F.col("part") == F.col("p")).select(F.col("id").alias("doc_id"), "n_shingles", F.col("lowest").alias("component_id"))
+    return named.unionByName(own.where("doc_id is null").select("doc_id", "n_shingles", F.lit(None).cast("long").alias("component_id")))
+
+
 def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
     """One row of each component, that of the smallest id, with all columns; rows with a null id all stay.
 

@@ -95,6 +95,13 @@ def test_ngram_join_of_many_near_copies(spark):
         assert sorted(tuple(r)[:3] for r in ngram_join.ngram_components(df, most_matches=most).collect()) == brute_components(rows)
 
 
+def test_ngram_join_of_ids_with_several_texts(spark):
+    a, b, c = prose(100, 31), prose(100, 32), prose(100, 33)
+    rows = [(5, a), (9, a + " x"), (9, b), (3, b + " y"), (3, b + " y"), (7, c), (8, ""), (8, c + " z"), (2, None), (None, a)]
+    got = ngram_join.ngram_components(spark.createDataFrame([(*x, 1) for x in rows], "doc_id long, text string, node long").repartition(3))
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted([(i, len(word_set(t)), {5: 3, 9: 3, 3: 3, 7: 7, 8: 7, 2: 2}.get(i)) for i, t in rows], key=repr)
+
+
 def test_components(spark):
     links = spark.createDataFrame([(k, k + 1) for k in range(20)] + [(40, 50), (50, 45), (7, 7), (None, 3)], "a long, b long")
     got = {r["id"]: r["component"] for r in components.connected(links).collect()}
