@@ -7,6 +7,8 @@ id, rows that repeat an id and columns of any other name go through each of them
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,8 +53,27 @@ STAGES = [
     ("secret scans", secret_scan),
     ("byte-level BPE", tokens),
 ]
-#: Byte pair merges cannot be stated in SQL that ends; tests hold the stages against a brute-force version.
-ORACLE_SQL = None
+
+
+def _oracle() -> str:
+    """The SQL of the five operators, each over what the one before it left."""
+    import public_tokenizers
+
+    over = lambda sql, name: "(" + re.sub(r"\bdocuments\b", name, sql) + ")"
+    return f"""
+WITH RECURSIVE s1 AS MATERIALIZED (SELECT d.* FROM documents d JOIN {over(quality.ORACLE, "documents")} USING (doc_id) WHERE kept),
+s2 AS MATERIALIZED (SELECT s1.* FROM s1 JOIN {over(ngram_join.ORACLE, "s1")} USING (doc_id) WHERE component_id = doc_id),
+s3 AS MATERIALIZED (SELECT s2.* FROM s2 JOIN {over(decontam.ORACLE, "s2")} USING (doc_id) WHERE NOT contaminated),
+spans AS (SELECT doc_id, generate_subscripts(a, 1) AS i, unnest(a) AS x FROM (SELECT doc_id, string_split(spans, ',') AS a FROM {over(secrets.ORACLE, "s3")} WHERE spans <> '')),
+placed AS (SELECT doc_id, i, CAST(split_part(x, ':', 2) AS BIGINT) AS a, CAST(split_part(x, ':', 3) AS BIGINT) AS b FROM spans),
+after AS (SELECT *, coalesce(max(b) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS z FROM placed),
+cut AS (SELECT doc_id, string_agg(CASE WHEN a >= z THEN substr(text, z + 1, a - z) || '[SECRET]' ELSE '' END, '' ORDER BY i) || substr(any_value(text), max(b) + 1) AS text FROM after JOIN s3 USING (doc_id) GROUP BY doc_id),
+s4 AS MATERIALIZED (SELECT doc_id, coalesce(cut.text, s3.text) AS text FROM s3 LEFT JOIN cut USING (doc_id))
+SELECT * FROM {over(bpe.oracle(public_tokenizers.path("byte_bpe_50k.tiktoken")), "s4")}
+"""
+
+
+ORACLE_SQL = _oracle()
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -349,3 +349,31 @@ def op7_byte_bpe(spark, sf_dir: str) -> DataFrame:
     if public_tokenizers.PATTERN != PATTERN:
         raise ValueError("the tokenizer has another pattern than the one implemented")
     return digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
+def oracle(path: str) -> str:
+    """DuckDB SQL of op7_byte_bpe() over the rank file at `path`, by the definition: one contraction a step, tokens as hexadecimal bytes.
+
+    Its regular expressions cannot look ahead, so a mark is put before the last white space of a run that something follows.
+    """
+    space = r"\t-\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+    mark = "chr(63743)"
+    pattern = rf"''s|''t|''re|''ve|''m|''ll|''d| ?\p{{L}}+| ?\p{{N}}+| ?[^{space}\p{{L}}\p{{N}}\x{{F8FF}}]+|[{space}]+"
+    return f"""
+WITH RECURSIVE v AS MATERIALIZED (SELECT hex(from_base64(t)) AS h, r FROM read_csv('{path}', delim = ' ', header = false, quote = '', escape = '', columns = {{'t': 'VARCHAR', 'r': 'BIGINT'}})),
+d AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '([{space}]+)([{space}][^{space}])', '\\1' || {mark} || '\\2', 'g') AS t FROM documents),
+piece AS MATERIALIZED (SELECT doc_id, unnest(a) AS x, generate_subscripts(a, 1) AS i FROM (SELECT doc_id, regexp_extract_all(t, '{pattern}') AS a FROM d)),
+word AS MATERIALIZED (SELECT x, hex(encode(x)) AS h, row_number() OVER (ORDER BY x) AS w FROM (SELECT DISTINCT x FROM piece)),
+step(w, p, h, n) AS (
+  SELECT w, p, substr(h, 2 * p + 1, 2), 0 FROM (SELECT w, h, unnest(range(0, len(h) // 2)) AS p FROM word)
+  UNION ALL
+  (WITH pairs AS (SELECT *, lead(h) OVER (PARTITION BY w ORDER BY p) AS h2 FROM step),
+        ranked AS (SELECT pairs.*, v.r FROM pairs LEFT JOIN v ON v.h = pairs.h || pairs.h2),
+        best AS (SELECT w, arg_min(p, r * 4294967296 + p) AS p0 FROM ranked WHERE r IS NOT NULL GROUP BY w),
+        near AS (SELECT ranked.*, p0, lag(p) OVER (PARTITION BY w ORDER BY p) AS before FROM ranked JOIN best USING (w))
+   SELECT w, p, CASE WHEN p = p0 THEN h || h2 ELSE h END, n + 1 FROM near WHERE before IS DISTINCT FROM p0)
+),
+coded AS (SELECT w, count(*) AS n, string_agg(printf('%02x%02x%02x%02x', r & 255, (r >> 8) & 255, (r >> 16) & 255, (r >> 24) & 255), '' ORDER BY p) AS ids, string_agg(h, '' ORDER BY p) AS h FROM step JOIN (SELECT w, max(n) AS n FROM step GROUP BY w) USING (w, n) JOIN v USING (h) GROUP BY w),
+text AS (SELECT doc_id, sum(n) AS n, string_agg(ids, '' ORDER BY i) AS ids, string_agg(coded.h, '' ORDER BY i) AS h FROM piece JOIN word USING (x) JOIN coded USING (w) GROUP BY doc_id)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_tokens, sha256(unhex(coalesce(ids, ''))) AS ids_sha256, sha256(unhex(coalesce(h, ''))) AS decoded_sha256 FROM documents LEFT JOIN text USING (doc_id)
+"""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import public_tokenizers
+
 from quern.llm import bpe, decontam, langid, license_scan, ngram_join, quality, secrets, suffix_dedup, toxicity, warc
 
 QUERIES = {
@@ -21,6 +23,7 @@ ORACLES: dict[str, str] = {
     "op6_suffix_dedup": suffix_dedup.ORACLE,
     "op3_benchmark_decontamination": decontam.ORACLE,
     "op4_quality_rules": quality.ORACLE,
+    "op7_byte_bpe": bpe.oracle(public_tokenizers.path("byte_bpe_50k.tiktoken")),
     "op8_license_scan": license_scan.ORACLE,
     "op9_warc": warc.ORACLE,
     "op10_secret_scan": secrets.ORACLE,

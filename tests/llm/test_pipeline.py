@@ -56,6 +56,10 @@ def test_run_equals_the_stages_written_out_again(spark):
     want = brute_pipeline(read("documents", "doc_id, text, lang"), read("benchmark", "item_id, text"))
     got = sorted(map(tuple, corpus_pipeline.run(spark, SF).collect()))
     assert got == want and 50 < len(got) < 200
+    con = duckdb.connect()
+    for t in ("documents", "benchmark"):
+        con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
+    assert sorted(con.sql(corpus_pipeline.ORACLE_SQL).fetchall()) == want
 
 
 def test_every_stage_on_literal_rows(spark):
