@@ -105,3 +105,10 @@ def fan_out(records: DataFrame) -> DataFrame:
     own = F.when((kind == "conversation") & (F.size(turns) >= 2), F.struct(F.lit("conversation").alias("training_type"), F.to_json(F.struct(turns.alias("messages"))).alias("body"))).otherwise(own)
     extra = F.when(kind.isin("qa", "raw"), F.struct(F.lit("knowledge").alias("training_type"), F.to_json(F.struct(F.coalesce(c["question"], c["title"]).alias("topic"), F.coalesce(c["answer"], c["text"]).alias("text"))).alias("body")))
     return records.select("id", F.explode(F.array_compact(F.array(own, extra))).alias("t")).select("id", "t.*")
+
+
+def transform_counts(normalized: DataFrame) -> DataFrame:
+    """(training_type, n) of fan_out(), with `skipped` for the records that give no training row."""
+    given = fan_out(normalized).groupBy("id", "training_type").agg(F.count("*").alias("n"))
+    per = normalized.groupBy(F.col("id").alias("_i")).agg(F.count("*").alias("_n")).join(given, F.col("_i") == F.col("id"), "left")
+    return per.groupBy(F.coalesce("training_type", F.lit("skipped")).alias("training_type")).agg(F.sum(F.coalesce("n", "_n")).alias("n"))

@@ -87,6 +87,13 @@ def check_transitions(events: DataFrame, key: str, order: list[str], state: str
     return out.withColumn("problem", problem)
 
 
+def lifecycle_validity(events: DataFrame, key: str, order: list[str], state: str = "state") -> DataFrame:
+    """One row: the share of events that are legal moves from the state before, of all and by the share of keys without a bad move."""
+    checked = check_transitions(events, key, order, state)
+    by = checked.groupBy(key).agg(F.count("*").alias("n"), F.count_if(F.col("problem").isNotNull()).alias("bad"))
+    return by.agg(F.sum("n").alias("n"), F.bround(1 - F.sum("bad") / F.sum("n"), 4).alias("event_validity"), F.bround(F.avg((F.col("bad") == 0).cast("int")), 4).alias("lifecycle_validity"))
+
+
 def state_summary(current: DataFrame, state: str = "state") -> DataFrame:
     """(state, n) of every state, also those that nothing is in."""
     names = current.sparkSession.createDataFrame([(s,) for s in LIFECYCLE_STATES], "s string")

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from quern.catalog import _EVAL, _PAIRS, RECORDS, _conversations, _evaluated, _versions, _VERSIONS, pairs, query, records, table
+from quern.catalog import _ALLOWED, _EVAL, _PAIRS, RECORDS, _conversations, _evaluated, _lifecycle, _versions, _VERSIONS, pairs, query, records, table
 from quern.functions import text as X
 from quern.operators import conversations as C
 from quern.operators import diff, etl, evaluate, releases, resolve, stats, validate, views
-from quern.schema import CATEGORIES
+from quern.schema import CATEGORIES, LIFECYCLE_STATES
 from quern.sources import readers
 
 # --- versions, packs, collections ----------------------------------------------------------------------------------
@@ -243,6 +243,20 @@ def view_lifecycle_valid(spark, sf_dir):
     return views.lifecycle_valid(table(spark, sf_dir, "customer").select("c_custkey"), states, "c_custkey", ("click", "error"))
 
 
+@query(
+    f"""WITH e AS (SELECT event_id, {LIFECYCLE_STATES}[event_id % 8 + 1] AS state, user_id AS id, ts FROM events), p AS (SELECT *, lag(state) OVER (PARTITION BY id ORDER BY ts, event_id) AS previous FROM e),
+b AS (SELECT id, count(*) AS n, count(*) FILTER (previous IS NOT NULL AND NOT list_contains({_ALLOWED}, previous || '>' || state)) AS bad FROM p GROUP BY 1)
+SELECT CAST(sum(n) AS BIGINT) AS n, round_even(1 - sum(bad) / sum(n), 4) AS event_validity, round_even(avg(CAST(bad = 0 AS INT)), 4) AS lifecycle_validity FROM b"""
+)
+def lifecycle_validity(spark, sf_dir):
+    return resolve.lifecycle_validity(_lifecycle(spark, sf_dir), "id", ["ts", "event_id"])
+
+
+@query("SELECT training_type, count(*) AS n FROM (SELECT unnest([['knowledge'], ['instruction'], ['skipped'], ['skipped'], ['conversation'], ['knowledge'], ['qa', 'knowledge'], ['knowledge']][doc_id % 8 + 1]) AS training_type FROM documents) GROUP BY 1")
+def transform_counts(spark, sf_dir):
+    return C.transform_counts(_shapes(spark, sf_dir))
+
+
 # --- records, validators, lookups ----------------------------------------------------------------------------------
 
 
@@ -299,10 +313,15 @@ def validator_duplicates(spark, sf_dir):
     """SELECT reason, count(*) AS n FROM (SELECT CASE doc_id % 8 WHEN 0 THEN 'malformed_qa_missing_fields' WHEN 1 THEN 'malformed_instruction_missing_fields' WHEN 2 THEN 'malformed_conversation_too_short' WHEN 3 THEN 'malformed_conversation_empty_turn' WHEN 4 THEN 'malformed_conversation_bad_role' WHEN 5 THEN 'empty_text' ELSE 'ok' END AS reason FROM documents) GROUP BY 1"""
 )
 def etl_malformed_reasons(spark, sf_dir):
+    got = _shapes(spark, sf_dir).withColumn("reason", F.coalesce(etl.malformed(F.col("record_type"), F.col("content")), F.lit("ok")))
+    return got.groupBy("reason").agg(F.count("*").alias("n"))
+
+
+def _shapes(spark, sf_dir):
+    """Documents' ids with payloads of every shape, normalised."""
     payloads = ['{"question":"q","answer":""}', '{"instruction":"i","output":""}', '{"messages":[{"role":"user","content":"a"}]}', '{"messages":[{"role":"user","content":"a"},{"role":"boss","content":" "}]}', '{"messages":[{"role":"user","content":"a"},{"role":"boss","content":"b"}]}', '{"text":" "}', '{"question":"q","answer":"a"}', "plain text"]
     raw = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.element_at(F.array(*map(F.lit, payloads)), (F.col("doc_id") % 8 + 1).cast("int")).alias("payload"), F.lit("mit").alias("license"))
-    got = etl.normalize(raw).withColumn("reason", F.coalesce(etl.malformed(F.col("record_type"), F.col("content")), F.lit("ok")))
-    return got.groupBy("reason").agg(F.count("*").alias("n"))
+    return etl.normalize(raw)
 
 
 @query(
