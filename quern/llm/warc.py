@@ -10,7 +10,7 @@ most RANGE_BYTES, whatever the number of records in it. Payload digests are comp
 Records with equal payloads of at least min_bytes bytes: the one with the smallest page_id is a response, the others are
 revisits that refer to it and hold only its HTTP header. Cases: null html is an empty payload, a null url gives no target
 header; rows with a null page_id are responses and are referred to by none; rows that repeat the smallest page_id are all
-responses. Other columns are ignored; an empty table gives an empty result.
+responses, and rows that repeat a page_id get record ids that tell them apart. Other columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quern.llm.shared import shared_dir, table, text_chunks, written
+from quern.llm.shared import drop, shared_dir, table, text_chunks, written
 
 ARCHIVE_BYTES = 32 << 20
 RANGE_BYTES = 8 << 20
@@ -52,12 +52,12 @@ def _packed(record: bytes) -> bytes:
     return z.compress(record) + z.flush()
 
 
-def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None) -> tuple[bytes, str]:
-    """A whole WARC record, and its payload's digest."""
+def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None, again: bool = False) -> tuple[bytes, str]:
+    """A whole WARC record, and its payload's digest; `again` says that other rows have the page_id too."""
     digest = digest_of(payload)
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     block = http + (payload if refers_to is None else b"")
-    name = uuid.uuid4() if page_id is None else page_id
+    name = uuid.uuid4() if page_id is None else f"{page_id}:{uuid.uuid4()}" if again else page_id
     lines = ["WARC/1.1", f"WARC-Type: {'response' if refers_to is None else 'revisit'}", f"WARC-Record-ID: <urn:page:{name}>", f"WARC-Date: {_DATE}"]
     if url is not None:
         lines.append(f"WARC-Target-URI: {quote(url, safe=':/?#[]@!$&()*+,;=%~-._')}")
@@ -76,19 +76,24 @@ def parsed(whole: bytes) -> tuple[dict[str, str], int, bytes]:
     return headers, int(re.search(rb"Content-Length: (\d+)", http)[1]), payload
 
 
+def _store(folder: str) -> tuple[fs.FileSystem, str]:
+    """The file system and path of a folder named as Hadoop names it."""
+    return fs.FileSystem.from_uri(re.sub("^s3[an]://", "s3://", folder))
+
+
 def _write(folder: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, path = fs.FileSystem.from_uri(folder)
+        store, path = _store(folder)
         store.create_dir(path, recursive=True)
         at = TaskContext.get()
         out, name, offset, n = None, "", 0, 0
         for batch in text_chunks(batches, column=2):
             rows = []
-            for page, url, html, refers in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
+            for page, url, html, refers, again in zip(*(batch.column(k).to_pylist() for k in range(5)), strict=True):
                 if out is None:
                     name, offset = f"{at.partitionId():06d}-{at.taskAttemptId()}-{n:04d}.warc.gz", 0
                     out, n = store.open_output_stream(f"{path}/{name}", compression=None), n + 1
-                whole, digest = record(page, url, (html or "").encode(), refers)
+                whole, digest = record(page, url, (html or "").encode(), refers, bool(again))
                 packed = _packed(whole)
                 out.write(packed)
                 rows.append((page, url, name, offset, len(packed), digest, "response" if refers is None else "revisit", refers))
@@ -115,7 +120,7 @@ def ranges(offset: np.ndarray, length: np.ndarray, gap: int = GAP_BYTES, most: i
 
 def _read(folder: str, payloads: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, path = fs.FileSystem.from_uri(folder)
+        store, path = _store(folder)
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -145,11 +150,16 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
     """Writes one record for each row into `folder`; returns the index, itself written as a table."""
     pages = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.coalesce(F.col(html_col).cast("string"), F.lit("")).alias("html"))
     pages = pages.withColumn("d", F.unhex(F.sha1("html")))
-    facts = written(pages.where(F.octet_length("html") >= min_bytes).where("page_id is not null").select("page_id", "d").distinct(), "digests")
-    first = facts.groupBy("d").agg(F.min("page_id").alias("refers_to"), F.count("*").alias("n")).where("n > 1").drop("n")
-    again = facts.join(first, "d").where("page_id > refers_to").select(F.col("page_id").alias("p"), F.col("d").alias("q"), "refers_to")
-    marked = pages.join(again, (F.col("page_id") == F.col("p")) & (F.col("d") == F.col("q")), "left")
-    return written(marked.select("page_id", "url", "html", "refers_to").mapInArrow(_write(folder), _INDEX_DDL), "index")
+    keyed = pages.where("page_id is not null").groupBy("page_id", "d").agg(F.count("*").alias("rows"), F.max(F.octet_length("html")).alias("size"))
+    facts = written(keyed, "digests")
+    first = facts.where(F.col("size") >= min_bytes).groupBy("d").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+    often = facts.groupBy("page_id").agg(F.sum("rows").alias("n")).where("n > 1").select(F.col("page_id").alias("o"))
+    known = facts.join(first, "d", "left").join(often, F.col("page_id") == F.col("o"), "left").where("page_id > first OR o IS NOT NULL")
+    known = known.select(F.col("page_id").alias("p"), F.col("d").alias("q"), F.when(F.col("page_id") > F.col("first"), F.col("first")).alias("refers_to"), F.col("o").isNotNull().alias("again"))
+    marked = pages.join(known, (F.col("page_id") == F.col("p")) & (F.col("d") == F.col("q")), "left")
+    index = written(marked.select("page_id", "url", "html", "refers_to", "again").mapInArrow(_write(folder), _INDEX_DDL), "index")
+    drop(facts)
+    return index
 
 
 def read_archives(selected: DataFrame, folder: str, payloads: bool = True) -> DataFrame:

@@ -1,6 +1,7 @@
 """Operators of the llm subpackage against brute force, on small literal tables with nulls, empty and repeated rows."""
 
 import base64
+import gzip
 import hashlib
 import random
 import re
@@ -366,6 +367,12 @@ def test_warc(spark):
     sha = base64.b32encode(hashlib.sha1(b"same").digest()).decode()
     assert got == sorted([(3, 4, "revisit", 1, b""), (1, 4, "response", None, b"same"), (1, 4, "response", None, b"same"), (2, 0, "response", None, b""), (5, 0, "revisit", 2, b""), (0, 4, "response", None, b"same"), (9, 200_012, "response", None, rows[6][2].encode())], key=repr)
     assert index.where(F.col("digest") == sha).count() == 4
+    names = []
+    for r in index.collect():
+        with open(f"{folder.removeprefix('file://')}/{r['file']}", "rb") as f:
+            f.seek(r["offset"])
+            names.append(warc.parsed(gzip.decompress(f.read(r["length"])))[0]["WARC-Record-ID"])
+    assert len(set(names)) == len(rows) and sum(x.startswith("<urn:page:1:") for x in names) == 2
     assert warc.read_archives(index.where("page_id = 3"), folder).count() == 1
     assert warc.read_archives(warc.write_archives(pages.limit(0), folder), folder).count() == 0
     assert warc.ranges(np.array([0, 10, 200, 300]), np.array([10, 10, 50, 50]), gap=60, most=100) == [(0, 2), (2, 3), (3, 4)]
