@@ -1,6 +1,6 @@
 """Benchmark decontamination with one Aho-Corasick automaton over normalised benchmark windows.
 
-Texts are normalised to sequences of lower-case words; the automaton's symbols are the benchmark's words, and it holds
+Texts are normalised to sequences of lower-case words; the automaton reads words of the benchmark as short numbers, and holds
 every window of `window` consecutive item words (a shorter item is one window). Each text is scanned once. Hits are word
 numbers, and are mapped back to byte offsets of the original text.
 
@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 from quern.llm.shared import buffer_of, drop, table, text_chunks, worker_state, written
 
 WINDOW_WORDS = 10
-#: Words in the windows of one automaton, at some 60 bytes each.
-PATTERN_WORDS = 1 << 21
+#: Words in the windows of one automaton, at two or three nodes of some 60 bytes each.
+PATTERN_WORDS = 1 << 20
 _WORD = np.zeros(256, bool)
 _WORD[48:58] = _WORD[65:91] = _WORD[97:123] = _WORD[128:] = True
 _NORMAL = bytes(c + 32 if 65 <= c < 91 else c if _WORD[c] else 32 for c in range(256))
@@ -54,23 +54,30 @@ def _parts(benchmark: DataFrame, item_col: str, text_col: str, size: int, limit:
         for w in windows(text, size):
             held += len(w)
             part.setdefault(w, []).append(None if item is None else str(item))
-        if held >= limit:
-            yield part
-            part, held = {}, 0
+            if held >= limit:
+                yield part
+                part, held = {}, 0
     if part:
         yield part
 
 
 class Matcher:
-    """The automaton of one part."""
+    """The automaton of one part. A word of the benchmark is a number of `digits` characters to it, any other word is blanks.
 
+    Each digit has characters of its own, so a match never starts within a word; there are DIGITS of each, since a node's
+    children are searched one by one.
+    """
+
+    DIGITS = 64
     alive = 0  # automata in this process
 
     def __init__(self, part: dict[tuple, list]):
-        self.number: dict[bytes, int] = {}
-        self.automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
+        words = dict.fromkeys(x for w in part for x in w)
+        self.digits = next(k for k in range(1, 9) if self.DIGITS**k >= len(words))
+        self.spelled = {x: "".join(chr(0x100 + self.DIGITS * j + n // self.DIGITS**j % self.DIGITS) for j in range(self.digits)) for n, x in enumerate(words)}
+        self.automaton = ahocorasick.Automaton()
         for w, items in part.items():
-            self.automaton.add_word(tuple(self.number.setdefault(x, len(self.number) + 1) for x in w), (len(w), items))
+            self.automaton.add_word("".join(map(self.spelled.__getitem__, w)), (len(w), items))
         self.automaton.make_automaton()
         Matcher.alive += 1
 
@@ -79,10 +86,11 @@ class Matcher:
 
     def find(self, words: list[bytes]) -> tuple[list[tuple[int, int]], set]:
         """Word spans of windows in a text, and the items that have them."""
-        get = self.number.get
+        get, other = self.spelled.get, " " * self.digits
         spans, names = [], set()
-        for end, (length, items) in self.automaton.iter(tuple([get(w, 0) for w in words])):
-            spans.append((end + 1 - length, end + 1))
+        for end, (length, items) in self.automaton.iter("".join([get(w, other) for w in words])):
+            last = (end + 1) // self.digits
+            spans.append((last - length, last))
             names.update(items)
         return spans, names
 

@@ -140,6 +140,21 @@ def test_one_automaton_at_a_time():
         assert decontam.Matcher.alive == 1
 
 
+@pytest.mark.parametrize("n_words", [1, 64, 65, 5000])
+def test_matcher_against_brute_force(n_words):
+    r = random.Random(n_words)
+    words = [f"w{k}".encode() for k in range(n_words)]
+    part = {}
+    for k in range(300):
+        part.setdefault(tuple(r.choice(words) for _ in range(r.randint(1, 4))), []).append(str(k))
+    matcher = decontam.Matcher(part)
+    for _ in range(30):
+        text = [x for w in r.sample(list(part), 3 if n_words > 1 else 1) for x in (*w, r.choice([b"other", r.choice(words)]))]
+        spans, names = matcher.find(text)
+        want = [(a, a + len(w)) for w in part for a in range(len(text) - len(w) + 1) if tuple(text[a : a + len(w)]) == w]
+        assert sorted(spans) == sorted(want) and names == {i for a, b in want for i in part[tuple(text[a:b])]}
+
+
 def test_quality(docs, empty):
     rows = {r["doc_id"]: r for r in quality.quality(docs).collect()}
     assert rows[17]["base_failed"] and rows[17]["n_repeat_words"] == rows[17]["n_words"] == 400
