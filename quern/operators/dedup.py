@@ -119,8 +119,7 @@ def _jaccard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _verified(sets: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
-    """(a, b, jaccard) of the pairs (a, b) that reach the threshold; sets are read for their ids alone."""
-    pairs = _written(pairs.distinct(), "pairs")
+    """(a, b, jaccard) of the pairs (a, b), a written table, that reach the threshold; sets are read for their ids alone."""
     right = pairs.join(sets.select(F.col("id").alias("b"), F.col("found").alias("y")), "b")
     both = right.join(sets.select(F.col("id").alias("a"), F.col("found").alias("x")), "a").select("a", "b", "x", "y")
     kind = dict(pairs.dtypes)["a"]
@@ -141,7 +140,7 @@ def near_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     reps, keys = _buckets(described(docs, id_col, text_col, bands=bands, rows=rows))
     x, y = keys.alias("x"), keys.alias("y")
     cand = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.h") == F.col("y.h")) & (F.col("x.id") < F.col("y.id"))).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
-    return _verified(reps, cand, threshold)
+    return _verified(reps, _written(cand.distinct(), "pairs"), threshold)
 
 
 def near_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -154,15 +153,18 @@ def near_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     reps, keys = _buckets(sets)
     heads = keys.groupBy("band", "h").agg(F.min("id").alias("a"), F.count("*").alias("m")).where("m > 1")
     keys = _written(keys.join(heads.drop("m"), ["band", "h"]), "buckets")  # buckets of one are gone
-    links = _verified(reps, keys.where("a <> id").select("a", F.col("id").alias("b")), threshold).select("a", "b")
-    groups = clusters(links)
+    first = _written(keys.where("a <> id").select("a", F.col("id").alias("b")).distinct(), "pairs")
+    groups = clusters(_verified(reps, first, threshold).select("a", "b"))
     placed = keys.select("id", "band", "h").join(groups.withColumnRenamed("id", "i"), F.col("id") == F.col("i"), "left").select("id", "band", "h", F.coalesce("cluster", "id").alias("g"))
     mixed = placed.groupBy("band", "h").agg(F.min("g").alias("g0"), F.max("g").alias("g1")).where("g0 <> g1").select("band", "h")
     rest = _written(placed.join(mixed, ["band", "h"], "left_semi"), "mixed")
     x, y = rest.alias("x"), rest.alias("y")
     far = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.h") == F.col("y.h")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.g") != F.col("y.g"))).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
-    more = _verified(reps, far, threshold).select("a", "b")
-    return clusters(groups.select(F.col("cluster").alias("a"), F.col("id").alias("b")).where("a <> b").unionByName(more).unionByName(copies))
+    last = _written(far.distinct(), "pairs")
+    more = _verified(reps, last, threshold).select("a", "b")
+    found = clusters(groups.select(F.col("cluster").alias("a"), F.col("id").alias("b")).where("a <> b").unionByName(more).unionByName(copies))
+    _drop(sets, keys, first, rest, last)  # the groups are a checkpoint and read none of them
+    return found
 
 
 def _shared(spark) -> str:
@@ -182,7 +184,15 @@ def _written(df: DataFrame, name: str) -> DataFrame:
     """df as a table in the shared folder: unlike a checkpoint, it is read by column."""
     path = f"{_shared(df.sparkSession)}/quern-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    back = df.sparkSession.read.schema(df.schema).parquet(path)
+    back._written_to = path
+    return back
+
+
+def _drop(*tables: DataFrame) -> None:
+    for df in tables:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._written_to)
+        path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def clusters(links: DataFrame, most_rounds: int = 60) -> DataFrame:

@@ -157,10 +157,10 @@ def test_readers_and_packs(spark, tmp_path):
     assert {r["state"] for r in readers.verify_pack(spark, str(tmp_path / "pack"), pack).collect()} == {"ok"}
     assert readers.format_of("x.jsonl.gz") == "jsonl" and readers.format_of("x") is None
     page = "<html><title>T</title><script>no</script><p>a &amp; b</p><ul><li>c</li></ul></html>"
-    assert readers.page_text(page) == ("T", "a & b\n\nc")
-    assert one(spark, readers.html_text(F.col("h")), h=page) == "a & b\n\nc"
+    assert readers.page_text(page) == one(spark, readers.html_text(F.col("h")), h=page) == "T \n a & b \n \n c"
+    assert one(spark, readers.html_title(F.col("h"), F.lit("stem")), h=page) == "T" and one(spark, readers.html_title(F.col("h"), F.lit("stem")), h="x") == "stem"
     md = spark.createDataFrame([("intro\n# A\nx\n## B\n\n# C\ny",)], "md string")
-    assert [(r["section"], r["heading"], r["body"]) for r in readers.sections(md, "md").collect()] == [(0, "", "intro"), (1, "A", "x"), (3, "C", "y")]
+    assert [(r["section"], r["title"], r["body"]) for r in readers.sections(md, "md").collect()] == [(0, "A", "x"), (2, "C", "y")]
 
 
 def test_connectors():
