@@ -50,27 +50,28 @@ VOCABULARY_BYTES = 64 << 20
 
 #: Fixed value: the only pattern whose pieces piece_starts() cuts.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-#: One row for each byte at first; g is its place in all words, and n the step. k numbers the rows in order; `before` says
-#: how many occurrences of the least pair run up to the row without a gap, of which every other one is contracted, from the
-#: left. @HIT: which occurrences a step takes. Steps add rows (SHORT) or, so that words of any length fit, replace the row of
-#: a place (LONG), where t is null once a contraction has taken the place.
+#: One row for each byte at first; g is its place in all words, and n the step. k numbers the rows in order. Hits without a
+#: gap between them overlap (runs have one `run`), and every other one is contracted, from the left. @HIT: which
+#: occurrences a step takes. Steps add rows (SHORT) or, so that words of any length fit, replace the row of a place (LONG),
+#: where t is null once a contraction has taken the place.
 MERGE = """
 WITH RECURSIVE step(g, w, t, n) @KEY AS (
   SELECT g, w, t, 0 FROM start
   @UNION
   (WITH pairs AS (SELECT g, w, t, n, row_number() OVER o AS k, lead(t) OVER o AS t2, lead(w) OVER o AS w2 FROM step @LIVE WINDOW o AS (ORDER BY g)),
-        ranked AS (SELECT pairs.*, m.t AS new FROM pairs LEFT JOIN merges m ON m.pair = CASE WHEN w2 = w THEN pairs.t::BIGINT * 1048576 + t2 END),
-        least AS (SELECT w, min(new) AS best, min(k) - 1 AS k0, @FIRST AS first FROM ranked GROUP BY w HAVING min(new) IS NOT NULL),
-        going AS (SELECT g, w, t, n, k, new, k0, coalesce(@HIT, false) AS hit FROM ranked JOIN least USING (w)),
-        runs AS (SELECT *, (k - 1 - greatest(k0, max(CASE WHEN NOT hit THEN k END) OVER (ORDER BY g ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))) % 2 = 1 AS gone FROM going)
+        ranked AS (SELECT pairs.g, pairs.w, pairs.t, pairs.n, pairs.k, m.t AS new FROM pairs LEFT JOIN merges m ON m.pair = CASE WHEN w2 = w THEN pairs.t::BIGINT * 1048576 + t2 END),
+        least AS (SELECT w, min(new) AS best, @FIRST AS first FROM ranked GROUP BY w HAVING min(new) IS NOT NULL),
+        going AS MATERIALIZED (SELECT g, w, t, n, k, new, coalesce(@HIT, false) AS hit FROM ranked JOIN least USING (w)),
+        hits AS (SELECT k, k - row_number() OVER (ORDER BY k) AS run FROM going WHERE hit),
+        taken AS MATERIALIZED (SELECT k FROM (SELECT k, k - min(k) OVER (PARTITION BY run) AS i FROM hits) WHERE i % 2 = 0)
    @NEXT)
 )
 @RESULT
 """
 EVERY_HIT = {"@FIRST": "0", "@HIT": "new = best"}
 FIRST_HIT = {"@FIRST": "arg_min(k, new::BIGINT * 4294967296 + k)", "@HIT": "k = first"}
-SHORT = {"@KEY": "", "@UNION": "UNION ALL", "@LIVE": "", "@NEXT": "SELECT g, w, CASE WHEN hit THEN new ELSE t END, n + 1 FROM runs WHERE NOT gone", "@RESULT": "SELECT w, t FROM step JOIN (SELECT w, max(n) AS n FROM step GROUP BY w) USING (w, n) ORDER BY g"}
-LONG = {"@KEY": "USING KEY (g)", "@UNION": "UNION", "@LIVE": "WHERE t IS NOT NULL", "@NEXT": "SELECT g, w, CASE WHEN gone THEN NULL WHEN hit THEN new ELSE t END, n + 1 FROM runs", "@RESULT": "SELECT w, t FROM step WHERE t IS NOT NULL ORDER BY g"}
+SHORT = {"@KEY": "", "@UNION": "UNION ALL", "@LIVE": "", "@NEXT": "SELECT g, w, CASE WHEN a.k IS NULL THEN t ELSE new END, n + 1 FROM going LEFT JOIN taken a ON a.k = going.k WHERE going.k - 1 NOT IN (FROM taken)", "@RESULT": "SELECT w, t FROM step JOIN (SELECT w, max(n) AS n FROM step GROUP BY w) USING (w, n) ORDER BY g"}
+LONG = {"@KEY": "USING KEY (g)", "@UNION": "UNION", "@LIVE": "WHERE t IS NOT NULL", "@NEXT": "SELECT g, w, CASE WHEN b.k IS NOT NULL THEN NULL WHEN a.k IS NULL THEN t ELSE new END, n + 1 FROM going LEFT JOIN taken a ON a.k = going.k LEFT JOIN taken b ON b.k = going.k - 1", "@RESULT": "SELECT w, t FROM step WHERE t IS NOT NULL ORDER BY g"}
 DUCKDB = {"threads": 1, "memory_limit": "256MB", "temp_directory": ""}
 DECODE = "SELECT d, string_agg(s, '' ORDER BY p) AS s FROM tokens JOIN vocabulary USING (t) GROUP BY d ORDER BY d"
 
