@@ -14,7 +14,8 @@ runs front-coded (shared prefix length and the rest of each key). Each receiving
 that knows every key's common prefix with the last winner, and so compares only bytes behind it. In the merged order,
 equal keys but the earliest are repeats at once; for different keys with the same gram the strings they own are compared,
 one offset at a time. Copies never meet in one place: of equal keys a run sends the earliest and settles the others itself,
-and of equal grams a task asks about one, so a gram or key counts once a run, however common it is.
+and of equal grams a task asks about one, so a gram or key counts once a run, however common it is. Of equal texts only the
+first is sorted: the others go whole, if they hold a string at all, since the first has all their strings earlier.
 
 Cases: null and empty text has no bytes. Rows with the same id and text are one document and get equal results; rows with
 the same id and different texts are ordered by a fingerprint of the text; a null id comes last. A text of 256 MiB or more
@@ -38,6 +39,8 @@ from quern.llm.shingles import _CODE, _power, mix
 
 LENGTH = 100
 GRAM = 32
+#: Stands for a null id.
+LAST = (1 << 63) - 1
 #: Anchors that are sorted into one run.
 RUN_ANCHORS = 1 << 17
 #: Anchors among which a task asks about each gram once.
@@ -366,14 +369,27 @@ def _cut(keep_bytes: bool):
     return run
 
 
+def _facts_of(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """docs as (doc, text), a null id last, and the written (doc, fp, n_bytes, sha) of every row."""
+    docs = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("doc"), F.col(text_col).cast("string").alias("text"))
+    return docs, written(docs.mapInArrow(_facts, "doc long, fp long, n_bytes long, sha string"), "texts")
+
+
 def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM, keep_bytes: bool = True) -> DataFrame:
     """Per document that loses bytes: doc, fp (fingerprint of the text), n_removed, n_spans, cut_sha and kept (bytes; null without keep_bytes)."""
+    return _repeats(*_facts_of(docs, id_col, text_col), length, gram, keep_bytes)
+
+
+def _repeats(docs: DataFrame, facts: DataFrame, length: int, gram: int, keep_bytes: bool) -> DataFrame:
     spark = docs.sparkSession
-    last = F.lit((1 << 63) - 1)
-    docs = docs.select(F.coalesce(F.col(id_col).cast("long"), last).alias("doc"), F.col(text_col).cast("string").alias("text"))
+    firsts = facts.where(F.col("n_bytes") >= length).groupBy("sha").agg(F.min(F.struct("doc", "fp")).alias("first"))
+    rest = facts.select("doc", "fp", "sha", "n_bytes").distinct().join(firsts, "sha").where((F.col("doc") != F.col("first.doc")) | (F.col("fp") != F.col("first.fp")))
+    nothing = F.lit(hashlib.sha256(b"").hexdigest())
+    whole = rest.select("doc", "fp", F.col("n_bytes").alias("n_removed"), F.lit(1).cast("long").alias("n_spans"), nothing.alias("cut_sha"), F.lit(b"" if keep_bytes else None).cast("binary").alias("kept"))
     grams = docs.mapInArrow(_repeated_grams(length, gram), "gram long, doc long, fp long, place int, sure boolean")
     often = grams.withColumn("n", F.count("*").over(Window.partitionBy("gram"))).where("n > 1 or sure")
-    wanted = written(often.groupBy("doc", "fp").agg(F.array_sort(F.collect_set("place")).alias("places")), "anchors")
+    wanted = often.groupBy("doc", "fp").agg(F.array_sort(F.collect_set("place")).alias("places"))
+    wanted = written(wanted.join(firsts.select(F.col("first.doc").alias("doc"), F.col("first.fp").alias("fp")), ["doc", "fp"], "left_semi"), "anchors")
     texts = docs.mapInArrow(_named, "doc long, fp long, text string").dropDuplicates(["doc", "fp"])
     met = written(wanted.withColumnsRenamed({"doc": "d", "fp": "f"}).join(texts, (F.col("d") == F.col("doc")) & (F.col("f") == F.col("fp"))).select("doc", "fp", "text", "places"), "flagged")
     drop(wanted)
@@ -387,7 +403,7 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
     rows = by_doc.withColumnsRenamed({"doc": "d", "fp": "f"}).join(met, (F.col("d") == F.col("doc")) & (F.col("f") == F.col("fp"))).select("doc", "fp", "text", "spans")
     cut = written(rows.mapInArrow(_cut(keep_bytes), "doc long, fp long, n_removed long, n_spans long, cut_sha string, kept binary"), "cut")
     drop(met, spans)
-    return cut
+    return cut.unionByName(whole)
 
 
 def _named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -398,13 +414,11 @@ def _named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """Per row: doc_id, n_bytes, n_removed, n_spans and kept_sha256 (of the bytes that remain)."""
-    last = F.lit((1 << 63) - 1)
-    cut = repeats(docs, id_col, text_col, length, gram, keep_bytes=False).drop("kept").withColumnsRenamed({"doc": "d", "fp": "f"})
-    keyed = docs.select(F.coalesce(F.col(id_col).cast("long"), last).alias("doc"), F.col(text_col).cast("string").alias("text"))
-    facts = keyed.mapInArrow(_facts, "doc long, fp long, n_bytes long, sha string")
+    keyed, facts = _facts_of(docs, id_col, text_col)
+    cut = _repeats(keyed, facts, length, gram, False).drop("kept").withColumnsRenamed({"doc": "d", "fp": "f"})
     both = facts.join(cut, (F.col("d") == F.col("doc")) & (F.col("f") == F.col("fp")), "left")
     zero = F.lit(0).cast("long")
-    return both.select(F.when(F.col("doc") != last, F.col("doc")).alias("doc_id"), "n_bytes", F.coalesce("n_removed", zero).alias("n_removed"), F.coalesce("n_spans", zero).alias("n_spans"), F.coalesce("cut_sha", "sha").alias("kept_sha256"))
+    return both.select(F.when(F.col("doc") != LAST, F.col("doc")).alias("doc_id"), "n_bytes", F.coalesce("n_removed", zero).alias("n_removed"), F.coalesce("n_spans", zero).alias("n_spans"), F.coalesce("cut_sha", "sha").alias("kept_sha256"))
 
 
 def op6_suffix_dedup(spark, sf_dir: str) -> DataFrame:
