@@ -21,15 +21,21 @@ def pearson(a: str, b: str) -> Column:
     return F.when(F.count("*") >= 3, F.covar_pop(a, b) / spread)
 
 
-def with_ranks(df: DataFrame, *cols: str) -> DataFrame:
-    """Average-tie ranks `rank_<col>`, from the counts of distinct values, so that rows are never sorted in one task.
+def with_ranks(df: DataFrame, *cols: str, buckets: int = 256) -> DataFrame:
+    """Average-tie ranks `rank_<col>` (null for null), from the counts of distinct values.
 
-    Scores have few distinct values; the running sum is over those alone.
+    Values are dealt into buckets between approximate quantiles: the running sum over all is over the buckets alone, and
+    within a bucket over its own values, so no task sorts all values however many there are.
     """
     for c in cols:
-        counts = df.groupBy(c).agg(F.count("*").alias("_n"))
-        below = F.coalesce(F.sum("_n").over(Window.orderBy(c).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-        ranks = counts.select(F.col(c).alias("_v"), (below + (F.col("_n") + 1) / 2).alias(f"rank_{c}"))
+        counts = df.where(F.col(c).isNotNull()).groupBy(F.col(c).alias("_v")).agg(F.count("*").alias("_n"))
+        cuts = counts.agg(F.percentile_approx("_v", [k / buckets for k in range(1, buckets)], 10 * buckets).alias("_cuts"))
+        dealt = counts.crossJoin(F.broadcast(cuts)).withColumn("_b", F.size(F.filter("_cuts", lambda q: q < F.col("_v")))).drop("_cuts")  # a single row
+        sums = dealt.groupBy(F.col("_b").alias("_k")).agg(F.sum("_n").alias("_s"))
+        before = lambda n, w: F.coalesce(F.sum(n).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        sums = sums.select("_k", before("_s", Window.orderBy("_k")).alias("_before"))
+        below = F.col("_before") + before("_n", Window.partitionBy("_b").orderBy("_v"))
+        ranks = dealt.join(F.broadcast(sums), F.col("_b") == F.col("_k")).select("_v", (below + (F.col("_n") + 1) / 2).alias(f"rank_{c}"))
         df = df.join(ranks, df[c] == ranks["_v"], "left").drop("_v")
     return df
 

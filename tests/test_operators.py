@@ -95,6 +95,11 @@ def test_statistics_guards(spark):
     assert stats.global_metrics(two).first()["pearson_r"] is None and stats.global_metrics(two).first()["verdict"] == "INSUFFICIENT_DATA"
     ranks = stats.with_ranks(spark.createDataFrame([(5,), (1,), (5,), (9,)], "v int"), "v").collect()
     assert sorted((r["v"], float(r["rank_v"])) for r in ranks) == [(1, 1.0), (5, 2.5), (5, 2.5), (9, 4.0)]
+    many = spark.createDataFrame([(float(k * 7919 % 5003 // 2),) for k in range(5003)] + [(None,)], "v double")
+    values = sorted(r["v"] for r in many.collect() if r["v"] is not None)
+    want = {v: values.index(v) + (values.count(v) + 1) / 2 for v in set(values[::97])}
+    got = {r["v"]: float(r["rank_v"]) for r in stats.with_ranks(many, "v", buckets=16).where("v is not null").collect()}
+    assert all(got[v] == x for v, x in want.items()) and stats.with_ranks(many, "v").where("v is null and rank_v is null").count() == 1
     biased = spark.createDataFrame([("a", 9.0, 9.0)] * 5 + [("b", 8.0, 4.0)] * 3, "k string, auto double, human double")
     got = {r["stratum"]: (r["bias"], r["correction"], r["gate"]) for r in stats.strata(biased, ["k"]).collect()}
     assert got["a"][2] == "AUTO_ALLOWED" and got["b"] == (4.0, -4.0, "MANDATORY_HUMAN_REVIEW")
