@@ -47,7 +47,12 @@ def slug(c: Column) -> Column:
 
 def words(c: Column) -> Column:
     """Whitespace-delimited words."""
-    return F.filter(F.split(c, r"[ \t\r\n\f\x0B]+"), lambda w: w != "")
+    return F.regexp_extract_all(c, F.lit(r"[^ \t\r\n\f\x0B]+"), F.lit(0))
+
+
+def once(value: Column, use) -> Column:
+    """use(value), with the value computed once however often `use` names it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
 
 
 def word_count(c: Column) -> Column:

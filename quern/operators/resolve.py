@@ -120,8 +120,13 @@ def technical(text: Column) -> Column:
 def word_overlap(a: Column, b: Column) -> Column:
     """Jaccard of the sets of lower-cased words; 1 where both are empty."""
     x, y = F.array_distinct(X.words(F.lower(a))), F.array_distinct(X.words(F.lower(b)))
-    union = F.size(F.array_union(x, y))
-    return F.when(union == 0, 1.0).otherwise(F.size(F.array_intersect(x, y)) / union)
+
+    def overlap(s: Column) -> Column:
+        same = F.size(F.array_intersect(s["x"], s["y"]))
+        union = F.size(s["x"]) + F.size(s["y"]) - same
+        return F.when(union == 0, 1.0).otherwise(same / union)
+
+    return X.once(F.struct(x.alias("x"), y.alias("y")), overlap)
 
 
 def provenance(answer: Column, source: Column | None = None) -> Column:
@@ -140,8 +145,7 @@ def provenance(answer: Column, source: Column | None = None) -> Column:
     nothing = out("unknown", 0.0)
     if source is None:
         return F.when(F.coalesce(text, F.lit("")) == "", nothing).otherwise(alone)
-    j = word_overlap(answer, source)
-    held = F.when(j >= 0.95, out("verbatim", j * 0.95)).when(j >= 0.75, out("rephrased", j * 0.8)).when(j > 0.3, out("condensed", j * 0.6)).otherwise(out("unknown", F.greatest(F.lit(0.1), j * 0.3)))
+    held = X.once(word_overlap(answer, source), lambda j: F.when(j >= 0.95, out("verbatim", j * 0.95)).when(j >= 0.75, out("rephrased", j * 0.8)).when(j > 0.3, out("condensed", j * 0.6)).otherwise(out("unknown", F.greatest(F.lit(0.1), j * 0.3))))
     return F.when(F.coalesce(text, F.lit("")) == "", nothing).when(F.coalesce(X.strip(source), F.lit("")) == "", alone).otherwise(held)
 
 
