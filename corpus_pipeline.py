@@ -13,11 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quern.llm import bpe, decontam, ngram_join, quality, secrets
-from quern.llm.shared import table, written
+from quern.llm.shared import small_batches, table, written
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that the quality rules reject go, null and empty texts with them; repeated rows get one verdict."""
+    small_batches(spark)
     return quality.accepted(docs)
 
 
@@ -26,11 +27,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     Rows that repeat an id are one document, of which one row stays. Null and empty texts are no one's duplicates.
     """
+    small_batches(spark)
     return ngram_join.representatives(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows with a window of a benchmark item go; null and empty texts have none."""
+    small_batches(spark)
     return decontam.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
@@ -41,6 +44,7 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts, and digests of ids and of the decoded text; a null text has no tokens."""
+    small_batches(spark)
     import public_tokenizers
 
     return bpe.digests(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"))

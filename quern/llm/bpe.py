@@ -279,12 +279,10 @@ def _gathered(values: np.ndarray, first: np.ndarray, size: np.ndarray) -> tuple[
     return values[np.repeat(first - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)], ends
 
 
-def _encode(shared):
-    name = f"bpe-{uuid.uuid4().hex}"
-
+def _encode(shared, name: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = worker_state(name, lambda: Encoder(shared.value))
-        chunks = text_chunks(batches, limit=CHUNK_BYTES)
+        chunks = text_chunks(batches, limit=CHUNK_BYTES, keep=name)
         try:
             while group := list(islice(chunks, CHUNKS)):
                 cut = [encoder.cut(*buffer_of(batch.column(1))) for batch in group]
@@ -299,14 +297,14 @@ def _encode(shared):
     return run
 
 
-def _decode(shared):
+def _decode(shared, name: str = ""):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         con = duckdb.connect(config=DUCKDB)
         try:
             ranks = shared.value["ranks"]
             con.register("vocabulary_in", pa.table({"t": pa.array(list(ranks.values()), pa.uint32()), "s": [k.decode("latin-1") for k in ranks]}))
             con.execute("CREATE TABLE vocabulary AS SELECT * FROM vocabulary_in")
-            for batch in text_chunks(batches, limit=4 * QUERY_TOKENS):
+            for batch in text_chunks(batches, limit=4 * QUERY_TOKENS, keep=name):
                 data, off = buffer_of(batch.column(1))
                 ids = np.frombuffer(data.tobytes(), "<u4")
                 text = np.repeat(np.arange(len(off) - 1, dtype=np.int32), np.diff(off) // 4)
@@ -326,7 +324,7 @@ def _decode(shared):
 def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, ids): token ids as little-endian unsigned 32-bit integers in one binary value."""
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    return docs.mapInArrow(_encode(docs.sparkSession.sparkContext.broadcast(vocabulary(path))), f"id {dict(docs.dtypes)['id']}, ids binary")
+    return docs.mapInArrow(_encode(docs.sparkSession.sparkContext.broadcast(vocabulary(path)), f"bpe-{uuid.uuid4().hex}"), f"id {dict(docs.dtypes)['id']}, ids binary")
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
@@ -340,7 +338,8 @@ def digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     kind = dict(docs.dtypes)["id"]
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary(path))
-    both = docs.mapInArrow(lambda batches: _decode(shared)(_encode(shared)(batches)), f"id {kind}, ids binary, decoded binary")
+    name = f"bpe-{uuid.uuid4().hex}"
+    both = docs.mapInArrow(lambda batches: _decode(shared, name)(_encode(shared, name)(batches)), f"id {kind}, ids binary, decoded binary")
     return both.select(F.col("id").alias("doc_id"), F.expr("bigint(octet_length(ids) / 4)").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

@@ -118,7 +118,7 @@ def _scan(shared, first: bool, last: bool):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = worker_state(name, lambda: Matcher(shared.value)) if shared is not None else None
-        for batch in text_chunks(batches):
+        for batch in text_chunks(batches, keep=name):
             data, off = buffer_of(batch.column(1))
             whole = data.tobytes()
             before = [([], [])] * batch.num_rows if first else list(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True))
@@ -159,7 +159,7 @@ def _without(shared, column: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = worker_state(name, lambda: Matcher(shared.value))
-        for batch in text_chunks(batches, column):
+        for batch in text_chunks(batches, column, keep=name):
             data, off = buffer_of(batch.column(column))
             whole = data.tobytes()
             yield batch.filter(pa.array([not matcher.find(normal_words(whole[a:b]))[0] for a, b in zip(off[:-1], off[1:], strict=True)], pa.bool_()))

@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 
 #: Bytes of text that are worked on at once; a longer text is worked on alone.
 CHUNK_BYTES = 2 << 20
+#: Rows with texts that go to a Python worker in one batch.
+BATCH_ROWS = 1000
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -85,8 +87,21 @@ def least_rows(df: DataFrame, key: str, limit: int) -> DataFrame:
     return df.orderBy(key, *(c for c in df.columns if c != key)).limit(limit)
 
 
-def text_chunks(batches: Iterator[pa.RecordBatch], column: int = 1, limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
-    """The batches, cut so that the texts in `column` have at most `limit` bytes, or are one row; memory goes back at the end."""
+def small_batches(spark: SparkSession) -> None:
+    """From now on at most BATCH_ROWS rows go to Python at once, for they hold whole texts, in the JVM and in Python."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(key))
+    if now <= 0 or now > BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
+def text_chunks(batches: Iterator[pa.RecordBatch], column: int = 1, limit: int = CHUNK_BYTES, keep: str = "") -> Iterator[pa.RecordBatch]:
+    """The batches, cut so that the texts in `column` have at most `limit` bytes, or are one row; memory goes back at the end.
+
+    State that other operators keep in this worker is let go, but that named `keep`.
+    """
+    if keep not in _held:
+        _held.clear()
     try:
         for batch in batches:
             if batch.num_rows == 0:
