@@ -126,6 +126,11 @@ def html_title(c: Column, stem: Column | None = None) -> Column:
 REFERENCES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&nbsp;": "\u00a0", "&copy;": "\u00a9", "&middot;": "\u00b7", "&amp;": "&"}
 
 
+def listed_references(c: Column) -> Column:
+    """A page whose ampersands are escaped but where they begin one of REFERENCES, so that a parser decodes these alone: `&amp` cut off before its semicolon stays as it is."""
+    return F.regexp_replace(c, f"&(?!(?:{'|'.join(ref[1:] for ref in REFERENCES)}))", "&amp;")
+
+
 def html_text(c: Column) -> Column:
     """page_text() by expressions alone, equal to it on pages without other references or markup inside attributes."""
     c = F.regexp_replace(F.coalesce(c, F.lit("")), r"(?is)<(script|style|noscript)\b.*?</\1\s*>|<!--.*?-->|<![^>]*>", "\u0001")

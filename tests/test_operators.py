@@ -225,6 +225,23 @@ def test_native_html_equals_the_parser(spark):
         assert r["x"] == r["y"], r
 
 
+def test_html_queries_leave_references_that_are_cut_off(spark, tmp_path):
+    import duckdb
+
+    from quern import catalog, release_queries  # noqa: F401
+
+    pages = ["<title>a &amp; b&amp</title><h1>a &amp; b&amp</h1><p>c &lt;i&gt; d&quot</p>&quo &am & &", "<p>x&ampy &copy;&nbsp &amp;amp &amp;lt; &eacute; &#39;&#233;</p>", "<a href='/?a=1&copy=2&lt=3'>l&lt</a><!-- &amp --><script>a&&b</script>&amp", "", None]
+    spark.createDataFrame([(k, p) for k, p in enumerate(pages)], "page_id bigint, html string").coalesce(1).write.parquet(str(tmp_path / "pages.parquet"))
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    for name in ("html_extract", "html_extract_native"):
+        got = catalog.QUERIES[name](spark, str(tmp_path)).select("page_id", "title", "text").collect()
+        want = con.sql(f"SELECT page_id, title, text FROM ({catalog.ORACLES[name]})").fetchall()
+        assert sorted(map(tuple, got)) == sorted(want), name
+    assert got[0]["title"] == "a &amp; b&amp" and "b&amp \n" in got[0]["text"]
+    assert readers.page_text(pages[0]).startswith("a & b& \n a & b&")
+
+
 def test_curated_folders_and_status_sinks(spark, tmp_path):
     import gzip
 
