@@ -78,13 +78,16 @@ def parquet(spark: SparkSession, path: str, limit: int | None = None) -> DataFra
 OPEN_BREAKS = ("p", "div", "br", "li", "h1", "h2", "h3", "h4", "tr")
 CLOSE_BREAKS = ("p", "div", "li", "h1", "h2", "h3", "h4")
 HIDDEN = ("script", "style", "noscript")
+#: White space that the expressions know; Python's str.strip() knows more.
+BLANKS = " \t\r\n\f\x0b\u00a0"
 
 
 class _Page(html.parser.HTMLParser):
-    """Line ends at block tags, and every visible run of text without the white space around it."""
+    """Line ends at block tags, and every visible run of text without the white space (or the given characters) around it."""
 
-    def __init__(self) -> None:
+    def __init__(self, blanks: str | None = None) -> None:
         super().__init__(convert_charrefs=True)
+        self.blanks = blanks
         self.runs: list[str] = []
         self.depth = 0
 
@@ -97,16 +100,16 @@ class _Page(html.parser.HTMLParser):
         self.runs += ["\n"] * (tag in CLOSE_BREAKS)
 
     def handle_data(self, data):
-        if not self.depth and (run := data.strip()):
+        if not self.depth and (run := data.strip(self.blanks)):
             self.runs.append(run)
 
 
-def page_text(page: str | None) -> str:
+def page_text(page: str | None, blanks: str | None = None) -> str:
     """Visible text of an HTML page, the title's with it: runs joined by blanks, at most one empty line. Broken markup is read as far as it goes."""
-    reader = _Page()
+    reader = _Page(blanks)
     reader.feed(page or "")
     reader.close()
-    return re.sub("\n{3,}", "\n\n", re.sub("[ \t]+", " ", " ".join(reader.runs))).strip()
+    return re.sub("\n{3,}", "\n\n", re.sub("[ \t]+", " ", " ".join(reader.runs))).strip(blanks)
 
 
 @F.pandas_udf(T.StringType())
@@ -116,10 +119,17 @@ def html_extract(pages: Iterator[pd.Series]) -> Iterator[pd.Series]:
         yield s.map(page_text)
 
 
+@F.pandas_udf(T.StringType())
+def _plain_text(pages: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """page_text() of pages from plain_markup(), with no white space but BLANKS taken off."""
+    for s in pages:
+        yield s.map(lambda page: page_text(page, BLANKS))
+
+
 def html_title(c: Column, stem: Column | None = None) -> Column:
-    """The title element's text with single blanks, else the file's stem."""
-    found = F.regexp_replace(F.regexp_replace(F.regexp_extract(c, r"(?is)<title[^>]*>(.*?)</title>", 1), r"[ \t\r\n\f\x0B]+", " "), "^ | $", "")
-    return F.when(c.rlike(r"(?is)<title[^>]*>.*?</title>"), found).otherwise(stem if stem is not None else F.lit(""))
+    """The title element's text with single blanks and no space characters at its ends, else the file's stem; without a stem empty, and null for a null page."""
+    found = F.regexp_replace(F.regexp_replace(F.regexp_extract(c, r"(?is)<title[^>]*>(.*?)</title>", 1), r"[ \t\r\n\f\x0B]+", " "), r"^\p{Zs}+|\p{Zs}+\z", "")
+    return F.when(c.rlike(r"(?is)<title[^>]*>.*?</title>"), found).otherwise(stem if stem is not None else F.when(c.isNotNull(), ""))
 
 
 #: Character references that the expressions decode; the parser knows them all.
@@ -131,16 +141,40 @@ def listed_references(c: Column) -> Column:
     return F.regexp_replace(c, f"&(?!(?:{'|'.join(ref[1:] for ref in REFERENCES)}))", "&amp;")
 
 
+def _marked(c: Column) -> Column:
+    """A page with U+0001 for hidden elements, comments, declarations and tags, and U+0002 between two of them for tags that break a line.
+
+    Names end, letters fold (long s for s) and white space is told as RE2 does it, not as Java does.
+    """
+    hidden = "|".join(rf"{n}(?!\w).*?</{n}[\t\n\f\r ]*>" for n in (h.replace("s", "[s\u017f]") for h in HIDDEN))
+    c = F.regexp_replace(F.coalesce(c, F.lit("")), rf"(?is)<(?:{hidden}|!--.*?-->|![^>]*>)", "\u0001")
+    c = F.regexp_replace(c, rf"(?i)<(?:{'|'.join(OPEN_BREAKS)}|/(?:{'|'.join(CLOSE_BREAKS)}))(?!\w)[^>]*>", "\u0001\u0002\u0001")
+    return F.regexp_replace(c, r"<[^>]+>", "\u0001")
+
+
+def plain_markup(c: Column) -> Column:
+    """A page in markup that a parser and the expressions read alike: a tag for each mark of _marked(), all else escaped but REFERENCES."""
+    c = F.replace(listed_references(_marked(c)), F.lit("<"), F.lit("&lt;"))
+    return F.replace(F.replace(c, F.lit("\u0001\u0002\u0001"), F.lit("<br>")), F.lit("\u0001"), F.lit("<wbr>"))
+
+
+def _squeezed(c: Column) -> Column:
+    """Line ends for U+0002, single blanks, at most one empty line, no BLANKS at the ends."""
+    c = F.regexp_replace(F.regexp_replace(F.replace(c, F.lit("\u0002"), F.lit("\n")), r"[ \t]+", " "), r"\n{3,}", "\n\n")
+    return F.regexp_replace(c, rf"^[{BLANKS}]+|[{BLANKS}]+\z", "")
+
+
+def html_plain(c: Column) -> Column:
+    """html_text() by the parser: page_text() of plain_markup(), equal to it on every page."""
+    return _squeezed(_plain_text(plain_markup(c)))
+
+
 def html_text(c: Column) -> Column:
-    """page_text() by expressions alone, equal to it on pages without other references or markup inside attributes."""
-    c = F.regexp_replace(F.coalesce(c, F.lit("")), r"(?is)<(script|style|noscript)\b.*?</\1\s*>|<!--.*?-->|<![^>]*>", "\u0001")
-    c = F.regexp_replace(c, rf"(?i)<(?:{'|'.join(OPEN_BREAKS)})\b[^>]*>|</(?:{'|'.join(CLOSE_BREAKS)})\b[^>]*>", "\u0001\u0002\u0001")
-    c = F.regexp_replace(c, r"<[^>]+>", "\u0001")
+    """page_text() by expressions alone, equal to it on pages without other references, markup inside attributes, stray angle brackets or white space other than BLANKS."""
+    c = _marked(c)
     for ref, char in REFERENCES.items():
         c = F.replace(c, F.lit(ref), F.lit(char))
-    c = F.regexp_replace(c, "[ \\t\\r\\n\\f\\x0B\u00a0]*\u0001[ \\t\\r\\n\\f\\x0B\u00a0\u0001]*", " ")
-    c = F.regexp_replace(F.regexp_replace(F.replace(c, F.lit("\u0002"), F.lit("\n")), r"[ \t]+", " "), r"\n{3,}", "\n\n")
-    return F.regexp_replace(c, "^[ \\t\\r\\n\\f\\x0B\u00a0]+|[ \\t\\r\\n\\f\\x0B\u00a0]+$", "")
+    return _squeezed(F.regexp_replace(c, f"[{BLANKS}]*\u0001[{BLANKS}\u0001]*", " "))
 
 
 def sections(df: DataFrame, text: str, stem: Column | None = None) -> DataFrame:

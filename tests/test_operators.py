@@ -242,6 +242,25 @@ def test_html_queries_leave_references_that_are_cut_off(spark, tmp_path):
     assert readers.page_text(pages[0]).startswith("a & b& \n a & b&")
 
 
+def test_html_queries_read_markup_as_the_sql_does(spark, tmp_path):
+    import duckdb
+
+    from quern import catalog, release_queries  # noqa: F401
+
+    stray = ["a<3 b", "1 < 2 <b>x</b> > <> y", "<<p>>z", "c<p unclosed", "<!-- open <i>a</i>", "<script>a", "</script>b<script/>c</script\t>d", "<\u017fcript>e</script>f", "<p\u00e9>g</li\u00e9>h"]
+    inside = ["<a title='<p>'>i</a>", '<div id="a>b">j', "<i alt='</script>'><script alt='<!--'>k</script>-->l", "<noscript>m<style>n</noscript>o</style>p", "<![CDATA[q]]>r<?s t?>u", "<textarea><b>v</textarea><plaintext>w<p>x"]
+    blanks = ["<p>\u3000y\u2003</p>\x85", "\u2028<br>\u2028", "z\x1c<p>", "a\x01 \x02b", "\x02\n\n\n\x02c\x01\x02\x01\x02\x01", " d\xa0&nbsp;\x0b", "<title>\u3000e\x85</title>f \u2028", "<title> g \u2028</title>", None]
+    pages = stray + inside + blanks
+    spark.createDataFrame([(k, p) for k, p in enumerate(pages)], "page_id bigint, html string").coalesce(1).write.parquet(str(tmp_path / "pages.parquet"))
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    for name in ("html_extract", "html_extract_native"):
+        got = catalog.QUERIES[name](spark, str(tmp_path)).select("page_id", "title", "text").orderBy("page_id").collect()
+        want = con.sql(f"SELECT page_id, title, text FROM ({catalog.ORACLES[name]}) ORDER BY page_id").fetchall()
+        assert list(map(tuple, got)) == want, name
+    assert got[0]["text"] == "a<3 b" and got[-1]["title"] is None
+
+
 def test_curated_folders_and_status_sinks(spark, tmp_path):
     import gzip
 
